@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import mixing, secrets, sharding
+from granary.llm import mixing, near_text, secrets, sharding
+from granary.llm.session import ship
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,8 +34,13 @@ def op6_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_chosen_path_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return near_text.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_mix_sources, op5_minimax_shards, op6_secret_ownership)}
+    return {f.__name__: f for f in (op3_mix_sources, op5_minimax_shards, op6_secret_ownership, op8_chosen_path_near_duplicates)}
 
 
 def oracle_sql() -> dict[str, str]:

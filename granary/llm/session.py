@@ -2,12 +2,34 @@
 
 from __future__ import annotations
 
+import io
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package's source to the executors, once for each Spark application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parents[2]
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as z:
+        for p in sorted((root / "granary").rglob("*.py")):
+            z.write(p, p.relative_to(root))
+    folder = Path(tempfile.mkdtemp(prefix="granary-"))
+    (folder / "granary_source.zip").write_bytes(packed.getvalue())
+    context.addPyFile(str(folder / "granary_source.zip"))
+    _shipped.add(context.applicationId)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """``df`` with its lineage cut by files in the folder of ``spark.checkpoint.dir``, which outlive executors.
 
