@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import mixing, near_text, secrets, sharding
+from granary.llm import decontaminate, mixing, near_text, secrets, sharding
 from granary.llm.session import ship
 
 
@@ -39,8 +39,23 @@ def op8_chosen_path_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFra
     return near_text.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_positional_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    index = decontaminate.build_index(table(spark, sf_dir, "documents"))
+    found = decontaminate.judged(decontaminate.search(index, table(spark, sf_dir, "benchmark")))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        "contaminated",
+        F.size("near").cast("long").alias("n_near_items"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_mix_sources, op5_minimax_shards, op6_secret_ownership, op8_chosen_path_near_duplicates)}
+    return {f.__name__: f for f in (op3_mix_sources, op5_minimax_shards, op6_secret_ownership, op8_chosen_path_near_duplicates, op9_positional_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -70,3 +70,8 @@ def global_rank(df: DataFrame, *order: Column, name: str) -> DataFrame:
     start = F.create_map(*offsets)[part] if offsets else F.lit(0)
     within = F.col("__place").bitwiseAND(F.lit((1 << 33) - 1))
     return ranged.withColumn(name, (start + within).cast("long")).drop("__place")
+
+
+def sized(df: DataFrame, most: int = 500_000) -> DataFrame:
+    """A small-rowed, materialised table: broadcast up to ``most`` rows, else left to a shuffled join."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
