@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import decontaminate, mixing, near_text, secrets, sharding
-from granary.llm.session import ship
+from granary.llm import decontaminate, langid, mixing, near_text, secrets, sharding
+from granary.llm.session import ship, training
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,8 +54,16 @@ def op9_positional_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     )
 
 
+def op10_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(*langid.sample(docs))
+    held = training(F.col("doc_id"), 3, 1).alias("held_out")
+    return langid.predict(docs, model).select("doc_id", held, "lang_pred", "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_mix_sources, op5_minimax_shards, op6_secret_ownership, op8_chosen_path_near_duplicates, op9_positional_decontamination)}
+    return {f.__name__: f for f in (op3_mix_sources, op5_minimax_shards, op6_secret_ownership, op8_chosen_path_near_duplicates, op9_positional_decontamination, op10_crf_language)}
 
 
 def oracle_sql() -> dict[str, str]:
