@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import decontaminate, langid, mixing, near_text, secrets, sharding
+from granary.llm import decontaminate, langid, mixing, near_text, pitman_yor, secrets, sharding
 from granary.llm.session import ship, training
 
 
@@ -15,6 +15,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pitman_yor_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return pitman_yor.score(table(spark, sf_dir, "documents"))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "rate", "copies")
@@ -63,7 +68,7 @@ def op10_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_mix_sources, op5_minimax_shards, op6_secret_ownership, op8_chosen_path_near_duplicates, op9_positional_decontamination, op10_crf_language)}
+    return {f.__name__: f for f in (op1_pitman_yor_score, op3_mix_sources, op5_minimax_shards, op6_secret_ownership, op8_chosen_path_near_duplicates, op9_positional_decontamination, op10_crf_language)}
 
 
 def oracle_sql() -> dict[str, str]:
