@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import decontaminate, langid, mixing, near_text, pitman_yor, secrets, sharding
+from granary.llm import decontaminate, langid, mixing, near_text, near_vectors, pitman_yor, secrets, sharding
 from granary.llm.session import ship, training
 
 
@@ -39,6 +39,11 @@ def op6_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_grid_order_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return near_vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op8_chosen_path_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     return near_text.near_duplicates(table(spark, sf_dir, "documents"))
@@ -68,7 +73,7 @@ def op10_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pitman_yor_score, op3_mix_sources, op5_minimax_shards, op6_secret_ownership, op8_chosen_path_near_duplicates, op9_positional_decontamination, op10_crf_language)}
+    return {f.__name__: f for f in (op1_pitman_yor_score, op3_mix_sources, op5_minimax_shards, op6_secret_ownership, op7_grid_order_near_vectors, op8_chosen_path_near_duplicates, op9_positional_decontamination, op10_crf_language)}
 
 
 def oracle_sql() -> dict[str, str]:
