@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import decontaminate, langid, mixing, near_text, near_vectors, pitman_yor, secrets, sharding
+from granary.llm import decontaminate, langid, license_scan, mixing, near_text, near_vectors, pitman_yor, secrets, sharding, url_lists
 from granary.llm.session import ship, training
 
 
@@ -20,6 +20,33 @@ def op1_pitman_yor_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pitman_yor.score(table(spark, sf_dir, "documents"))
 
 
+#: A fixed choice of captured hosts makes the list: host patterns change on two days, domains and first path segments on one.
+LISTED_SQL = """
+with seen as (
+  select distinct lower(regexp_extract(url, '^[a-zA-Z]+://([^/?#:]+)', 1)) as host, regexp_extract(url, '^[a-zA-Z]+://[^/?#]+/([^/?#]+)', 1) as segment from pages
+), named as (
+  select host, segment, regexp_extract(host, '([^.]+[.][^.]+[.][^.]+)$', 1) as domain from seen where host <> ''
+), entries as (
+  select 'host' as kind, host as pattern, 'block' as action, date_add(date '2024-01-01', cast(length(host) * 7 % 120 as int)) as listed_on from named
+  union all select 'host', host, 'allow', date_add(date '2024-01-01', cast(length(host) * 7 % 120 + 150 as int)) from named
+  union all select 'domain', domain, 'block', date_add(date '2024-01-01', cast(length(domain) * 11 % 300 as int)) from named where domain <> ''
+  union all select 'prefix', concat(host, '/', segment), 'allow', date '2024-06-01' from named where segment = 'de'
+)
+select distinct kind, pattern, action, listed_on from entries
+"""
+
+
+def op2_temporal_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    captures = pages.withColumn("fetched_on", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") * 37 % 365).cast("int")))
+    return url_lists.evaluate(captures, spark.sql(LISTED_SQL.replace("from pages", "from {pages}"), pages=pages))
+
+
+def op4_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return license_scan.summary(license_scan.scan(table(spark, sf_dir, "documents")))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "rate", "copies")
@@ -73,7 +100,7 @@ def op10_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pitman_yor_score, op3_mix_sources, op5_minimax_shards, op6_secret_ownership, op7_grid_order_near_vectors, op8_chosen_path_near_duplicates, op9_positional_decontamination, op10_crf_language)}
+    return {f.__name__: f for f in (op1_pitman_yor_score, op2_temporal_url_lists, op3_mix_sources, op4_license_templates, op5_minimax_shards, op6_secret_ownership, op7_grid_order_near_vectors, op8_chosen_path_near_duplicates, op9_positional_decontamination, op10_crf_language)}
 
 
 def oracle_sql() -> dict[str, str]:
