@@ -4,16 +4,19 @@ Documents are sets of word shingles with a MinHash signature; equal sets
 collapse to one representative. Independent trees then branch the
 representatives: a node picks one signature coordinate, and a second one at
 times so that a pair at the threshold shares one child on average, and deals
-documents to children by their value there. Nodes with few members are compared
-exhaustively; larger ones branch on. A node that is still large at the depth
-limit holds documents alike in every chosen coordinate: all its members are
-compared with a pivot, and what that leaves in different components is compared
-with all members of the other ones, so no link is lost to a cap.
+documents to children by their value there, until nodes have few members.
+
+Work stays linear in a node's size because components, not pairs, are asked
+for. First every member is compared with its node's pivot. Nodes that then hold
+one component only are done. In the others, few members are compared
+exhaustively across components, and large nodes branch on, down to a depth at
+which all members agree in every chosen coordinate; there, members outside the
+largest component are compared with all of the others, so no link is lost to a
+cap.
 
 Candidates that agree in too few coordinates go (at 64 coordinates and a
 similarity of 0.85, agreement below 0.64 has odds of some 1e-5 a pair); the
-rest are confirmed on the full shingle sets, first along a spanning choice of
-pairs, then between components that this leaves apart.
+rest are confirmed on the full shingle sets.
 
 Defined cases: null or blank texts have an empty set and link with nothing;
 texts of fewer words than a shingle are one shingle; rows that repeat are in one
@@ -213,9 +216,10 @@ def _confirm(percent: int):
 class ChosenPath:
     """One run of the join; ``documents()`` gives one row a document."""
 
-    def __init__(self, docs: DataFrame, *, doc_id="doc_id", text="text", width=5, percent=85, trees=16, small=32, depth=6):
+    def __init__(self, docs: DataFrame, *, doc_id="doc_id", text="text", width=5, percent=85, trees=16, small=32, shallow=4, depth=12):
         self.docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-        self.width, self.percent, self.trees, self.small, self.depth = width, percent, trees, small, depth
+        self.width, self.percent, self.trees, self.small = width, percent, trees, small
+        self.shallow, self.depth = shallow, depth
         self.similarity = percent / 100
         self.least_agreement = int((self.similarity - 0.21) * COORDINATES)
         self.n = partitions(docs.sparkSession)
@@ -243,37 +247,64 @@ class ChosenPath:
 
     def labels(self) -> DataFrame:
         small, large = self.grown()
-        pairs = self.alike(small.union(large.select(F.least("rep", "pivot"), F.greatest("rep", "pivot"))))
-        first = pairs.groupBy("b").agg(F.max_by("a", F.struct("agree", "a")).alias("a")).select("a", "b")
+        stars = self.alike(small.union(large).where("rep <> pivot").select(F.least("rep", "pivot"), F.greatest("rep", "pivot")))
+        first = stars.groupBy("b").agg(F.max_by("a", F.struct("agree", "a")).alias("a")).select("a", "b")
         links = cut(self.confirmed(first))
         labels = components(links)
-        links = links.union(cut(self.confirmed(self.apart(pairs, labels))))
+        across = self.alike(self.across(self.mixed(small, labels)))
+        links = links.union(cut(self.confirmed(self.apart(stars.union(across), labels))))
         labels = components(links)
-        links = links.union(cut(self.confirmed(self.alike(self.rest(large, labels)))))
-        return components(links)
+        deep = self.deeper(large, labels)
+        if deep is None:
+            return labels
+        return components(links.union(cut(self.confirmed(self.alike(deep)))))
+
+    def level(self, rows: DataFrame) -> DataFrame:
+        """rows (node, rep) with the members and the pivot of their nodes, without lone ones."""
+        rows = cut(rows.repartition(self.n, "node"))
+        sizes = rows.groupBy("node").agg(F.count("*").alias("members"), F.min_by("rep", F.xxhash64("node", "rep")).alias("pivot"))
+        return cut(rows.join(sizes.where("members > 1"), "node"))
+
+    def branched(self, members: DataFrame) -> DataFrame:
+        return members.select("node", "rep").join(self.reps.select("rep", "sig"), "rep").select("node", "rep", "sig").mapInArrow(
+            _grow(self.similarity), "node long, rep long"
+        )
 
     def grown(self) -> tuple[DataFrame, DataFrame]:
-        """Pairs (a < b) of small nodes, and members with a pivot (node, rep, pivot) of those still large at the depth limit."""
-        level = self.reps.select("rep", "sig").mapInArrow(_plant(self.trees, self.similarity), "node long, rep long")
-        pairs, large = [], None
-        for depth in range(1, self.depth + 1):
-            level = cut(level.repartition(self.n, "node"))
-            sizes = level.groupBy("node").agg(F.count("*").alias("members"), F.min_by("rep", F.xxhash64("node", "rep")).alias("pivot"))
-            some = cut(level.join(sizes.where("members > 1"), "node"))
-            few = some.where(F.col("members") <= self.small).groupBy("node").agg(F.array_sort(F.collect_set("rep")).alias("m"))
-            pairs.append(
-                few.select("m", F.posexplode("m").alias("i", "a"))
-                .select("a", F.explode(F.expr("slice(m, i + 2, size(m))")).alias("b"))
-                .distinct()
-            )
-            large = some.where(F.col("members") > self.small).select("node", "rep", "pivot")
-            if depth == self.depth or large.isEmpty():
-                break
-            level = large.join(self.reps.select("rep", "sig"), "rep").select("node", "rep", "sig").mapInArrow(_grow(self.similarity), "node long, rep long")
-        union = pairs[0]
-        for p in pairs[1:]:
-            union = union.union(p)
-        return union, large
+        """Members (node, rep, pivot) of small nodes, and of nodes that are still large at the first depth limit."""
+        rows = self.reps.select("rep", "sig").mapInArrow(_plant(self.trees, self.similarity), "node long, rep long")
+        small = None
+        for depth in range(1, self.shallow + 1):
+            some = self.level(rows)
+            few, large = (some.where(c).select("node", "rep", "pivot") for c in (F.col("members") <= self.small, F.col("members") > self.small))
+            small = few if small is None else small.union(few)
+            if depth == self.shallow or large.isEmpty():
+                return small, large
+            rows = self.branched(large)
+
+    def mixed(self, members: DataFrame, labels: DataFrame) -> DataFrame:
+        """node, rep, of (component): members of nodes with more than one component."""
+        of = members.select("node", "rep").join(labels.toDF("rep", "of"), "rep", "left").select("node", "rep", F.coalesce("of", "rep").alias("of"))
+        more = of.groupBy("node").agg(F.min("of").alias("x"), F.max("of").alias("y")).where("x <> y").select("node")
+        return of.join(more, "node")
+
+    def across(self, mixed: DataFrame) -> DataFrame:
+        """Pairs of members of different components, in nodes of few members."""
+        other = mixed.toDF("node", "b", "of_b")
+        return mixed.join(other, "node").where("of <> of_b and rep < b").select(F.col("rep").alias("a"), "b")
+
+    def deeper(self, large: DataFrame, labels: DataFrame) -> DataFrame | None:
+        """Pairs that large nodes of several components come down to."""
+        found = None
+        mixed = cut(self.mixed(large, labels))
+        for depth in range(self.shallow + 1, self.depth + 1):
+            if mixed.isEmpty():
+                return found
+            some = self.level(self.branched(mixed))
+            few = self.across(self.mixed(some.where(F.col("members") <= self.small), labels)).distinct()
+            found = few if found is None else found.union(few)
+            mixed = cut(self.mixed(some.where(F.col("members") > self.small), labels))
+        return self.rest(mixed) if found is None else found.union(self.rest(mixed))
 
     def alike(self, pairs: DataFrame) -> DataFrame:
         """a, b, agree of the pairs whose sizes and signatures allow a link."""
@@ -294,14 +325,12 @@ class ChosenPath:
         joined = pairs.select("a", "b").join(of("a"), "a", "left").join(of("b"), "b", "left")
         return joined.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
 
-    def rest(self, large: DataFrame, labels: DataFrame) -> DataFrame:
-        """Of large nodes: all pairs of a member outside the node's largest component with a member of another component."""
-        member = large.join(labels.toDF("rep", "of"), "rep", "left").select("node", "rep", F.coalesce("of", "rep").alias("of"))
-        parts = member.groupBy("node", "of").count()
-        most = parts.groupBy("node").agg(F.max_by("of", F.struct("count", "of")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
-        mixed = member.join(most.select("node", "main"), "node")
-        odd = mixed.where("of <> main").select("node", F.col("rep").alias("x"), F.col("of").alias("of_x"))
-        pairs = mixed.select("node", "rep", "of").join(odd, "node").where("of <> of_x")
+    def rest(self, mixed: DataFrame) -> DataFrame:
+        """All pairs of a member outside its node's largest component with a member of another component."""
+        parts = mixed.groupBy("node", "of").count()
+        most = parts.groupBy("node").agg(F.max_by("of", F.struct("count", "of")).alias("main"))
+        odd = mixed.join(most, "node").where("of <> main").select("node", F.col("rep").alias("x"), F.col("of").alias("of_x"))
+        pairs = mixed.join(odd, "node").where("of <> of_x")
         return pairs.select(F.least("rep", "x").alias("a"), F.greatest("rep", "x").alias("b"))
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
