@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.llm import text as tx
-from granary.llm.session import cut
+from granary.llm.session import cut, sized
 
 WIDTH = 13
 #: Words of the benchmark that are held in memory at once (some 100 bytes each with their windows).
@@ -249,3 +249,11 @@ def judged(found: DataFrame, least_share: float = 0.05) -> DataFrame:
     return found.withColumn("n_hit", covered).withColumn(
         "contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * parts >= F.col("n_words"))
     )
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, *, doc_id="doc_id", text="text", least_share: float = 0.05) -> DataFrame:
+    """The rows of ``docs`` that aren't contaminated."""
+    index = build_index(docs, doc_id=doc_id, text=text, tag=F.xxhash64(text))
+    bad = judged(search(index, benchmark), least_share).where("contaminated")
+    bad = sized(cut(bad.select(F.col("doc_id").alias("id_"), F.col("tag").alias("tag_")).distinct()))
+    return docs.join(bad, F.col(doc_id).cast("long").eqNullSafe(bad["id_"]) & (F.xxhash64(text) == bad["tag_"]), "left_anti")

@@ -239,11 +239,11 @@ def sample(docs: DataFrame, *, doc_id="doc_id", text="text", lang="lang", mod=3,
     return [t for _, t in found], [x for x, _ in found]
 
 
-def _label(shared):
+def _label(shared, text: str):
     def run(batches):
         m: Model | None = shared.value
         for batch in batches:
-            data, offsets = tx.buffers(batch.column("text"))
+            data, offsets = tx.buffers(batch.column(text))
             for i, j in tx.slices(offsets, 1 << 20):
                 w = tx.words(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], tx.LETTERS)
                 label, score = [UNKNOWN] * (j - i), np.zeros(j - i)
@@ -258,19 +258,21 @@ def _label(shared):
                     best = total.argmax(axis=1)
                     for k in some:
                         # words that begin with a byte of a longer character may hold no letter
-                        if plain[k] or any(c.isalpha() for c in batch.column("text")[i + int(k)].as_py()):
+                        if plain[k] or any(c.isalpha() for c in batch.column(text)[i + int(k)].as_py()):
                             label[k], score[k] = m.languages[best[k]], min(1.0, total[k, best[k]])
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c)[i:j] for c in batch.schema.names if c != "text"), pa.array(label), pa.array(score)],
-                    [*(c for c in batch.schema.names if c != "text"), "lang_pred", "score"],
+                    [*(batch.column(c)[i:j] for c in batch.schema.names if c != "__text"), pa.array(label), pa.array(score)],
+                    [*(c for c in batch.schema.names if c != "__text"), "lang_pred", "score"],
                 )
 
     return run
 
 
 def predict(docs: DataFrame, model: Model | None, *, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Columns ``keep`` of each document with lang_pred and score."""
-    rows = docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("text"))
+    """Columns ``keep`` of each document with lang_pred and score, which replace columns of these names."""
+    keep = [c for c in keep if c not in ("lang_pred", "score")]
+    name = text if text in keep else "__text"
+    rows = docs.select(*keep, *([] if text in keep else [F.col(text).alias(name)]))
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
-    return rows.mapInArrow(_label(shared), f"{kinds}, lang_pred string, score double")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "__text")
+    return rows.mapInArrow(_label(shared, name), f"{kinds}, lang_pred string, score double")

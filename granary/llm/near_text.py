@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from granary.llm import text as tx
 from granary.llm.graph import components
-from granary.llm.session import cut, partitions
+from granary.llm.session import cut, partitions, sized
 
 COORDINATES = 64
 _SET_BITS = np.uint64(50)
@@ -97,12 +97,13 @@ def _sign(width: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id")[i:j],
+                        batch.column("tag")[i:j],
                         pa.array(sizes, pa.int64()),
                         pa.array(full[:, 0].view(np.int64)),
                         pa.array(full[:, 1].view(np.int64)),
                         pa.array(rows, pa.binary()),
                     ],
-                    ["doc_id", "n_shingles", "lo", "hi", "sig"],
+                    ["doc_id", "tag", "n_shingles", "lo", "hi", "sig"],
                 )
 
     return run
@@ -217,7 +218,7 @@ class ChosenPath:
     """One run of the join; ``documents()`` gives one row a document."""
 
     def __init__(self, docs: DataFrame, *, doc_id="doc_id", text="text", width=5, percent=85, trees=16, small=32, shallow=4, depth=12):
-        self.docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+        self.docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("tag"))
         self.width, self.percent, self.trees, self.small = width, percent, trees, small
         self.shallow, self.depth = shallow, depth
         self.similarity = percent / 100
@@ -225,8 +226,8 @@ class ChosenPath:
         self.n = partitions(docs.sparkSession)
 
     def documents(self) -> DataFrame:
-        """doc_id, n_shingles, component_id, kept."""
-        signed = cut(self.docs.mapInArrow(_sign(self.width), "doc_id long, n_shingles long, lo long, hi long, sig binary"))
+        """doc_id, tag (hash of the text), n_shingles, component_id, kept."""
+        signed = cut(self.docs.mapInArrow(_sign(self.width), "doc_id long, tag long, n_shingles long, lo long, hi long, sig binary"))
         # what repeats of a set carry is equal, so any one signature serves
         self.sets = cut(
             signed.where("n_shingles > 0")
@@ -239,9 +240,9 @@ class ChosenPath:
         classes = classes.select("lo", "hi", F.coalesce("component", "rep").alias("component_id"))
         component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
         return (
-            signed.select("doc_id", "n_shingles", "lo", "hi")
+            signed.select("doc_id", "tag", "n_shingles", "lo", "hi")
             .join(classes, ["lo", "hi"], "left")
-            .select("doc_id", "n_shingles", component.alias("component_id"))
+            .select("doc_id", "tag", "n_shingles", component.alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
         )
 
@@ -344,7 +345,7 @@ class ChosenPath:
         wants = wants.join(self.reps.select("rep", "lo"), "rep")
         wants = cut(wants)
         few = wants.count() <= BROADCAST_ROWS
-        texts = self.docs.where("doc_id is not null").withColumnRenamed("doc_id", "rep").join(F.broadcast(wants) if few else wants, "rep")
+        texts = self.docs.where("doc_id is not null").select(F.col("doc_id").alias("rep"), "text").join(F.broadcast(wants) if few else wants, "rep")
         sets = texts.select("rep", "key", "salt", "role", "lo", "text").mapInArrow(
             _sets(self.width), "rep long, key long, salt int, role int, shingles binary"
         )
@@ -357,4 +358,18 @@ class ChosenPath:
 
 def near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of each document; options are those of ``ChosenPath``."""
-    return ChosenPath(docs, **options).documents()
+    return ChosenPath(docs, **options).documents().drop("tag")
+
+
+def one_each(docs: DataFrame, *, doc_id="doc_id", text="text", **options) -> DataFrame:
+    """The rows of ``docs`` with one document of each component: that of the least id; of repeated rows, one."""
+    found = cut(ChosenPath(docs, doc_id=doc_id, text=text, **options).documents())
+    same = lambda keys: (F.col(doc_id).cast("long").eqNullSafe(keys["id_"])) & (F.xxhash64(text) == keys["tag_"])
+    keys = lambda rows: cut(rows.select(F.col("doc_id").alias("id_"), F.col("tag").alias("tag_")).distinct())
+    stays = F.col("kept") | F.col("component_id").isNull()
+    gone = sized(keys(found.where(~stays)))
+    again = sized(keys(found.where(stays & (F.col("n_shingles") > 0)).groupBy("doc_id", "tag").count().where("count > 1")))
+    left = docs.join(gone, same(gone), "left_anti")
+    single = left.join(again, same(again), "left_anti")
+    # rows that occur more than once under one id and text: usually none
+    return single.union(left.join(again, same(again), "left_semi").dropDuplicates([doc_id, text]))

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from granary.llm import decontaminate, langid, license_scan, mixing, near_text, near_vectors, pitman_yor, secrets, sharding, url_lists
 from granary.llm.session import ship, training
 
@@ -100,7 +101,19 @@ def op10_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pitman_yor_score, op2_temporal_url_lists, op3_mix_sources, op4_license_templates, op5_minimax_shards, op6_secret_ownership, op7_grid_order_near_vectors, op8_chosen_path_near_duplicates, op9_positional_decontamination, op10_crf_language)}
+    operators = (
+        op1_pitman_yor_score,
+        op2_temporal_url_lists,
+        op3_mix_sources,
+        op4_license_templates,
+        op5_minimax_shards,
+        op6_secret_ownership,
+        op7_grid_order_near_vectors,
+        op8_chosen_path_near_duplicates,
+        op9_positional_decontamination,
+        op10_crf_language,
+    )
+    return {f.__name__: f for f in operators} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
