@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from granary.llm import text as tx
-from granary.llm.session import training
+from granary.llm.session import cut, sized, training
 
 UNKNOWN = "und"
 PER_LANGUAGE, MOST_CHARS = 250, 20_000
@@ -228,10 +228,16 @@ def sample(docs: DataFrame, *, doc_id="doc_id", text="text", lang="lang", mod=3,
 
     Ids are chosen without reading texts; twice as many as wanted, as some texts may be too long.
     """
-    place = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    mark = F.xxhash64("doc_id")
+    place = Window.partitionBy("lang").orderBy(F.pmod(mark, F.lit(1 << 30)), "doc_id")
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
     fold = rows.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~training(F.col("doc_id"), mod, held))
-    chosen = fold.select("doc_id", "lang").withColumn("place", F.row_number().over(place)).where(F.col("place") <= 2 * per_language)
+    # of a frequent language only ids with a small enough hash are ranked: some four times as many as wanted
+    counts = fold.groupBy(F.col("lang").alias("lang_")).count()
+    share = F.least(F.lit(1.0), (4 * per_language + 100) / F.col("count"))
+    few = fold.select("doc_id", "lang").join(sized(cut(counts)), F.col("lang") == F.col("lang_"))
+    few = few.where(F.pmod(mark, F.lit(1 << 30)) < share * (1 << 30)).select("doc_id", "lang")
+    chosen = few.withColumn("place", F.row_number().over(place)).where(F.col("place") <= 2 * per_language)
     # at most 2 * per_language ids for each language
     texts = fold.join(F.broadcast(chosen.select("doc_id", "place").distinct()), "doc_id").where(F.length("text") <= most_chars)
     best = texts.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("place", "text"))).where(F.col("n") <= per_language)
