@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.session import cut
+from granary.llm.session import cut, release
 
 
 def _forest(batches):
@@ -30,19 +30,25 @@ def _forest(batches):
     yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([root(x) for x in nodes], pa.int64())], ["u", "v"])
 
 
-def components(links: DataFrame) -> DataFrame:
+#: Links that one task takes into its spanning forest (some 200 bytes each).
+TASK_LINKS = 500_000
+
+
+def components(links: DataFrame, task_links: int = TASK_LINKS) -> DataFrame:
     """node, component (least node reached) of all nodes of ``links`` (columns a, b, longs) that aren't their component's least.
 
-    Links first shrink to a forest in each partition. Then every round hangs nodes onto smaller neighbours;
-    minima are pre-aggregated, so a node with very many links costs no task more than its share.
+    Links first shrink to a forest in each task, tasks being as many as the links need; the forest of a single task is
+    the result. Otherwise every round hangs nodes onto smaller neighbours; minima are pre-aggregated, so a node with
+    very many links costs no task more than its share.
     """
-    pair = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    now = cut(pair.mapInArrow(_forest, "u long, v long").distinct())
+    pair = cut(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")))
+    tasks = max(1, -(-pair.count() // task_links))
+    now = cut(pair.coalesce(tasks).mapInArrow(_forest, "u long, v long"))
     seen = None
-    while True:
+    while tasks > 1:
         mark = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % (1 << 40))).first()
         if mark == seen:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
+            break
         seen = mark
         both = now.union(now.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
@@ -50,3 +56,5 @@ def components(links: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = cut(small.union(least.select("u", "m")).distinct())
+    release(now.sparkSession)
+    return now.select(F.col("u").alias("node"), F.col("v").alias("component"))

@@ -9,10 +9,10 @@ documents to children by their value there, until nodes have few members.
 Work stays linear in a node's size because components, not pairs, are asked
 for. First every member is compared with its node's pivot. Nodes that then hold
 one component only are done. In the others, few members are compared
-exhaustively across components, and large nodes branch on, down to a depth at
-which all members agree in every chosen coordinate; there, members outside the
-largest component are compared with all of the others, so no link is lost to a
-cap.
+exhaustively across components. In large nodes, members outside the largest
+component are compared with all others if they are few; else the node branches
+on, down to a depth at which all members agree in every chosen coordinate and
+that comparison is made however many they are, so no link is lost to a cap.
 
 Candidates that agree in too few coordinates go (at 64 coordinates and a
 similarity of 0.85, agreement below 0.64 has odds of some 1e-5 a pair); the
@@ -41,6 +41,8 @@ _rng = np.random.default_rng(7)
 _ODD = _rng.integers(1, 2**63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: Wanted texts up to this many rows (8 to 40 bytes each) are sent to every executor; more are joined by a shuffle.
 BROADCAST_ROWS = 500_000
+#: Members outside a large node's main component that are compared with all others before the node branches on.
+FEW = 8
 #: Comparisons with one pivot that one task makes before a salt deals out the rest.
 PIVOT_ROWS = 128
 
@@ -262,7 +264,6 @@ class ChosenPath:
 
     def level(self, rows: DataFrame) -> DataFrame:
         """rows (node, rep) with the members and the pivot of their nodes, without lone ones."""
-        rows = cut(rows.repartition(self.n, "node"))
         sizes = rows.groupBy("node").agg(F.count("*").alias("members"), F.min_by("rep", F.xxhash64("node", "rep")).alias("pivot"))
         return cut(rows.join(sizes.where("members > 1"), "node"))
 
@@ -295,17 +296,29 @@ class ChosenPath:
         return mixed.join(other, "node").where("of <> of_b and rep < b").select(F.col("rep").alias("a"), "b")
 
     def deeper(self, large: DataFrame, labels: DataFrame) -> DataFrame | None:
-        """Pairs that large nodes of several components come down to."""
+        """Pairs that large nodes of several components come down to.
+
+        Where only a few members lie outside the largest component, these meet all others at once.
+        """
         found = None
         mixed = cut(self.mixed(large, labels))
-        for depth in range(self.shallow + 1, self.depth + 1):
+        for depth in range(self.shallow, self.depth + 1):
             if mixed.isEmpty():
-                return found
-            some = self.level(self.branched(mixed))
-            few = self.across(self.mixed(some.where(F.col("members") <= self.small), labels)).distinct()
-            found = few if found is None else found.union(few)
+                break
+            parts = mixed.groupBy("node", "of").count()
+            main = parts.groupBy("node").agg(
+                F.max_by("of", F.struct("count", "of")).alias("main"), (F.sum("count") - F.max("count")).alias("odd")
+            )
+            marked = cut(mixed.join(main, "node"))
+            last = depth == self.depth
+            pairs = self.rest(marked if last else marked.where(F.col("odd") <= FEW))
+            found = pairs if found is None else found.union(pairs)
+            if last:
+                break
+            some = self.level(self.branched(marked.where(F.col("odd") > FEW)))
+            found = found.union(self.across(self.mixed(some.where(F.col("members") <= self.small), labels)))
             mixed = cut(self.mixed(some.where(F.col("members") > self.small), labels))
-        return self.rest(mixed) if found is None else found.union(self.rest(mixed))
+        return found
 
     def alike(self, pairs: DataFrame) -> DataFrame:
         """a, b, agree of the pairs whose sizes and signatures allow a link."""
@@ -326,12 +339,10 @@ class ChosenPath:
         joined = pairs.select("a", "b").join(of("a"), "a", "left").join(of("b"), "b", "left")
         return joined.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
 
-    def rest(self, mixed: DataFrame) -> DataFrame:
+    def rest(self, marked: DataFrame) -> DataFrame:
         """All pairs of a member outside its node's largest component with a member of another component."""
-        parts = mixed.groupBy("node", "of").count()
-        most = parts.groupBy("node").agg(F.max_by("of", F.struct("count", "of")).alias("main"))
-        odd = mixed.join(most, "node").where("of <> main").select("node", F.col("rep").alias("x"), F.col("of").alias("of_x"))
-        pairs = mixed.join(odd, "node").where("of <> of_x")
+        odd = marked.where("of <> main").select("node", F.col("rep").alias("x"), F.col("of").alias("of_x"))
+        pairs = marked.select("node", "rep", "of").join(odd, "node").where("of <> of_x")
         return pairs.select(F.least("rep", "x").alias("a"), F.greatest("rep", "x").alias("b"))
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:

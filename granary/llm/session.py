@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import io
 import tempfile
 import zipfile
@@ -42,6 +43,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete shuffle and checkpoint files of plans that nothing refers to any more.
+
+    It does so only when the driver collects garbage, which long iterative jobs would otherwise do too late.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
