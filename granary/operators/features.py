@@ -53,10 +53,6 @@ class FeatureConfig:
 
 
 Features = dict[str, Column]
-#: One order for all history windows, so they share a sort.
-DAY = F.unix_date("date").alias("__day")
-
-
 def _own() -> WindowSpec:
     return Window.partitionBy("store_id", "product_id").orderBy("__day")
 
@@ -195,7 +191,8 @@ def inventory_features(c: FeatureConfig) -> Features:
 def history(rows: DataFrame, c: FeatureConfig, *catalogues: Features) -> DataFrame:
     """``rows`` with features over a product's own history."""
     wanted = {k: v for part in catalogues for k, v in part.items()}
-    return rows.select("*", DAY).select("*", *[v.alias(k) for k, v in wanted.items()])
+    # one order for all history windows, so they share a sort
+    return rows.select("*", F.unix_date("date").alias("__day")).select("*", *[v.alias(k) for k, v in wanted.items()])
 
 
 def demand_features(rows: DataFrame, c: FeatureConfig | None = None, store_partitions: int | None = None) -> DataFrame:
