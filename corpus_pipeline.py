@@ -20,7 +20,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Drops texts of no learned language; a null lang becomes the predicted one."""
     ship(spark)
     columns = docs.columns
-    model = langid.fit(*langid.sample(docs))
+    model = langid.train(docs)
     judged = langid.predict(docs, model, keep=tuple(columns))
     known = judged.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SHARE))
     return known.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*columns)

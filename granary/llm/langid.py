@@ -21,6 +21,7 @@ nor trained on; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,10 +34,12 @@ from granary.llm import text as tx
 from granary.llm.session import cut, sized, training
 
 UNKNOWN = "und"
-PER_LANGUAGE, MOST_CHARS = 250, 20_000
+PER_LANGUAGE, MOST_CHARS = 200, 20_000
 #: Hashed n-gram weights; n-grams of these lengths, over bytes with a mark at each end of a word.
 SLOTS, GRAMS = 1 << 17, (1, 2, 3, 4)
 LEXICON = 400
+#: Distinct words whose n-grams are held at once (some 5 kB each).
+CHUNK = 10_000
 _EDGE = 0x20
 
 
@@ -101,6 +104,12 @@ def features(w: tx.Words, pick: np.ndarray, lexicon: np.ndarray) -> Features:
     return Features(slots[order], bounds, (tx.mix(hashes) % np.uint64(SLOTS)).astype(np.int64), entry)
 
 
+def chunks(w: tx.Words, pick: np.ndarray, lexicon: np.ndarray):
+    """Features of the distinct words, a chunk of them at a time."""
+    for k in range(0, len(pick), CHUNK):
+        yield features(w, pick[k : k + CHUNK], lexicon)
+
+
 def _scale(f: Features) -> np.ndarray:
     return 1 / np.sqrt(np.diff(np.append(f.bounds, len(f.slots))))
 
@@ -186,10 +195,7 @@ def fit(texts: list[str], labels: list[str], *, rounds: int = 45, rate: float =
     lexicon = np.unique(np.concatenate(listed))
     member = np.stack([np.isin(lexicon, x) for x in listed], axis=1).astype(float)
     m = Model(languages, np.zeros((SLOTS, n)), lexicon, member, np.zeros((n, n)), np.zeros(n), np.zeros((n, n)), np.zeros(n))
-    f = features(w, pick, lexicon)
-    scale = _scale(f)
-    in_slot = np.repeat(np.arange(len(pick)), np.diff(np.append(f.bounds, len(f.slots))))
-    known = f.entry >= 0
+    parts = list(chunks(w, pick, lexicon))
     words, count = spliced(w, gold_of_text, np.random.default_rng(seed))
     gold = gold_of_text[w.text][words]
     first = np.cumsum(count) - count
@@ -200,16 +206,21 @@ def fit(texts: list[str], labels: list[str], *, rounds: int = 45, rate: float =
     names = ("grams", "by_lexicon", "bias", "trans", "start")
     moment = {k: (np.zeros_like(getattr(m, k)), np.zeros_like(getattr(m, k))) for k in names}
     for step in range(1, rounds + 1):
-        posterior, expected = marginals(emissions(m, f)[of[words]], count, m.trans, m.start)
+        every = np.concatenate([emissions(m, f) for f in parts])
+        posterior, expected = marginals(every[of[words]], count, m.trans, m.start)
         miss = hot - posterior
         by_word = np.stack([np.bincount(of[words], miss[:, k], len(pick)) for k in range(n)], axis=1)
-        spread = (by_word * scale[:, None])[in_slot]
-        grams = np.stack(
-            [np.bincount(f.slots, spread[:, k], SLOTS) + np.bincount(f.own, by_word[:, k], SLOTS) for k in range(n)], axis=1
-        )
+        grams, listed_in = np.zeros((SLOTS, n)), np.zeros((n, n))
+        for k, f in enumerate(parts):
+            mine = by_word[k * CHUNK : (k + 1) * CHUNK]
+            spread = np.repeat(mine * _scale(f)[:, None], np.diff(np.append(f.bounds, len(f.slots))), axis=0)
+            for j in range(n):
+                grams[:, j] += np.bincount(f.slots, spread[:, j], SLOTS) + np.bincount(f.own, mine[:, j], SLOTS)
+            known = f.entry >= 0
+            listed_in += m.member[f.entry[known]].T @ mine[known]
         slope = {
             "grams": grams,
-            "by_lexicon": m.member[f.entry[known]].T @ by_word[known],
+            "by_lexicon": listed_in,
             "bias": by_word.sum(axis=0),
             "trans": seen - expected,
             "start": miss[first].sum(axis=0),
@@ -224,7 +235,7 @@ def fit(texts: list[str], labels: list[str], *, rounds: int = 45, rate: float =
 
 
 def sample(docs: DataFrame, *, doc_id="doc_id", text="text", lang="lang", mod=3, held=1, per_language=PER_LANGUAGE, most_chars=MOST_CHARS):
-    """The bounded training sample: texts and labels of some documents that aren't held out.
+    """The bounded training sample: lang and text of some documents that aren't held out.
 
     Ids are chosen without reading texts; twice as many as wanted, as some texts may be too long.
     """
@@ -241,8 +252,19 @@ def sample(docs: DataFrame, *, doc_id="doc_id", text="text", lang="lang", mod=3,
     # at most 2 * per_language ids for each language
     texts = fold.join(F.broadcast(chosen.select("doc_id", "place").distinct()), "doc_id").where(F.length("text") <= most_chars)
     best = texts.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("place", "text"))).where(F.col("n") <= per_language)
-    found = sorted((r[0], r[1]) for r in best.select("lang", "text").collect())
-    return [t for _, t in found], [x for x, _ in found]
+    return best.select("lang", "text")
+
+
+def _fit(batches):
+    rows = sorted(pair for batch in batches for pair in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True))
+    model = fit([t for _, t in rows], [x for x, _ in rows])
+    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+
+
+def train(docs: DataFrame, **options) -> Model | None:
+    """The model of the sample, which is small enough for one task."""
+    fitted = sample(docs, **options).repartition(1).mapInArrow(_fit, "model binary").first()
+    return pickle.loads(fitted[0]) if fitted else None
 
 
 def _label(shared, text: str):
@@ -255,7 +277,8 @@ def _label(shared, text: str):
                 label, score = [UNKNOWN] * (j - i), np.zeros(j - i)
                 if m is not None and len(w.hash):
                     pick, of = vocabulary(w)
-                    posterior, _ = marginals(emissions(m, features(w, pick, m.lexicon))[of], w.count, m.trans, m.start)
+                    every = np.concatenate([emissions(m, f) for f in chunks(w, pick, m.lexicon)])
+                    posterior, _ = marginals(every[of], w.count, m.trans, m.start)
                     total = np.zeros((j - i, len(m.languages)))
                     some = np.flatnonzero(w.count)
                     total[some] = np.add.reduceat(posterior, w.first[some], axis=0) / w.count[some, None]

@@ -95,7 +95,7 @@ def op9_positional_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 def op10_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     docs = table(spark, sf_dir, "documents")
-    model = langid.fit(*langid.sample(docs))
+    model = langid.train(docs)
     held = training(F.col("doc_id"), 3, 1).alias("held_out")
     return langid.predict(docs, model).select("doc_id", held, "lang_pred", "score")
 
