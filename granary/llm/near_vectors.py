@@ -90,33 +90,37 @@ def _project(shared, eps: float):
     return run
 
 
-def _blocks(batches):
-    """Blocks of a partition's sorted sequence."""
-    part = TaskContext.get().partitionId() if TaskContext.get() else 0
-    held, key, number = [], None, 0
-
-    def block():
-        at = np.stack([np.frombuffer(r["at"]) for r in held])
-        columns = [
-            [(part << 32) + number], [part], [number // RUN], [held[0]["label"]], [held[0]["dim"]],
-            *([x] for x in at.min(axis=0)), *([x] for x in at.max(axis=0)),
-            [tx.pack(np.array([r["node"] for r in held]))], [tx.pack(np.array([r["copies"] for r in held]))],
-            [tx.pack(np.frombuffer(b"".join(r["unit"] for r in held)))],
-        ]
-        names = ["block", "part", "run", "label", "dim", *LO, *HI, "nodes", "copies", "units"]
-        kinds = [pa.int64(), pa.int32(), pa.int32(), held_kind, pa.int32(), *[pa.float64()] * (2 * LEADING), *[pa.binary()] * 3]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
-
-    for batch in batches:
-        held_kind = batch.schema.field("label").type
-        for row in batch.select(["node", "label", "dim", "copies", "at", "unit"]).to_pylist():
-            if held and (len(held) == BLOCK or key != (row["label"], row["dim"])):
-                yield block()
-                held, number = [], number + 1
-            key = (row["label"], row["dim"])
-            held.append(row)
-    if held:
-        yield block()
+def _blocks(most: int):
+    """Blocks of up to ``most`` vectors of a partition's sorted sequence."""
+
+    def run(batches):
+        part = TaskContext.get().partitionId() if TaskContext.get() else 0
+        held, key, number = [], None, 0
+
+        def block():
+            at = np.stack([np.frombuffer(r["at"]) for r in held])
+            columns = [
+                [(part << 32) + number], [part], [number // RUN], [held[0]["label"]], [held[0]["dim"]],
+                *([x] for x in at.min(axis=0)), *([x] for x in at.max(axis=0)),
+                [tx.pack(np.array([r["node"] for r in held]))], [tx.pack(np.array([r["copies"] for r in held]))],
+                [tx.pack(np.frombuffer(b"".join(r["unit"] for r in held)))],
+            ]
+            names = ["block", "part", "run", "label", "dim", *LO, *HI, "nodes", "copies", "units"]
+            kinds = [pa.int64(), pa.int32(), pa.int32(), held_kind, pa.int32(), *[pa.float64()] * (2 * LEADING), *[pa.binary()] * 3]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
+        for batch in batches:
+            held_kind = batch.schema.field("label").type
+            for row in batch.select(["node", "label", "dim", "copies", "at", "unit"]).to_pylist():
+                if held and (len(held) == most or key != (row["label"], row["dim"])):
+                    yield block()
+                    held, number = [], number + 1
+                key = (row["label"], row["dim"])
+                held.append(row)
+        if held:
+            yield block()
+
+    return run
 
 
 def near_boxes(eps: float, other: str = "_b") -> Column:
@@ -191,7 +195,7 @@ def _meet(cosine: float):
     return run
 
 
-def near_duplicates(vectors: DataFrame, *, vec_id="vec_id", embedding="embedding", label="label", cosine: float = 0.93) -> DataFrame:
+def near_duplicates(vectors: DataFrame, *, vec_id="vec_id", embedding="embedding", label="label", cosine: float = 0.93, block: int = BLOCK) -> DataFrame:
     """vec_id, n_links, component_id and kept of each vector."""
     spark = vectors.sparkSession
     n = partitions(spark)
@@ -224,7 +228,7 @@ def near_duplicates(vectors: DataFrame, *, vec_id="vec_id", embedding="embedding
     blocks = cut(
         projected.repartitionByRange(n, *order)
         .sortWithinPartitions(*order)
-        .mapInArrow(_blocks, f"block long, part int, run int, label {kind}, dim int, {boxes}, nodes binary, copies binary, units binary")
+        .mapInArrow(_blocks(block), f"block long, part int, run int, label {kind}, dim int, {boxes}, nodes binary, copies binary, units binary")
     )
     pairs = block_pairs(blocks, eps)
     salts = pairs.groupBy("a").agg(F.ceil(F.count("*") / PARTNERS).alias("salts"))
