@@ -7,7 +7,7 @@ part of the benchmark at once: windows with a term that the block lacks drop
 out; for the others the posting lists are intersected, shifted by the terms'
 offsets, from the rarest term of the block on. What is left are exact phrase
 matches. A proximity match needs every term of a window within ``slop`` words of
-one occurrence of its rarest term.
+one occurrence of its first term.
 
 A benchmark of any size runs in parts of about ``PART_WORDS`` words, one pass
 over the stored index each.
@@ -120,7 +120,7 @@ class Windows:
 
 
 def probe(q: Windows, terms: np.ndarray, counts: np.ndarray, positions: np.ndarray, slop: int):
-    """Yields (window, positions of exact matches, positions of the rarest term in proximity matches)."""
+    """Yields (window, positions of exact matches, positions of the first term in proximity matches)."""
     if not len(q.of) or not len(terms):
         return
     at = np.minimum(np.searchsorted(terms, q.terms), len(terms) - 1)
@@ -132,8 +132,8 @@ def probe(q: Windows, terms: np.ndarray, counts: np.ndarray, positions: np.ndarr
         lists = [positions[first[at[t]] : first[at[t] + 1]] for t in of]
         order = np.argsort(often[of], kind="stable")
         exact = lists[order[0]] - order[0]
-        near = lists[order[0]]
-        for o in order[1:]:
+        near = lists[0]
+        for o in order:
             p = lists[o]
             if len(exact):
                 x = np.minimum(np.searchsorted(p, exact + o), len(p) - 1)
@@ -141,7 +141,7 @@ def probe(q: Windows, terms: np.ndarray, counts: np.ndarray, positions: np.ndarr
             if len(near):
                 x = np.searchsorted(p, near - slop)
                 near = near[(x < len(p)) & (p[np.minimum(x, len(p) - 1)] <= near + slop)]
-            elif not len(exact):
+            if not len(exact) and not len(near):
                 break
         if len(exact) or len(near):
             yield int(k), exact, near

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from granary.llm import decontaminate, langid, license_scan, mixing, near_text, near_vectors, pitman_yor, secrets, sharding, url_lists
+from granary.llm import decontaminate, langid, license_scan, mixing, near_text, near_vectors, oracles, pitman_yor, secrets, sharding, url_lists
 from granary.llm.session import ship, training
 
 
@@ -28,9 +28,9 @@ with seen as (
 ), named as (
   select host, segment, regexp_extract(host, '([^.]+[.][^.]+[.][^.]+)$', 1) as domain from seen where host <> ''
 ), entries as (
-  select 'host' as kind, host as pattern, 'block' as action, date_add(date '2024-01-01', cast(length(host) * 7 % 120 as int)) as listed_on from named
-  union all select 'host', host, 'allow', date_add(date '2024-01-01', cast(length(host) * 7 % 120 + 150 as int)) from named
-  union all select 'domain', domain, 'block', date_add(date '2024-01-01', cast(length(domain) * 11 % 300 as int)) from named where domain <> ''
+  select 'host' as kind, host as pattern, 'block' as action, date '2024-01-01' + cast(length(host) * 7 % 120 as int) as listed_on from named
+  union all select 'host', host, 'allow', date '2024-01-01' + cast(length(host) * 7 % 120 + 150 as int) from named
+  union all select 'domain', domain, 'block', date '2024-01-01' + cast(length(domain) * 11 % 300 as int) from named where domain <> ''
   union all select 'prefix', concat(host, '/', segment), 'allow', date '2024-06-01' from named where segment = 'de'
 )
 select distinct kind, pattern, action, listed_on from entries
@@ -117,4 +117,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL for the queries that it can express; models, hash-ordered shards and automata are tested by brute force."""
+    return oracles.oracle_sql(LISTED_SQL)
