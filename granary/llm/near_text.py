@@ -9,10 +9,10 @@ documents to children by their value there, until nodes have few members.
 Work stays linear in a node's size because components, not pairs, are asked
 for. First every member is compared with its node's pivot. Nodes that then hold
 one component only are done. In the others, few members are compared
-exhaustively across components. In large nodes, members outside the largest
-component are compared with all others if they are few; else the node branches
-on, down to a depth at which all members agree in every chosen coordinate and
-that comparison is made however many they are, so no link is lost to a cap.
+exhaustively across components, and large nodes branch on. Nodes still large at
+the depth limit form families around their largest components, whose other
+members are compared with all of the family in blocks, so no link is lost to a
+cap.
 
 Candidates that agree in too few coordinates go (at 64 coordinates and a
 similarity of 0.85, agreement below 0.64 has odds of some 1e-5 a pair); the
@@ -41,8 +41,8 @@ _rng = np.random.default_rng(7)
 _ODD = _rng.integers(1, 2**63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: Wanted texts up to this many rows (8 to 40 bytes each) are sent to every executor; more are joined by a shuffle.
 BROADCAST_ROWS = 500_000
-#: Members outside a large node's main component that are compared with all others before the node branches on.
-FEW = 8
+#: Documents of a family that one task holds, and about how many it compares with them.
+ODD_BLOCK, ALL_BLOCK = 256, 1024
 #: Comparisons with one pivot that one task makes before a salt deals out the rest.
 PIVOT_ROWS = 128
 
@@ -176,8 +176,8 @@ def _sets(width: int):
                     packed.append(tx.pack(step.view(np.uint8).reshape(-1, 8).T))
                 take = pa.array(keep + i)
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c).take(take) for c in ("rep", "key", "salt", "role")), pa.array(packed, pa.binary())],
-                    ["rep", "key", "salt", "role", "shingles"],
+                    [*(batch.column(c).take(take) for c in ("rep", "key", "salt", "role", "of")), pa.array(packed, pa.binary())],
+                    ["rep", "key", "salt", "role", "of", "shingles"],
                 )
 
     return run
@@ -194,6 +194,48 @@ def signatures_of_sets(values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarr
     return sizes, ids
 
 
+def _values(raw: bytes) -> np.ndarray:
+    planes = tx.unpack(raw, np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
+def _family(percent: int):
+    """Links between the sets of role 0 and those of role 1 of another component; one for each pair of set and component."""
+
+    def run(batches):
+        key, held, postings = None, [], None
+        for batch in batches:
+            a, b = [], []
+            columns = (batch.column(c).to_pylist() for c in ("key", "salt", "role", "rep", "of", "shingles"))
+            for k, salt, role, rep, of, raw in zip(*columns, strict=True):
+                if key != (k, salt):
+                    key, held, postings, seen = (k, salt), [], None, set()
+                values = _values(raw)
+                if role == 0:
+                    held.append((rep, of, values))
+                    continue
+                if not held:
+                    continue
+                if postings is None:
+                    every = np.concatenate([v for _, _, v in held])
+                    order = np.argsort(every, kind="stable")
+                    size = np.array([len(v) for _, _, v in held])
+                    postings = (every[order], np.repeat(np.arange(len(held)), size)[order], size, np.array([o for _, o, _ in held]))
+                every, owner, size, labels = postings
+                lo, hi = np.searchsorted(every, values, "left"), np.searchsorted(every, values, "right")
+                n = hi - lo
+                at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                both = np.bincount(owner[at], minlength=len(held))
+                for i in np.flatnonzero((100 * both >= percent * (size + len(values) - both)) & (labels != of)).tolist():
+                    if (i, of) not in seen:
+                        seen.add((i, of))
+                        a.append(held[i][0])
+                        b.append(rep)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return run
+
+
 def _confirm(percent: int):
     def run(batches):
         key, pivot = None, None
@@ -201,8 +243,7 @@ def _confirm(percent: int):
             a, b = [], []
             columns = (batch.column(c).to_pylist() for c in ("key", "salt", "role", "rep", "shingles"))
             for k, salt, role, rep, raw in zip(*columns, strict=True):
-                planes = tx.unpack(raw, np.uint8).reshape(8, -1)
-                values = np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+                values = _values(raw)
                 if role == 0:
                     key, pivot = (k, salt), values
                 elif key == (k, salt):
@@ -219,10 +260,10 @@ def _confirm(percent: int):
 class ChosenPath:
     """One run of the join; ``documents()`` gives one row a document."""
 
-    def __init__(self, docs: DataFrame, *, doc_id="doc_id", text="text", width=5, percent=85, trees=16, small=32, shallow=4, depth=12):
+    def __init__(self, docs: DataFrame, *, doc_id="doc_id", text="text", width=5, percent=85, trees=16, small=32, depth=4):
         self.docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("tag"))
         self.width, self.percent, self.trees, self.small = width, percent, trees, small
-        self.shallow, self.depth = shallow, depth
+        self.depth = depth
         self.similarity = percent / 100
         self.least_agreement = int((self.similarity - 0.21) * COORDINATES)
         self.n = partitions(docs.sparkSession)
@@ -257,10 +298,8 @@ class ChosenPath:
         across = self.alike(self.across(self.mixed(small, labels)))
         links = links.union(cut(self.confirmed(self.apart(stars.union(across), labels))))
         labels = components(links)
-        deep = self.deeper(large, labels)
-        if deep is None:
-            return labels
-        return components(links.union(cut(self.confirmed(self.alike(deep)))))
+        deep = self.family_links(large, labels)
+        return labels if deep is None else components(links.union(cut(deep)))
 
     def level(self, rows: DataFrame) -> DataFrame:
         """rows (node, rep) with the members and the pivot of their nodes, without lone ones."""
@@ -273,14 +312,14 @@ class ChosenPath:
         )
 
     def grown(self) -> tuple[DataFrame, DataFrame]:
-        """Members (node, rep, pivot) of small nodes, and of nodes that are still large at the first depth limit."""
+        """Members (node, rep, pivot) of small nodes, and of nodes that are still large at the depth limit."""
         rows = self.reps.select("rep", "sig").mapInArrow(_plant(self.trees, self.similarity), "node long, rep long")
         small = None
-        for depth in range(1, self.shallow + 1):
+        for depth in range(1, self.depth + 1):
             some = self.level(rows)
             few, large = (some.where(c).select("node", "rep", "pivot") for c in (F.col("members") <= self.small, F.col("members") > self.small))
             small = few if small is None else small.union(few)
-            if depth == self.shallow or large.isEmpty():
+            if depth == self.depth or large.isEmpty():
                 return small, large
             rows = self.branched(large)
 
@@ -295,30 +334,32 @@ class ChosenPath:
         other = mixed.toDF("node", "b", "of_b")
         return mixed.join(other, "node").where("of <> of_b and rep < b").select(F.col("rep").alias("a"), "b")
 
-    def deeper(self, large: DataFrame, labels: DataFrame) -> DataFrame | None:
-        """Pairs that large nodes of several components come down to.
+    def marked(self, mixed: DataFrame) -> DataFrame:
+        """Adds the node's largest component."""
+        parts = mixed.groupBy("node", "of").count()
+        return mixed.join(parts.groupBy("node").agg(F.max_by("of", F.struct("count", "of")).alias("main")), "node")
 
-        Where only a few members lie outside the largest component, these meet all others at once.
+    def family_links(self, large: DataFrame, labels: DataFrame) -> DataFrame | None:
+        """Links that cross components in nodes still large at the depth limit.
+
+        Nodes around one component are one family, so each of its documents is taken once. Those outside the component
+        meet all of the family, in blocks, on the full sets; what leaves a task are links.
         """
-        found = None
         mixed = cut(self.mixed(large, labels))
-        for depth in range(self.shallow, self.depth + 1):
-            if mixed.isEmpty():
-                break
-            parts = mixed.groupBy("node", "of").count()
-            main = parts.groupBy("node").agg(
-                F.max_by("of", F.struct("count", "of")).alias("main"), (F.sum("count") - F.max("count")).alias("odd")
-            )
-            marked = cut(mixed.join(main, "node"))
-            last = depth == self.depth
-            pairs = self.rest(marked if last else marked.where(F.col("odd") <= FEW))
-            found = pairs if found is None else found.union(pairs)
-            if last:
-                break
-            some = self.level(self.branched(marked.where(F.col("odd") > FEW)))
-            found = found.union(self.across(self.mixed(some.where(F.col("members") <= self.small), labels)))
-            mixed = cut(self.mixed(some.where(F.col("members") > self.small), labels))
-        return found
+        if mixed.isEmpty():
+            return None
+        family = self.marked(mixed).groupBy("main", "rep").agg(F.first("of").alias("of"))
+        odd = F.col("of") != F.col("main")
+        sizes = family.groupBy("main").agg(
+            F.ceil(F.count_if(odd) / ODD_BLOCK).cast("int").alias("across"), F.ceil(F.count("*") / ALL_BLOCK).cast("int").alias("down")
+        )
+        placed = cut(family.join(sizes, "main"))
+        block = lambda n, seed: F.pmod(F.xxhash64("rep", F.lit(seed)), F.col(n)).cast("int")
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        left = placed.where(odd).select("main", "rep", "of", block("across", 0).alias("i"), every("down").alias("salt"), F.lit(0).alias("role"))
+        right = placed.select("main", "rep", "of", every("across").alias("i"), block("down", 1).alias("salt"), F.lit(1).alias("role"))
+        wants = left.union(right).select("rep", F.xxhash64("main", "i").alias("key"), "salt", "role", "of")
+        return self.met(wants).mapInArrow(_family(self.percent), "a long, b long")
 
     def alike(self, pairs: DataFrame) -> DataFrame:
         """a, b, agree of the pairs whose sizes and signatures allow a link."""
@@ -339,32 +380,26 @@ class ChosenPath:
         joined = pairs.select("a", "b").join(of("a"), "a", "left").join(of("b"), "b", "left")
         return joined.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
 
-    def rest(self, marked: DataFrame) -> DataFrame:
-        """All pairs of a member outside its node's largest component with a member of another component."""
-        odd = marked.where("of <> main").select("node", F.col("rep").alias("x"), F.col("of").alias("of_x"))
-        pairs = marked.select("node", "rep", "of").join(odd, "node").where("of <> of_x")
-        return pairs.select(F.least("rep", "x").alias("a"), F.greatest("rep", "x").alias("b"))
-
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         """The pairs that are links on the full sets. Each set travels once for each pivot (a) it is compared with."""
         pairs = pairs.select("a", "b")
         counts = pairs.groupBy("a").agg(F.ceil(F.count("*") / PIVOT_ROWS).alias("salts"))
         dealt = cut(pairs.join(counts, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int")))
-        wants = dealt.select(F.col("b").alias("rep"), F.col("a").alias("key"), "salt", F.lit(1).alias("role")).union(
-            dealt.select("a", "a", "salt", F.lit(0)).distinct()
+        none = F.lit(0).cast("long")
+        wants = dealt.select(F.col("b").alias("rep"), F.col("a").alias("key"), "salt", F.lit(1).alias("role"), none.alias("of")).union(
+            dealt.select("a", "a", "salt", F.lit(0), none).distinct()
         )
-        wants = wants.join(self.reps.select("rep", "lo"), "rep")
-        wants = cut(wants)
+        return self.met(wants).mapInArrow(_confirm(self.percent), "a long, b long")
+
+    def met(self, wants: DataFrame) -> DataFrame:
+        """The shingle sets of documents (rep) where they are wanted: by key and salt, role 0 before role 1."""
+        wants = cut(wants.join(self.reps.select("rep", "lo"), "rep"))
         few = wants.count() <= BROADCAST_ROWS
         texts = self.docs.where("doc_id is not null").select(F.col("doc_id").alias("rep"), "text").join(F.broadcast(wants) if few else wants, "rep")
-        sets = texts.select("rep", "key", "salt", "role", "lo", "text").mapInArrow(
-            _sets(self.width), "rep long, key long, salt int, role int, shingles binary"
-        )
-        return (
-            sets.repartition(self.n, "key", "salt")
-            .sortWithinPartitions("key", "salt", "role")
-            .mapInArrow(_confirm(self.percent), "a long, b long")
+        sets = texts.select("rep", "key", "salt", "role", "of", "lo", "text").mapInArrow(
+            _sets(self.width), "rep long, key long, salt int, role int, of long, shingles binary"
         )
+        return sets.repartition(self.n, "key", "salt").sortWithinPartitions("key", "salt", "role")
 
 
 def near_duplicates(docs: DataFrame, **options) -> DataFrame:

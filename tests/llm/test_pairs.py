@@ -54,7 +54,7 @@ def test_components_of_any_task_size(spark):
 def test_near_texts_equal_brute_force(spark, corpus):
     expected = classes([(r.doc_id, r.text) for r in corpus.collect()])
     # small nodes and shallow trees as well, so that every way through the recursion is used
-    for options in ({}, {"small": 3, "shallow": 1, "depth": 3}, {"small": 2, "shallow": 2, "depth": 2}):
+    for options in ({}, {"small": 3, "depth": 1}, {"small": 2, "depth": 3}):
         rows = near_text.near_duplicates(corpus, **options).collect()
         assert len(rows) == corpus.count()
         assert {r.doc_id: r.component_id for r in rows if r.doc_id is not None} == expected
@@ -71,7 +71,7 @@ def test_families_below_the_threshold_stay_apart(spark):
         for at in r.sample(range(200), (k % 3) * 6):
             words[at] = f"new{k}_{at}"
         rows.append((k, " ".join(words)))
-    got = near_text.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), small=4, shallow=2, depth=5)
+    got = near_text.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), small=4, depth=2)
     assert {x.doc_id: x.component_id for x in got.collect()} == classes(rows)
 
 
