@@ -16,14 +16,19 @@ from granary.llm.session import cut, ship
 LEAST_LANGUAGE_SHARE = 0.4
 
 
+def set_aside(docs: DataFrame, added: tuple[str, ...]) -> dict[str, str]:
+    """Other names for columns of the documents that an operator's own would replace."""
+    return {c: f"__own_{c}" for c in docs.columns if c in added}
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts of no learned language; a null lang becomes the predicted one."""
     ship(spark)
-    columns = docs.columns
     model = langid.train(docs)
-    judged = langid.predict(docs, model, keep=tuple(columns))
+    aside = set_aside(docs, ("lang_pred", "score"))
+    judged = langid.predict(docs.withColumnsRenamed(aside), model, keep=tuple(aside.get(c, c) for c in docs.columns))
     known = judged.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SHARE))
-    return known.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*columns)
+    return known.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*[F.col(aside.get(c, c)).alias(c) for c in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +45,9 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats or drops documents so that sources come near their target shares."""
-    return mixing.emit(mixing.mix(docs), docs.columns)
+    aside = set_aside(docs, ("size", "source_size", "target", "rate", "copies"))
+    mixed = mixing.emit(mixing.mix(docs.withColumnsRenamed(aside)), [aside.get(c, c) for c in docs.columns])
+    return mixed.withColumnsRenamed({new: old for old, new in aside.items()})
 
 
 def assign_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -384,6 +384,7 @@ def test_pipeline_stages(spark, corpus, tmp_path):
     assert {x for x in ids["language"]} == {r.doc_id for r in docs.collect() if any(c.isalpha() for c in r.text or "")}
     total = {r["source"]: r["target"] for r in rows(mixing.mix(seen["decontamination"]))}
     assert len(total) == 4
+    assert {r["size"] for r in rows(seen["mixing"])} == {-1}
     assert seen["sharding"].count() == seen["mixing"].count()
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == seen["sharding"].count()
 
