@@ -13,7 +13,7 @@ from granary.llm import decontaminate, langid, mixing, near_text, sharding
 from granary.llm.session import cut, ship
 
 #: A text whose best language has a smaller share of the words' posteriors is no text of one language.
-LEAST_LANGUAGE_SHARE = 0.4
+LEAST_LANGUAGE_SHARE = 0.3
 
 
 def set_aside(docs: DataFrame, added: tuple[str, ...]) -> dict[str, str]:
