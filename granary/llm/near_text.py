@@ -10,8 +10,8 @@ Work stays linear in a node's size because components, not pairs, are asked
 for. First every member is compared with its node's pivot. Nodes that then hold
 one component only are done. In the others, few members are compared
 exhaustively across components, and large nodes branch on. Nodes still large at
-the depth limit form families around their largest components, whose other
-members are compared with all of the family in blocks, so no link is lost to a
+the depth limit form families where they share members; those outside a family's
+largest component are compared with all of it in blocks, so no link is lost to a
 cap.
 
 Candidates that agree in too few coordinates go (at 64 coordinates and a
@@ -334,31 +334,40 @@ class ChosenPath:
         other = mixed.toDF("node", "b", "of_b")
         return mixed.join(other, "node").where("of <> of_b and rep < b").select(F.col("rep").alias("a"), "b")
 
-    def marked(self, mixed: DataFrame) -> DataFrame:
-        """Adds the node's largest component."""
-        parts = mixed.groupBy("node", "of").count()
-        return mixed.join(parts.groupBy("node").agg(F.max_by("of", F.struct("count", "of")).alias("main")), "node")
+    def families(self, mixed: DataFrame) -> DataFrame:
+        """main, rep, of: members of nodes that share components or members, each once, with the family's largest component.
+
+        A node's members always stay together; how many nodes join one family only decides how often a pair is met.
+        """
+        name = lambda rows, key: rows.groupBy(key).agg(F.min("family").alias("family"))
+        of_node = mixed.groupBy("node").agg(F.min("of").alias("family"))
+        of_rep = name(mixed.join(of_node, "node"), "rep")
+        of_node = name(mixed.join(of_rep, "rep"), "node")
+        each = cut(mixed.join(of_node, "node").groupBy("family", "rep").agg(F.first("of").alias("of")))
+        parts = each.groupBy("family", "of").count()
+        main = parts.groupBy("family").agg(F.max_by("of", F.struct("count", "of")).alias("main"))
+        return each.join(main, "family").select(F.col("family"), "main", "rep", "of")
 
     def family_links(self, large: DataFrame, labels: DataFrame) -> DataFrame | None:
         """Links that cross components in nodes still large at the depth limit.
 
-        Nodes around one component are one family, so each of its documents is taken once. Those outside the component
-        meet all of the family, in blocks, on the full sets; what leaves a task are links.
+        Documents outside a family's largest component meet all of the family, in blocks, on the full sets; what
+        leaves a task are links.
         """
         mixed = cut(self.mixed(large, labels))
         if mixed.isEmpty():
             return None
-        family = self.marked(mixed).groupBy("main", "rep").agg(F.first("of").alias("of"))
+        family = cut(self.families(mixed))
         odd = F.col("of") != F.col("main")
-        sizes = family.groupBy("main").agg(
+        sizes = family.groupBy("family").agg(
             F.ceil(F.count_if(odd) / ODD_BLOCK).cast("int").alias("across"), F.ceil(F.count("*") / ALL_BLOCK).cast("int").alias("down")
         )
-        placed = cut(family.join(sizes, "main"))
+        placed = cut(family.join(sizes, "family"))
         block = lambda n, seed: F.pmod(F.xxhash64("rep", F.lit(seed)), F.col(n)).cast("int")
         every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-        left = placed.where(odd).select("main", "rep", "of", block("across", 0).alias("i"), every("down").alias("salt"), F.lit(0).alias("role"))
-        right = placed.select("main", "rep", "of", every("across").alias("i"), block("down", 1).alias("salt"), F.lit(1).alias("role"))
-        wants = left.union(right).select("rep", F.xxhash64("main", "i").alias("key"), "salt", "role", "of")
+        left = placed.where(odd).select("family", "rep", "of", block("across", 0).alias("i"), every("down").alias("salt"), F.lit(0).alias("role"))
+        right = placed.select("family", "rep", "of", every("across").alias("i"), block("down", 1).alias("salt"), F.lit(1).alias("role"))
+        wants = left.union(right).select("rep", F.xxhash64("family", "i").alias("key"), "salt", "role", "of")
         return self.met(wants).mapInArrow(_family(self.percent), "a long, b long")
 
     def alike(self, pairs: DataFrame) -> DataFrame:
