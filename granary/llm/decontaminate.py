@@ -32,7 +32,7 @@ from granary.llm.session import cut, sized
 WIDTH = 13
 #: Words of the benchmark that are held in memory at once (some 100 bytes each with their windows).
 PART_WORDS = 500_000
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 #: Positions between documents, so that no match crosses from one to the next.
 GAP = 64
 INDEX = "block long, doc_id array<long>, tag array<long>, words binary, terms binary, counts binary, steps binary"

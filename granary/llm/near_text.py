@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from granary.llm import text as tx
 from granary.llm.graph import components
@@ -339,10 +340,10 @@ class ChosenPath:
 
         A node's members always stay together; how many nodes join one family only decides how often a pair is met.
         """
-        name = lambda rows, key: rows.groupBy(key).agg(F.min("family").alias("family"))
         of_node = mixed.groupBy("node").agg(F.min("of").alias("family"))
-        of_rep = name(mixed.join(of_node, "node"), "rep")
-        of_node = name(mixed.join(of_rep, "rep"), "node")
+        # a document is in few nodes, some for each tree
+        shared = mixed.join(of_node, "node").withColumn("family", F.min("family").over(Window.partitionBy("rep")))
+        of_node = shared.groupBy("node").agg(F.min("family").alias("family"))
         each = cut(mixed.join(of_node, "node").groupBy("family", "rep").agg(F.first("of").alias("of")))
         parts = each.groupBy("family", "of").count()
         main = parts.groupBy("family").agg(F.max_by("of", F.struct("count", "of")).alias("main"))

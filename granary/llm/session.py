@@ -15,9 +15,15 @@ from pyspark.sql import functions as F
 _shipped: set[str] = set()
 
 
+#: Rows of a batch that goes to Python: documents may be long, and a batch is held several times on its way.
+BATCH_ROWS = 1000
+
+
 def ship(spark: SparkSession) -> None:
-    """Sends this package's source to the executors, once for each Spark application."""
+    """Sends this package's source to the executors, once for each Spark application, and bounds Arrow batches."""
     context = spark.sparkContext
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     if context.applicationId in _shipped:
         return
     root = Path(__file__).resolve().parents[2]
