@@ -46,6 +46,8 @@ BROADCAST_ROWS = 500_000
 ODD_BLOCK, ALL_BLOCK = 256, 1024
 #: Comparisons with one pivot that one task makes before a salt deals out the rest.
 PIVOT_ROWS = 128
+#: Packed sets that a task hands on at once.
+SENT_BYTES = 4 << 20
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int):
@@ -162,24 +164,32 @@ def _agree(batches):
 
 
 def _sets(width: int):
+    """One row for each place (an element of ``at``) where a document's set is wanted; the set is taken once."""
+    columns = ["rep", "key", "salt", "role", "of", "shingles"]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        parts = zip(*rows, strict=True) if rows else [()] * len(kinds)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(parts, kinds, strict=True)], columns)
+
     def run(batches):
         for batch in batches:
             data, offsets = tx.buffers(batch.column("text"))
-            lo = batch.column("lo").to_numpy()
+            lo, rep, at = batch.column("lo").to_numpy(), batch.column("rep").to_pylist(), batch.column("at")
+            rows, held = [], 0
             for i, j in _slices(offsets):
                 values, bounds = shingle_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], width)
                 _, ids = signatures_of_sets(values, bounds)
-                keep = np.flatnonzero(ids.view(np.int64) == lo[i:j])
-                packed = []
-                for k in keep:
-                    v = values[bounds[k] : bounds[k + 1]]
-                    step = np.diff(v, prepend=np.uint64(0))
-                    packed.append(tx.pack(step.view(np.uint8).reshape(-1, 8).T))
-                take = pa.array(keep + i)
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c).take(take) for c in ("rep", "key", "salt", "role", "of")), pa.array(packed, pa.binary())],
-                    ["rep", "key", "salt", "role", "of", "shingles"],
-                )
+                for k in np.flatnonzero(ids.view(np.int64) == lo[i:j]).tolist():
+                    step = np.diff(values[bounds[k] : bounds[k + 1]], prepend=np.uint64(0))
+                    packed = tx.pack(step.view(np.uint8).reshape(-1, 8).T)
+                    for place in at[i + k].as_py():
+                        rows.append((rep[i + k], place["key"], place["salt"], place["role"], place["of"], packed))
+                        held += len(packed)
+                        if held > SENT_BYTES:
+                            yield batch_of(rows)
+                            rows, held = [], 0
+            yield batch_of(rows)
 
     return run
 
@@ -402,11 +412,16 @@ class ChosenPath:
         return self.met(wants).mapInArrow(_confirm(self.percent), "a long, b long")
 
     def met(self, wants: DataFrame) -> DataFrame:
-        """The shingle sets of documents (rep) where they are wanted: by key and salt, role 0 before role 1."""
-        wants = cut(wants.join(self.reps.select("rep", "lo"), "rep"))
-        few = wants.count() <= BROADCAST_ROWS
-        texts = self.docs.where("doc_id is not null").select(F.col("doc_id").alias("rep"), "text").join(F.broadcast(wants) if few else wants, "rep")
-        sets = texts.select("rep", "key", "salt", "role", "of", "lo", "text").mapInArrow(
+        """The shingle sets of documents (rep) where they are wanted: by key and salt, role 0 before role 1.
+
+        A document's places are gathered first (one for each of its pivots and blocks), so its text is joined and
+        its set is taken once.
+        """
+        places = wants.groupBy("rep").agg(F.collect_list(F.struct("key", "salt", "role", "of")).alias("at"))
+        places = cut(places.join(self.reps.select("rep", "lo"), "rep"))
+        few = (places.agg(F.sum(F.size("at"))).first()[0] or 0) <= BROADCAST_ROWS
+        texts = self.docs.where("doc_id is not null").select(F.col("doc_id").alias("rep"), "text").join(F.broadcast(places) if few else places, "rep")
+        sets = texts.select("rep", "at", "lo", "text").mapInArrow(
             _sets(self.width), "rep long, key long, salt int, role int, of long, shingles binary"
         )
         return sets.repartition(self.n, "key", "salt").sortWithinPartitions("key", "salt", "role")
