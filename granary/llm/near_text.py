@@ -314,6 +314,7 @@ class ChosenPath:
 
     def level(self, rows: DataFrame) -> DataFrame:
         """rows (node, rep) with the members and the pivot of their nodes, without lone ones."""
+        rows = cut(rows)
         sizes = rows.groupBy("node").agg(F.count("*").alias("members"), F.min_by("rep", F.xxhash64("node", "rep")).alias("pivot"))
         return cut(rows.join(sizes.where("members > 1"), "node"))
 
