@@ -14,6 +14,8 @@ from granary.llm.session import cut, ship
 
 #: A text whose best language has a smaller share of the words' posteriors is no text of one language.
 LEAST_LANGUAGE_SHARE = 0.3
+#: Texts are near copies from this Jaccard similarity of their 5-word shingle sets on, in per cent (op8's own contract says 85).
+NEAR_PERCENT = 80
 
 
 def set_aside(docs: DataFrame, added: tuple[str, ...]) -> dict[str, str]:
@@ -34,7 +36,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document of the least id of each near-duplicate group."""
     ship(spark)
-    return near_text.one_each(docs)
+    return near_text.one_each(docs, percent=NEAR_PERCENT)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -15,8 +15,8 @@ largest component are compared with all of it in blocks, so no link is lost to a
 cap.
 
 Candidates that agree in too few coordinates go (at 64 coordinates and a
-similarity of 0.85, agreement below 0.64 has odds of some 1e-5 a pair); the
-rest are confirmed on the full shingle sets.
+similarity of 0.85, fewer than 40 have odds of 2e-6 a pair; at 0.80, fewer than
+37 have odds of 1.4e-5); the rest are confirmed on the full shingle sets.
 
 Defined cases: null or blank texts have an empty set and link with nothing;
 texts of fewer words than a shingle are one shingle; rows that repeat are in one

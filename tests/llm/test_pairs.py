@@ -5,6 +5,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from granary.llm import graph, near_text, near_vectors
 
 
@@ -83,6 +84,33 @@ def test_one_each(spark, corpus):
     assert sorted(i for i in ids if i is not None) == sorted({i for i, c in expected.items() if i == c}) and ids.count(None) == 1
 
 
+def test_pipeline_links_from_0_80_on(spark):
+    """The stage against brute force, with pairs and a chain between 0.80 and 0.85, one at 0.80 itself and pairs below."""
+    r = random.Random(8)
+    rows = []
+    for k in range(24):
+        words = [f"d{k}_{at}" for at in range(200)]
+        rows.append((10 * k, " ".join(words)))
+        for step in range(3):  # four new words far apart leave 176 of 216 shingles, five 171 of 221
+            for at in range(15 * step + 4, 200, 50) if k % 2 else range(15 * step + 4, 200, 40):
+                words[at] = f"new{r.random()}"
+            rows.append((10 * k + 1 + step, " ".join(words)))
+    short = [f"s{at}" for at in range(13)]
+    rows += [(1000, " ".join(short)), (1001, " ".join([*short[:-1], "other"]))]
+    sets = {i: shingles(t) for i, t in rows}
+    f = Forest(sets)
+    between = 0
+    for a, s in sets.items():
+        for b, t in sets.items():
+            if a < b and 100 * len(s & t) >= 80 * len(s | t):
+                f.join(a, b)
+                between += 100 * len(s & t) < 85 * len(s | t)
+    expected = sorted({f.root(i) for i in sets})
+    assert between == 12 * 3 + 1 and len(expected) == 12 + 12 * 4 + 1
+    kept = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert sorted(x.doc_id for x in kept.collect()) == expected
+
+
 def test_empty_tables(spark, corpus):
     assert near_text.near_duplicates(corpus.limit(0)).count() == 0
     v = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
