@@ -1,6 +1,7 @@
 """Retail-shaped tables derived from the driver's star schema, as SQL that Spark and DuckDB share.
 
-``{name}`` refers to another fixture or a driver table; ``DAYNO(x)`` is the number of a date since 1970-01-01.
+``{name}`` refers to another fixture or a driver table; ``DAYNO(x)`` is the number of a date since 1970-01-01;
+``SPAN(a, b)`` makes a row of each day from a to b.
 """
 
 from __future__ import annotations
@@ -113,6 +114,13 @@ FIXTURES = {
           coalesce(f.revenue, cast(0 as decimal(18, 2))) as revenue
         from {days_1996} d cross join (select distinct store_id, product_id from {priced}) k
           left join {priced} f on f.date = d.date and f.store_id = k.store_id and f.product_id = k.product_id""",
+    "all_days": "select SPAN(least_date, greatest_date) as date from (select min(date) as least_date, max(date) as greatest_date from {fact}) x",
+    # every day from the fact's first to its last for every key, zero where nothing was sold
+    "dense_whole": """
+        select d.date, k.store_id, k.product_id, coalesce(f.units_sold, cast(0 as bigint)) as units_sold,
+          coalesce(f.revenue, cast(0 as decimal(18, 2))) as revenue
+        from {all_days} d cross join (select distinct store_id, product_id from {priced}) k
+          left join {priced} f on f.date = d.date and f.store_id = k.store_id and f.product_id = k.product_id""",
     # text cells of every shape that the strict casts tell apart
     "cells": f"""
         select event_id as id, {_case("event_id % 14", "'1.0'", "' 7 '", "'1e3'", "'1.5'", "'inf'", "'NaN'", "'0x1F'", "'1d'", "'1_000'", "'-12'", "''", "'+.5'", "'9007199254740993'", other="null")} as number,
@@ -136,6 +144,7 @@ def frame(spark: SparkSession, sf_dir: str, name: str, built: dict[str, DataFram
             built[name] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
         else:
             sql = re.sub(r"DAYNO\(([\w.]+)\)", r"unix_date(\1)", FIXTURES[name])
+            sql = re.sub(r"SPAN\((\w+), (\w+)\)", r"explode(sequence(\1, \2))", sql)
             built[name] = spark.sql(sql, **{n: frame(spark, sf_dir, n, built) for n in _needs(sql)})
     return built[name]
 
@@ -158,4 +167,5 @@ def ctes(*names: str) -> str:
 
 def duck(sql: str) -> str:
     sql = re.sub(r"DAYNO\(([\w.]+)\)", r"date_diff('day', date '1970-01-01', \1)", sql)
+    sql = re.sub(r"SPAN\((\w+), (\w+)\)", r"cast(unnest(generate_series(\1, \2, interval 1 day)) as date)", sql)
     return re.sub(r"\{(\w+)\}", lambda m: m[1] if m[1] in DRIVER else f"{m[1]}_", sql)

@@ -156,10 +156,12 @@ ORACLES: dict[str, str] = {
     "rolling_std": _on("priced"),
     "contiguous_lags": _on("event_fact"),
     "contiguous_lags_dense": _on("dense_fact"),
+    "contiguous_lags_dense_whole": _on("dense_whole"),
     "abc_class": _on("priced"),
     "abc_revenue_share": _on("priced"),
     "xyz_class": _on("priced"),
     "volatility_segment": _on("dense_fact"),
+    "volatility_segment_whole": _on("dense_whole"),
     "holiday_distance": f"{ctes('dates', 'holiday')}, {_CALENDAR}, result as (select * from calendar)",
     **dict.fromkeys(
         ("calendar_cycle", "month_boundary_flags", "holiday_flags", "weather_join", "weather_flags", "weather_severity", "promotion_top1",

@@ -178,10 +178,12 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
     "rolling_std": (_fact("priced"), f"{KEY} units_sold_rolling_std_7d:d units_sold_rolling_std_28d:d"),
     "contiguous_lags": (_fact("event_fact"), f"{KEY} {LAGS}"),
     "contiguous_lags_dense": (_fact("dense_fact"), f"{KEY} {LAGS}"),
+    "contiguous_lags_dense_whole": (_fact("dense_whole"), f"{KEY} {LAGS}"),
     "abc_class": (_fact("priced"), f"{KEY} abc_class:s"),
     "abc_revenue_share": (_fact("priced"), f"{KEY} abc_revenue_90d:d abc_revenue_share_90d:d"),
     "xyz_class": (_fact("priced"), f"{KEY} {XYZ}"),
     "volatility_segment": (_fact("dense_fact"), f"{KEY} demand_cv_28d:d volatility_segment:s"),
+    "volatility_segment_whole": (_fact("dense_whole"), f"{KEY} demand_cv_28d:d volatility_segment:s"),
     "calendar_cycle": (_plain(features.cycle_features), f"{KEY} {CYCLE}"),
     "month_boundary_flags": (_plain(features.cycle_features), f"{KEY} {MONTH}"),
     "holiday_distance": (days, CALENDAR),

@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 from granary.plans import oracles, queries
-from granary.plans.fixtures import DRIVER
+from granary.plans.fixtures import DRIVER, frame
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no driver tables here")
@@ -35,3 +35,17 @@ def test_query_equals_its_sql(spark, con, name):
     df = queries.queries()[name](spark, SF)
     assert df.columns == sql.columns
     assert rows(map(tuple, df.collect())) == rows(sql.fetchall())
+
+
+@pytest.mark.parametrize("name", ["contiguous_lags_dense_whole", "volatility_segment_whole"])
+def test_dense_queries_take_the_whole_fact(spark, name):
+    """Each key has every day from the fact's first to its last, so no sale is left out."""
+    days = "(select cast(l_shipdate as date) as date from lineitem)"
+    c = duckdb.connect()
+    c.sql(f"create view lineitem as select * from '{SF}/lineitem.parquet'")
+    first, last = c.sql(f"select min(date), max(date) from {days}").fetchall()[0]
+    got = queries.queries()[name](spark, SF)
+    keys = got.select("store_id", "product_id").distinct().count()
+    assert {r.date for r in got.select("date").distinct().collect()} >= {r[0] for r in c.sql(f"select distinct date from {days}").fetchall()}
+    assert got.count() == keys * ((last - first).days + 1)
+    assert got.select("date", "store_id", "product_id").join(frame(spark, SF, "priced"), ["date", "store_id", "product_id"]).count() == frame(spark, SF, "priced").count()
