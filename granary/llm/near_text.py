@@ -7,12 +7,13 @@ times so that a pair at the threshold shares one child on average, and deals
 documents to children by their value there, until nodes have few members.
 
 Work stays linear in a node's size because components, not pairs, are asked
-for. First every member is compared with its node's pivot. Nodes that then hold
-one component only are done. In the others, few members are compared
-exhaustively across components, and large nodes branch on. Nodes still large at
-the depth limit form families where they share members; those outside a family's
-largest component are compared with all of it in blocks, so no link is lost to a
-cap.
+for. At every level members are compared with their node's pivot first, each
+with its most alike one, then the most alike pair of every two components found
+so; nodes that then hold one component only are done. Of the others, those of few members are compared
+exhaustively across components, and only large ones branch on. Nodes that are
+large and mixed at the depth limit form families where they share members; those
+outside a family's largest component are compared with all of it in blocks, so
+no link is lost to a cap.
 
 Candidates that agree in too few coordinates go (at 64 coordinates and a
 similarity of 0.85, fewer than 40 have odds of 2e-6 a pair; at 0.80, fewer than
@@ -21,7 +22,8 @@ similarity of 0.85, fewer than 40 have odds of 2e-6 a pair; at 0.80, fewer than
 Defined cases: null or blank texts have an empty set and link with nothing;
 texts of fewer words than a shingle are one shingle; rows that repeat are in one
 component; a null id takes part through its text, but is never a component's
-id; an empty table gives an empty result; other columns are not read.
+id (a component of null ids only has none, and ``one_each`` keeps one of its
+rows); an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -280,33 +282,66 @@ class ChosenPath:
         self.n = partitions(docs.sparkSession)
 
     def documents(self) -> DataFrame:
-        """doc_id, tag (hash of the text), n_shingles, component_id, kept."""
+        """doc_id, tag (hash of the text), n_shingles, label (a number of the component), component_id, kept."""
         signed = cut(self.docs.mapInArrow(_sign(self.width), "doc_id long, tag long, n_shingles long, lo long, hi long, sig binary"))
-        # what repeats of a set carry is equal, so any one signature serves
+        # what repeats of a set carry is equal, so any one signature serves; a set without an id is known by its hash
         self.sets = cut(
             signed.where("n_shingles > 0")
             .groupBy("lo", "hi")
-            .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("size"), F.first("sig").alias("sig"))
+            .agg(F.min("doc_id").alias("id"), F.min("tag").alias("tag"), F.first("n_shingles").alias("size"), F.first("sig").alias("sig"))
+            .withColumn("rep", F.coalesce("id", "lo"))
         )
-        self.reps = self.sets.where("rep is not null").select("rep", "size", "lo", "sig")
+        self.reps = self.sets.select("rep", "size", "lo", "sig")
+        self.nameless = cut(self.sets.where("id is null").select("rep", "tag"))
+        self.named = self.nameless.isEmpty()
         labels = self.labels()
         classes = self.sets.select("lo", "hi", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-        classes = classes.select("lo", "hi", F.coalesce("component", "rep").alias("component_id"))
+        classes = classes.select("lo", "hi", F.coalesce("component", "rep").alias("label")).withColumn("component_id", F.col("label"))
+        if not self.named:
+            classes = classes.drop("component_id").join(self.least_ids(labels), "label", "left")
+            classes = classes.select("lo", "hi", "label", F.when(F.col("renamed"), F.col("least")).otherwise(F.col("label")).alias("component_id"))
         component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
         return (
             signed.select("doc_id", "tag", "n_shingles", "lo", "hi")
             .join(classes, ["lo", "hi"], "left")
-            .select("doc_id", "tag", "n_shingles", component.alias("component_id"))
+            .select("doc_id", "tag", "n_shingles", "label", component.alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
         )
 
+    def least_ids(self, labels: DataFrame) -> DataFrame:
+        """label, least (id or null), renamed (true) of components whose label is the hash of a set without an id."""
+        every = labels.toDF("rep", "label").union(self.nameless.select("rep", F.col("rep").alias("label")))
+        own = every.join(sized(self.nameless.select(F.col("rep").alias("label"))), "label", "left_semi").distinct()
+        ids = own.join(self.sets.where("id is not null").select("rep", "id"), "rep", "left")
+        return sized(cut(ids.groupBy("label").agg(F.min("id").alias("least")).withColumn("renamed", F.lit(True))))
+
     def labels(self) -> DataFrame:
-        small, large = self.grown()
-        stars = self.alike(small.union(large).where("rep <> pivot").select(F.least("rep", "pivot"), F.greatest("rep", "pivot")))
-        first = stars.groupBy("b").agg(F.max_by("a", F.struct("agree", "a")).alias("a")).select("a", "b")
-        links = cut(self.confirmed(first))
-        labels = components(links)
-        across = self.alike(self.across(self.mixed(small, labels)))
+        """node, component of the sets that are linked with one of a smaller number."""
+        rows = self.reps.select("rep", "sig").mapInArrow(_plant(self.trees, self.similarity), "node long, rep long")
+        links = stars = few = labels = None
+        joined = lambda a, b: b if a is None else a.union(b)
+        for depth in range(1, self.depth + 1):
+            members = self.level(rows)
+            near = self.alike(members.where("rep <> pivot").select("pivot", "rep"))
+            if labels is not None:
+                near = cut(self.apart(near, labels).select("a", "b", "agree"))
+            stars = joined(stars, near)
+            first = near.groupBy("b").agg(F.max_by("a", F.struct("agree", "a")).alias("a"))
+            links = joined(links, cut(self.confirmed(first)))
+            labels = components(links)
+            rest = cut(self.apart(near, labels))
+            if not rest.isEmpty():
+                # groups around different pivots: the most alike pair of every two
+                best = rest.groupBy("x", "y").agg(F.max_by(F.struct("a", "b"), F.struct("agree", "a", "b")).alias("p")).select("p.a", "p.b")
+                links = links.union(cut(self.confirmed(best)))
+                labels = components(links)
+            mixed = cut(self.mixed(members, labels))
+            few = joined(few, mixed.where(F.col("members") <= self.small))
+            large = mixed.where(F.col("members") > self.small)
+            if depth == self.depth or large.isEmpty():
+                break
+            rows = self.branched(large)
+        across = self.alike(self.across(self.mixed(few, labels)))
         links = links.union(cut(self.confirmed(self.apart(stars.union(across), labels))))
         labels = components(links)
         deep = self.family_links(large, labels)
@@ -323,26 +358,15 @@ class ChosenPath:
             _grow(self.similarity), "node long, rep long"
         )
 
-    def grown(self) -> tuple[DataFrame, DataFrame]:
-        """Members (node, rep, pivot) of small nodes, and of nodes that are still large at the depth limit."""
-        rows = self.reps.select("rep", "sig").mapInArrow(_plant(self.trees, self.similarity), "node long, rep long")
-        small = None
-        for depth in range(1, self.depth + 1):
-            some = self.level(rows)
-            few, large = (some.where(c).select("node", "rep", "pivot") for c in (F.col("members") <= self.small, F.col("members") > self.small))
-            small = few if small is None else small.union(few)
-            if depth == self.depth or large.isEmpty():
-                return small, large
-            rows = self.branched(large)
-
     def mixed(self, members: DataFrame, labels: DataFrame) -> DataFrame:
-        """node, rep, of (component): members of nodes with more than one component."""
-        of = members.select("node", "rep").join(labels.toDF("rep", "of"), "rep", "left").select("node", "rep", F.coalesce("of", "rep").alias("of"))
+        """node, rep, members, of (component): members of nodes with more than one component."""
+        of = members.select("node", "rep", "members").join(labels.toDF("rep", "of"), "rep", "left").withColumn("of", F.coalesce("of", "rep"))
         more = of.groupBy("node").agg(F.min("of").alias("x"), F.max("of").alias("y")).where("x <> y").select("node")
-        return of.join(more, "node")
+        return of.join(more, "node").select("node", "rep", "members", "of")
 
     def across(self, mixed: DataFrame) -> DataFrame:
         """Pairs of members of different components, in nodes of few members."""
+        mixed = mixed.select("node", "rep", "of")
         other = mixed.toDF("node", "b", "of_b")
         return mixed.join(other, "node").where("of <> of_b and rep < b").select(F.col("rep").alias("a"), "b")
 
@@ -396,10 +420,11 @@ class ChosenPath:
         return cut(near.where(F.col("agree") >= self.least_agreement))
 
     def apart(self, pairs: DataFrame, labels: DataFrame) -> DataFrame:
-        """Pairs of different components."""
+        """Pairs (a, b, agree) of different components, with these (x < y)."""
         of = lambda c: labels.toDF(c, f"of_{c}")
-        joined = pairs.select("a", "b").join(of("a"), "a", "left").join(of("b"), "b", "left")
-        return joined.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
+        joined = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
+        x, y = F.coalesce("of_a", "a"), F.coalesce("of_b", "b")
+        return joined.where(x != y).select("a", "b", "agree", F.least(x, y).alias("x"), F.greatest(x, y).alias("y"))
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         """The pairs that are links on the full sets. Each set travels once for each pivot (a) it is compared with."""
@@ -421,7 +446,13 @@ class ChosenPath:
         places = wants.groupBy("rep").agg(F.collect_list(F.struct("key", "salt", "role", "of")).alias("at"))
         places = cut(places.join(self.reps.select("rep", "lo"), "rep"))
         few = (places.agg(F.sum(F.size("at"))).first()[0] or 0) <= BROADCAST_ROWS
-        texts = self.docs.where("doc_id is not null").select(F.col("doc_id").alias("rep"), "text").join(F.broadcast(places) if few else places, "rep")
+        wanted = F.broadcast(places) if few else places
+        texts = self.docs.where("doc_id is not null").select(F.col("doc_id").alias("rep"), "text").join(wanted, "rep")
+        if not self.named:
+            # each task brings one text at most for a set, however many rows without an id share it
+            same = self.nameless.join(wanted, "rep")
+            without = self.docs.where("doc_id is null").select("tag", "text").join(F.broadcast(same) if few else same, "tag")
+            texts = texts.unionByName(without.select("rep", "text", "at", "lo").dropDuplicates(["rep"]))
         sets = texts.select("rep", "at", "lo", "text").mapInArrow(
             _sets(self.width), "rep long, key long, salt int, role int, of long, shingles binary"
         )
@@ -430,7 +461,7 @@ class ChosenPath:
 
 def near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of each document; options are those of ``ChosenPath``."""
-    return ChosenPath(docs, **options).documents().drop("tag")
+    return ChosenPath(docs, **options).documents().drop("tag", "label")
 
 
 def one_each(docs: DataFrame, *, doc_id="doc_id", text="text", **options) -> DataFrame:
@@ -438,7 +469,11 @@ def one_each(docs: DataFrame, *, doc_id="doc_id", text="text", **options) -> Dat
     found = cut(ChosenPath(docs, doc_id=doc_id, text=text, **options).documents())
     same = lambda keys: (F.col(doc_id).cast("long").eqNullSafe(keys["id_"])) & (F.xxhash64(text) == keys["tag_"])
     keys = lambda rows: cut(rows.select(F.col("doc_id").alias("id_"), F.col("tag").alias("tag_")).distinct())
-    stays = F.col("kept") | F.col("component_id").isNull()
+    nobody = found.where(F.col("component_id").isNull() & (F.col("n_shingles") > 0))
+    first = sized(cut(nobody.groupBy(F.col("label").alias("label_")).agg(F.min("tag").alias("first_"))))
+    found = found.join(first, F.col("label") == F.col("label_"), "left")
+    alone = F.col("component_id").isNull() & ((F.col("n_shingles") == 0) | (F.col("tag") == F.col("first_")))
+    stays = F.col("kept") | alone
     gone = sized(keys(found.where(~stays)))
     again = sized(keys(found.where(stays & (F.col("n_shingles") > 0)).groupBy("doc_id", "tag").count().where("count > 1")))
     left = docs.join(gone, same(gone), "left_anti")

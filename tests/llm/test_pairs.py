@@ -76,6 +76,44 @@ def test_families_below_the_threshold_stay_apart(spark):
     assert {x.doc_id: x.component_id for x in got.collect()} == classes(rows)
 
 
+def varied(r, base, most, k):
+    words = list(base)
+    for at in r.sample(range(len(base)), r.randrange(most + 1)):
+        words[at] = f"new{k}_{at}"
+    return " ".join(words)
+
+
+def test_one_large_group_of_near_copies(spark, monkeypatch):
+    """Equal to brute force, and a large group that its pivots hold together isn't branched on."""
+    r = random.Random(6)
+    base = [f"t{k}" for k in range(300)]
+    rows = [(k, varied(r, base, 3, k)) for k in range(400)] + [(1000 + k, " ".join(f"o{k}_{x}" for x in range(50))) for k in range(20)]
+    branched = []
+    grow = near_text.ChosenPath.branched
+    monkeypatch.setattr(near_text.ChosenPath, "branched", lambda self, members: branched.append(members.count()) or grow(self, members))
+    got = near_text.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {x.doc_id: x.component_id for x in got.collect()} == classes(rows)
+    assert sum(branched) < 400
+
+
+def test_documents_without_an_id_link_through_their_texts(spark):
+    r = random.Random(9)
+    a, b, c = ([f"{n}{k}" for k in range(120)] for n in "abc")
+    chain = [[f"z{k}" for k in range(120)]]
+    chain.append([f"q{k}" for k in range(8)] + chain[0][8:])
+    chain.append(chain[1][:-8] + [f"q{k}" for k in range(8)])
+    rows = [(7, " ".join(a)), (None, varied(r, a, 1, 1)), (None, " ".join(b)), (None, varied(r, b, 1, 2)), (None, varied(r, b, 1, 2)), (None, " ".join(b).upper())]
+    rows += [(20, " ".join(chain[0])), (None, " ".join(chain[1])), (21, " ".join(chain[2])), (30, " ".join(c)), (None, " ".join(c)), (None, " "), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted((str(x.doc_id), x.n_shingles > 0, str(x.component_id)) for x in near_text.near_duplicates(docs).collect())
+    expected = [("7", True, "7"), ("20", True, "20"), ("21", True, "20"), ("30", True, "30")]
+    expected += [("None", True, x) for x in ("7", "20", "30", *["None"] * 4)] + [("None", False, "None")] * 2
+    assert got == sorted(expected)
+    kept = [x.text for x in near_text.one_each(docs).collect()]
+    assert sum(t is None or not t.strip() for t in kept) == 2
+    assert len(kept) == 4 + 2 and sum("b5 " in (t or "").lower() for t in kept) == 1
+
+
 def test_one_each(spark, corpus):
     kept = near_text.one_each(corpus)
     assert kept.columns == corpus.columns
