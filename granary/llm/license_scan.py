@@ -5,12 +5,15 @@ A template is wording with regions in ``<<...>>``: what stands between
 zero to n words of any kind. It compiles to an automaton over word hashes; a
 text matches where a run of its words takes the automaton to its end, so all
 mandatory wording must be there exactly, in order. Documents that lack a
-mandatory word of every template are never walked.
+mandatory word of every template are never walked. Of template matches that lie
+within a longer one only the longer counts, so a licence that quotes another's
+wording and goes on isn't taken for it.
 
 Plain phrases are found beside this, at every place where their words stand
 consecutively.
 
-Defined cases: null and empty texts match nothing; matches may overlap;
+Defined cases: null and empty texts match nothing; matches may overlap, and two
+templates that accept the same run both count;
 rows that repeat match equally; an empty table gives an empty result; other
 columns are not read.
 """
@@ -33,35 +36,68 @@ PHRASES = {
     "cc by nc": "cc-by-nc",
 }
 # public license wording with its optional and replaceable regions
+_BSD_CONDITIONS = (
+    "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met "
+    "<<optional>>1<</optional>> redistributions of source code must retain the above copyright notice this list of conditions and the following "
+    "disclaimer <<optional>>2<</optional>> redistributions in binary form must reproduce the above copyright notice this list of conditions and the "
+    "following disclaimer in the documentation and or other materials provided with the distribution "
+)
+_BSD_NAMES = (
+    "<<optional>>3<</optional>> neither the name of <<any 8>> nor the names of its contributors may be used to endorse or promote products derived "
+    "from this software without specific prior written permission "
+)
+_BSD_DISCLAIMER = (
+    "this software is provided by <<any 6>> as is and any express or implied warranties including but not limited to the implied warranties of "
+    "merchantability and fitness for a particular purpose are disclaimed in no event shall <<any 8>> be liable for any direct indirect incidental "
+    "special exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use data or profits "
+    "or business interruption however caused and on any theory of liability whether in contract strict liability or tort including negligence or "
+    "otherwise arising in any way out of the use of this software even if advised of the possibility of such damage"
+)
+_GNU_NOTICE = (
+    "<<optional>>this <<any 4>> is<</optional>> free software you can redistribute it and or modify it under the terms of the gnu {} as published by the free software foundation "
+    "<<optional>>either<</optional>> version <<any 2>> of the license <<optional>>or at your option any later version<</optional>>"
+)
+_GNU_SHORT = "<<optional>>this <<any 4>> is<</optional>> licensed under the gnu {} <<optional>>version <<any 1>><</optional>>"
 TEMPLATES = {
     "mit": (
         "<<optional>>copyright <<any 12>><</optional>> permission is hereby granted free of charge to any person obtaining a copy of this "
         "software and associated documentation files the software to deal in the software without restriction including without limitation "
         "the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom "
         "the software is furnished to do so subject to the following conditions the above copyright notice and this permission notice "
-        "<<optional>>including the next paragraph<</optional>> shall be included in all copies or substantial portions of the software"
+        "<<optional>>including the next paragraph<</optional>> shall be included in all copies or substantial portions of the software "
+        "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of "
+        "merchantability fitness for a particular purpose and noninfringement in no event shall <<any 8>> be liable for any claim damages or "
+        "other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use "
+        "or other dealings in the software",
     ),
     "isc": (
         "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that "
-        "the above copyright notice and this permission notice appear in all copies"
-    ),
-    "bsd-2": (
-        "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions "
-        "are met <<optional>>1<</optional>> redistributions of source code must retain the above copyright notice this list of conditions and "
-        "the following disclaimer <<optional>>2<</optional>> redistributions in binary form must reproduce the above copyright notice this list "
-        "of conditions and the following disclaimer in the documentation and or other materials provided with the distribution"
+        "the above copyright notice and this permission notice appear in all copies the software is provided as is and <<any 8>> disclaims all "
+        "warranties with regard to this software including all implied warranties of merchantability and fitness in no event shall <<any 8>> be "
+        "liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits "
+        "whether in an action of contract negligence or other tortious action arising out of or in connection with the use or performance of "
+        "this software",
     ),
+    "bsd-2": (_BSD_CONDITIONS + _BSD_DISCLAIMER,),
+    "bsd-3": (_BSD_CONDITIONS + _BSD_NAMES + _BSD_DISCLAIMER,),
     "apache-2": (
         "licensed under the apache license version 2 <<optional>>0<</optional>> <<optional>>the license you may not use <<any 8>> except in "
-        "compliance with the license<</optional>>"
+        "compliance with the license<</optional>>",
+    ),
+    "gpl": (_GNU_NOTICE.format("general public license"), _GNU_SHORT.format("general public license")),
+    "lgpl": (
+        _GNU_NOTICE.format("lesser general public license"), _GNU_NOTICE.format("library general public license"),
+        _GNU_SHORT.format("lesser general public license"),
     ),
-    "gpl": (
-        "<<optional>>this <<any 4>> is<</optional>> licensed under the gnu <<optional>>lesser<</optional>> general public license "
-        "<<optional>>version<</optional>> <<any 2>>"
+    "agpl": (_GNU_NOTICE.format("affero general public license"), _GNU_SHORT.format("affero general public license")),
+    "mpl-2": (
+        "this source code form is subject to the terms of the mozilla public license v 2 0 <<optional>>if a copy of the mpl was not distributed "
+        "with this file you can obtain one at <<any 1>> mozilla org mpl 2 0<</optional>>",
+        "licensed under the mozilla public license <<optional>>version<</optional>> 2 0",
     ),
-    "cc-by-nc": "<<optional>>this <<any 4>> is<</optional>> licensed under <<optional>>a<</optional>> cc by nc <<optional>>4 0<</optional>>",
+    "cc-by-nc": ("<<optional>>this <<any 4>> is<</optional>> licensed under <<optional>>a<</optional>> cc by nc <<optional>>4 0<</optional>>",),
     "cc-by": (
-        "licensed under <<optional>>a<</optional>> creative commons attribution <<optional>>4 0<</optional>> <<optional>>international<</optional>> license"
+        "licensed under <<optional>>a<</optional>> creative commons attribution <<optional>>4 0<</optional>> <<optional>>international<</optional>> license",
     ),
 }
 
@@ -102,6 +138,8 @@ class Automaton:
         if opened:
             raise ValueError("an optional region isn't closed")
         self.end = at
+        if any(self.anyword[x] for x in self.closed({0})):
+            raise ValueError("a template can't begin with words of any kind")
         self.first = set().union(*(self.words[s] for s in self.closed({0})))
 
     def _state(self) -> int:
@@ -145,10 +183,22 @@ def phrase_places(w: tx.Words, phrase: np.ndarray) -> np.ndarray:
 MATCHES = "array<struct<start: long, end: long, label: string, base: boolean>>"
 
 
-def _scan(phrases: dict[str, str], templates: dict[str, str]):
+def outermost(found: list[dict]) -> list[dict]:
+    """Template matches without those that lie within a longer one."""
+    out, top = [], None
+    for x in sorted(found, key=lambda x: (x["start"], -x["end"])):
+        if top is None or x["end"] > top["end"]:
+            top = x
+        elif (x["start"], x["end"]) != (top["start"], top["end"]):
+            continue
+        out.append(x)
+    return out
+
+
+def _scan(phrases: dict[str, str], templates: dict[str, tuple[str, ...]]):
     def run(batches):
         known = [(tx.hash_words(p, tx.ALNUM), label) for p, label in phrases.items()]
-        machines = [(label, Automaton(t)) for label, t in templates.items()]
+        machines = [(label, Automaton(t)) for label, wordings in templates.items() for t in wordings]
         needed = [np.array(sorted(m.mandatory), np.uint64) for _, m in machines]
         every = np.unique(np.concatenate([*needed, np.zeros(0, np.uint64)]))
         for batch in batches:
@@ -157,6 +207,7 @@ def _scan(phrases: dict[str, str], templates: dict[str, str]):
                 w = tx.words(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], tx.ALNUM)
                 first = w.first
                 found: dict[int, list] = {}
+                wording: dict[int, list] = {}
                 for phrase, label in known:
                     for p in phrase_places(w, phrase).tolist():
                         d = int(w.text[p])
@@ -173,10 +224,12 @@ def _scan(phrases: dict[str, str], templates: dict[str, str]):
                             k = 0
                             while k < len(hashes):
                                 if hashes[k] in m.first and (end := m.longest(hashes, k)) > k:
-                                    found.setdefault(d, []).append({"start": k, "end": end, "label": label, "base": False})
+                                    wording.setdefault(d, []).append({"start": k, "end": end, "label": label, "base": False})
                                     k = end
                                 else:
                                     k += 1
+                for d, matches in wording.items():
+                    found.setdefault(d, []).extend(outermost(matches))
                 order = lambda x: (x["start"], x["end"], x["label"])
                 kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("label", pa.string()), ("base", pa.bool_())]))
                 yield pa.RecordBatch.from_arrays(

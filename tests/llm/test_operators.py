@@ -4,6 +4,7 @@ import collections
 import datetime as dt
 import hashlib
 import math
+import random
 import re
 import zlib
 
@@ -245,26 +246,98 @@ def test_templates():
     m = license_scan.Automaton("copy <<optional>>or <<any 2>> share<</optional>> this work <<any 1>>")
     run = lambda t: m.longest(tx.hash_words(t, tx.ALNUM).tolist(), 0)
     assert [run(t) for t in ("copy this work", "copy or share this work", "copy or a b share this work now", "copy or a b c share this work", "copy that work")] == [3, 5, 8, -1, -1]
-    for bad in ("<<optional>> a", "a <<huh>>"):
+    for bad in ("<<optional>> a", "a <<huh>>", "<<optional>>a<</optional>> <<any 2>> b"):
         with pytest.raises(ValueError):
             license_scan.Automaton(bad)
 
 
+def variants(template, r):
+    """A text that the template accepts: some optional regions, some words of their own in replaceable ones."""
+    out, stack = [], [True]
+    for k, part in enumerate(re.split(r"<<(.*?)>>", template)):
+        if k % 2 == 0:
+            out += part.split() if stack[-1] else []
+        elif part == "optional":
+            stack.append(stack[-1] and r.random() < 0.5)
+        elif part == "/optional":
+            stack.pop()
+        elif stack[-1]:
+            out += [f"own{r.randrange(9)}" for _ in range(r.randint(0, int(part.split()[1])))]
+    return out
+
+
+def accepts(template):
+    """The template as a pattern over words that are each followed by a space."""
+    out = ""
+    for k, part in enumerate(re.split(r"<<(.*?)>>", template)):
+        if k % 2 == 0:
+            out += "".join(f"{w} " for w in part.split())
+        else:
+            out += {"optional": "(?:", "/optional": ")?"}.get(part) or rf"(?:\S+ ){{0,{part.split()[1]}}}"
+    return re.compile(out)
+
+
+def expected_matches(words, patterns):
+    """By trying every end of every start; of one template leftmost longest, then without those within a longer one."""
+    found = []
+    for label, p in patterns:
+        k = 0
+        while k < len(words):
+            end = next((e for e in range(len(words), k, -1) if p.fullmatch("".join(f"{w} " for w in words[k:e]))), None) if p.match(" ".join(words[k:]) + " ") else None
+            if end:
+                found.append((k, end, label))
+            k = end or k + 1
+    inside = lambda a, b: b[0] <= a[0] and a[1] <= b[1] and a[:2] != b[:2]
+    return sorted(x for x in found if not any(inside(x, y) for y in found))
+
+
+def test_templates_equal_brute_force(spark):
+    r = random.Random(5)
+    every = [(label, t) for label, wordings in license_scan.TEMPLATES.items() for t in wordings]
+    patterns = [(label, accepts(t)) for label, t in every]
+    docs, truth = [], []
+    for k, (label, t) in enumerate(every * 3):
+        words = variants(t, r)
+        if k >= len(every) * 2:  # one word lost, doubled or changed, or the end cut off
+            at = r.randrange(len(words))
+            words = [words[:at] + words[at + 1 :], words[:at] + [words[at]] + words[at:], words[: max(1, at)]][k % 3]
+        words = ["x", "this"] * r.randint(0, 2) + words + ["the", "y"] * r.randint(0, 2)
+        docs.append((k, " ".join(w.upper() if r.random() < 0.2 else w for w in words).replace(" and ", ", and ")))
+        truth.append(expected_matches(words, patterns))
+        assert k >= len(every) * 2 or label in {x[2] for x in truth[-1]}
+    got = {x.doc_id: x.matches for x in license_scan.scan(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert [sorted((m.start, m.end, m.label) for m in got[k] if not m.base) for k in range(len(docs))] == truth
+    one = lambda label: [x for (name, _), x in zip(every * 2, truth, strict=False) if name == label]
+    assert all({y[2] for y in x} == {"bsd-3"} for x in one("bsd-3"))
+    assert all({y[2] for y in x} == {"lgpl"} for x in one("lgpl"))
+
+
 def test_license_scan(spark):
-    mit = re.sub(r"<<optional>>including.*?<</optional>>", "", license_scan.TEMPLATES["mit"])
-    mit = mit.replace("<<optional>>copyright <<any 12>><</optional>>", "Copyright 2020 Some Body.")
+    mit = " ".join(variants(license_scan.TEMPLATES["mit"][0], random.Random(1)))
     texts = {
         1: "Released under the MIT License.\nUnder the mit license", 2: f"x {mit} y", 3: f"x {mit.replace('hereby', 'not')} y", 4: None, 5: "",
         6: "Licensed under the Apache License, Version 2.0.", 7: "licensed under CC BY-NC 4.0 cc by nc", 8: "This work is licensed under the GNU General Public License, version 3.",
+        9: mit[: mit.index(" the software is provided")], 10: "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     }
-    got = {r["doc_id"]: r for r in rows(license_scan.summary(license_scan.scan(spark.createDataFrame(list(texts.items()), "doc_id long, text string"))))}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in rows(license_scan.summary(license_scan.scan(docs)))}
     assert [(got[k]["n_base"], got[k]["first_word"], got[k]["last_word"], got[k]["base_labels"], got[k]["labels"]) for k in sorted(got)] == [
         (2, 1, 5, "mit", "mit"), (0, None, None, "", "mit"), (0, None, None, "", ""), (0, None, None, "", ""), (0, None, None, "", ""),
-        (1, 3, 3, "apache-2", "apache-2"), (2, 2, 7, "cc-by-nc", "cc-by-nc"), (0, None, None, "", "gpl"),
+        (1, 3, 3, "apache-2", "apache-2"), (2, 2, 7, "cc-by-nc", "cc-by-nc"), (0, None, None, "", "gpl"), (0, None, None, "", ""), (0, None, None, "", "lgpl"),
     ]
     assert got[5]["score"] == 0 and all(0 <= r["score"] <= 1 for r in got.values())
 
 
+def test_license_scan_of_awkward_tables(spark):
+    """Repeated rows, a long text with many matches, columns with the operator's own names, an empty table."""
+    long = "a b c licensed under the gnu general public license version 3. " * 5000
+    docs = spark.createDataFrame([(1, "under the mit license")] * 3 + [(2, long)], "doc_id long, text string").withColumns({"matches": F.lit(1), "labels": F.lit("x"), "n_words": F.lit(-1)})
+    got = sorted((r["doc_id"], r["n_words"], r["n_base"], r["labels"], round(r["score"], 3)) for r in rows(license_scan.summary(license_scan.scan(docs))))
+    assert got == [(1, 4, 1, "mit", 1.0)] * 3 + [(2, 60000, 0, "gpl", 0.75)]
+    assert license_scan.summary(license_scan.scan(docs.limit(0))).count() == 0
+
+
 # --- decontamination
 
 
