@@ -6,10 +6,13 @@ hold is a copied example, one that a single owner holds looks live. Detectors
 of the base set always stay; those of ``EXTRA`` count only where the value
 belongs to one owner.
 
-Everything is SQL expressions. A match's place follows from the lengths of the
-pieces between matches (``split``) and of the matches before it. Counting is
-two-phase by hash and repository, so a value in a third of all rows spreads
-over tasks until only its partial counts are left.
+Everything is SQL expressions. Texts are read once: a plain substring that every
+match of a pattern holds is looked for before the pattern is, and what is found
+is stored. A match's place follows from the lengths of the pieces between
+matches (``split``) and of the matches before it, summed up by blocks of matches
+so that a text with very many of them costs no more each. Counting is two-phase
+by hash and repository, so a value in a third of all rows spreads over tasks
+until only its partial counts are left.
 
 Defined cases: a null text is empty; a null owner or repository counts as one
 more; rows that repeat have the same spans; an empty table gives an empty
@@ -18,9 +21,14 @@ result.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from granary.llm.session import cut
+
 #: kind: pattern, group that holds the value, fewest characters of it
 BASE = {
     "assign": (r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
@@ -35,31 +43,73 @@ EXTRA = {
     "bearer": (r"[Bb]earer\x20+[A-Za-z0-9._~+/-]{16,}=*", 0, 1),
     "userinfo": (r"[a-z][a-z0-9+]{1,9}://[^\s:/@]{1,64}:[^\s:/@]{6,64}@", 0, 1),
 }
+#: Substrings of which every match of a kind holds one, and whether in either case.
+CUES = {
+    "assign": (("passw", "secret", "token", "apikey", "api_key"), True),
+    "access": (("AKIA",), False),
+    "jwt": (("eyJ",), False),
+    "hub": (("gho_", "ghp_", "ghs_", "ghu_"), False),
+    "chat": (("xoxa-", "xoxb-", "xoxp-"), False),
+    "pem": (("PRIVATE KEY-----",), False),
+    "bearer": (("earer ",), False),
+    "userinfo": (("://",), False),
+}
+#: Matches whose spans are gathered one by one.
+BLOCK = 64
 SPAN = "struct<start: long, place: int, kind: string, end: long, value: long>"
 
 
+def named(value: Column, body) -> Column:
+    """``body`` of a value that is evaluated once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def cued(text: Column, kind: str) -> Column:
+    """Whether a text may hold a match of the kind."""
+    if kind not in CUES:
+        return F.lit(True)
+    cues, either = CUES[kind]
+    any_of = lambda t: reduce(or_, [F.contains(t, F.lit(c)) for c in cues])
+    return named(F.lower(text), any_of) if either else any_of(text)
+
+
 def spans(text: Column, kind: str, pattern: str, group: int, least: int, place: int) -> Column:
     """Leftmost non-overlapping matches whose value has ``least`` characters, as an array of SPAN."""
     rx = F.lit(pattern)
-    none = F.lit(None).cast(f"array<{SPAN}>")
-    empty = F.coalesce(none, F.array().cast(f"array<{SPAN}>"))
+    empty = F.array().cast(f"array<{SPAN}>")
+    zero = F.lit(0).cast("long")
     pieces = F.arrays_zip(
         F.transform(F.split(text, pattern, -1), F.length).alias("gap"),
         F.transform(F.regexp_extract_all(text, rx, F.lit(0)), F.length).alias("length"),
         F.regexp_extract_all(text, rx, F.lit(group)).alias("value"),
     )
-    start = F.struct(F.lit(0).cast("long").alias("at"), empty.alias("found"))
+    width = lambda x: x["gap"] + F.coalesce(x["length"], F.lit(0))
 
     def step(acc: Column, x: Column) -> Column:
         begin = acc["at"] + x["gap"]
-        end = begin + F.coalesce(x["length"], F.lit(0))
+        end = acc["at"] + width(x)
         span = F.struct(
             begin.alias("start"), F.lit(place).alias("place"), F.lit(kind).alias("kind"), end.alias("end"), F.xxhash64(x["value"]).alias("value")
         )
         good = F.coalesce(F.length(x["value"]) >= least, F.lit(False))
         return F.struct(end.alias("at"), F.when(good, F.array_append(acc["found"], span)).otherwise(acc["found"]).alias("found"))
 
-    return F.when(text.rlike(pattern), F.aggregate(pieces, start, step, lambda acc: acc["found"])).otherwise(empty)
+    def placed(blocks: Column) -> Column:
+        sums = F.transform(blocks, lambda b: F.aggregate(b, zero, lambda acc, x: acc + width(x)))
+        firsts = F.aggregate(
+            sums,
+            F.struct(zero.alias("at"), F.array().cast("array<bigint>").alias("all")),
+            lambda acc, x: F.struct((acc["at"] + x).alias("at"), F.array_append(acc["all"], acc["at"]).alias("all")),
+            lambda acc: acc["all"],
+        )
+        within = lambda z: F.aggregate(z["block"], F.struct(z["first"].alias("at"), empty.alias("found")), step, lambda acc: acc["found"])
+        return F.flatten(F.transform(F.arrays_zip(firsts.alias("first"), blocks.alias("block")), within))
+
+    blocks = lambda all_: F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(all_) - 1) / BLOCK).cast("int")), lambda i: F.slice(all_, i * BLOCK + 1, F.lit(BLOCK))
+    )
+    found = named(named(pieces, blocks), placed)
+    return F.when(cued(text, kind) & text.rlike(pattern), found).otherwise(empty)
 
 
 def shown(found: Column) -> Column:
@@ -102,13 +152,15 @@ def scan(
 
     A value is live-looking with at most ``most_owners`` owners and ``most_repositories`` repositories.
     """
-    found = candidates(docs, text).select(
-        F.col(doc_id).alias("doc_id"),
-        F.col(repository).alias("__repository"),
-        F.col(owner).alias("__owner"),
-        F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash"),
-        "base",
-        "extra",
+    found = cut(
+        candidates(docs, text).select(
+            F.col(doc_id).alias("doc_id"),
+            F.col(repository).alias("__repository"),
+            F.col(owner).alias("__owner"),
+            F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash"),
+            "base",
+            "extra",
+        )
     )
     some = found.where(F.size("base") + F.size("extra") > 0)
     owned = ownership(some, F.col("__repository"), F.col("__owner"))

@@ -239,6 +239,42 @@ def test_ownership_tells_examples_from_live_values(spark):
     assert secrets.scan(spark.createDataFrame([], "doc_id long, text string, source string")).count() == 0
 
 
+def test_ownership_and_extras_equal_brute_force(spark):
+    """All kinds in random texts: spans, and live and copied values by distinct owners and repositories."""
+    r = random.Random(12)
+    alnum = "ABCDEFghijkl0123456789"
+    some = lambda n: "".join(r.choices(alnum, k=n))
+    makers = [
+        lambda: f"eyJ{some(9)}.{some(9)}.{some(12)}", lambda: f"gh{r.choice('opsu')}_{some(32)}", lambda: f"xoxb-{some(12)}", lambda: f"Bearer {some(20)}==",
+        lambda: f"-----BEGIN RSA PRIVATE KEY-----\n{some(30)}\n-----END", lambda: f"db+x://user{some(2)}:{some(8)}@host", lambda: f"API_KEY = '{some(9)}'",
+        lambda: "AKIA" + some(20).upper(), lambda: "".join(r.choices("0123456789abcdef", k=30)), lambda: f"passWD:{some(3)}", lambda: "é😀 the word",
+    ]
+    values = [m() for m in makers for _ in range(3)]
+    docs = [(k, " ".join(r.choices(values, k=r.randint(0, 5))), r.choice(["a", "b", None])) for k in range(60)]
+    docs += [(60, " ".join(m() for _ in range(70) for m in makers), "a"), (61, None, "a"), docs[3], docs[3]]
+    kinds = {**secrets.BASE, **secrets.EXTRA}
+    found = {}
+    for d, t, o in docs:
+        found[d] = [
+            (m.start(), place, kind, m.end(), m[g]) for place, (kind, (p, g, least)) in enumerate(kinds.items()) for m in re.finditer(p, t or "", re.ASCII) if len(m[g]) >= least
+        ]
+    owners, repositories = collections.defaultdict(set), collections.defaultdict(set)
+    for d, _, o in docs:
+        for x in found[d]:
+            owners[x[4]].add(o)
+            repositories[x[4]].add(d)
+    live = lambda v: len(owners[v]) <= 1 and len(repositories[v]) <= 3
+    shown = lambda xs: ",".join(f"{kind}:{s}:{e}" for s, _, kind, e, _ in sorted(xs))
+    expected = [
+        (d, shown(x for x in found[d] if x[1] < 3), shown(x for x in found[d] if x[1] < 3 or live(x[4])), sum(live(x[4]) for x in found[d]), sum(not live(x[4]) for x in found[d]))
+        for d, _, _ in docs
+    ]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string").withColumns({"base": F.lit(1), "extra": F.lit("x")})
+    got = rows(secrets.scan(df, most_repositories=3))
+    assert sorted((x["doc_id"], x["base_spans"], x["spans"], x["n_live"], x["n_example"]) for x in got) == sorted(expected)
+    assert {x[2] for xs in found.values() for x in xs} == set(kinds)
+
+
 # --- licenses
 
 
