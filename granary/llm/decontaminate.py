@@ -9,8 +9,11 @@ offsets, from the rarest term of the block on. What is left are exact phrase
 matches. A proximity match needs every term of a window within ``slop`` words of
 one occurrence of its first term.
 
-A benchmark of any size runs in parts of about ``PART_WORDS`` words, one pass
-over the stored index each.
+Windows are made and deduplicated as a table of one row for each window and item.
+Its rows are dealt by hash to parts of about ``PART_WINDOWS``, whatever the
+items' number and length, and tasks pack each part. A benchmark of one part is
+searched in one pass over the stored index; of more, in one pass each, one after
+another, each storing its hits and giving its broadcast back.
 
 Defined cases: null or empty texts have no words and no hits; an item of fewer
 words than a window is one window; a null item id reads as an empty string;
@@ -20,6 +23,9 @@ documents give an empty result; extra columns are not read.
 
 from __future__ import annotations
 
+import pickle
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -30,8 +36,10 @@ from granary.llm import text as tx
 from granary.llm.session import cut, sized
 
 WIDTH = 13
-#: Words of the benchmark that are held in memory at once (some 100 bytes each with their windows).
-PART_WORDS = 500_000
+#: Rows (window, item) of the benchmark that are held in memory at once, some 100 bytes each.
+PART_WINDOWS = 250_000
+#: Windows that a task hands on at once.
+SENT_WINDOWS = 1 << 16
 BLOCK_BYTES = 1 << 20
 #: Positions between documents, so that no match crosses from one to the next.
 GAP = 64
@@ -99,24 +107,75 @@ def build_index(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     return cut(rows.mapInArrow(_index, INDEX))
 
 
+@dataclass
 class Windows:
-    """Distinct windows of some benchmark items as numbers of terms, -1 where a window is shorter."""
-
-    def __init__(self, items: list[tuple[str, np.ndarray]], width: int):
-        found: dict[bytes, tuple[np.ndarray, list[str]]] = {}
-        for item, hashes in items:
-            wide = min(width, len(hashes))
-            for k in range(len(hashes) - wide + 1 if wide else 0):
-                run = hashes[k : k + wide]
-                names = found.setdefault(run.tobytes(), (run, []))[1]
-                if not names or names[-1] != item:
-                    names.append(item)
-        self.items = [names for _, names in found.values()]
-        self.length = np.array([len(run) for run, _ in found.values()], np.int64)
-        self.terms = np.unique(np.concatenate([run for run, _ in found.values()])) if found else np.zeros(0, np.uint64)
-        self.of = np.full((len(found), width), -1, np.int64)
-        for k, (run, _) in enumerate(found.values()):
-            self.of[k, : len(run)] = np.searchsorted(self.terms, run)
+    """Distinct windows as numbers of terms (-1 where a window is shorter), and the items of each."""
+
+    terms: np.ndarray
+    of: np.ndarray
+    length: np.ndarray
+    bounds: np.ndarray  # of each window's items in ``item``
+    item: np.ndarray
+    names: list[str]
+
+    @classmethod
+    def packed(cls, rows: list[tuple[bytes, str]], width: int) -> Windows:
+        """Of (window, item), with rows of one window side by side."""
+        first = [k for k, (run, _) in enumerate(rows) if not k or run != rows[k - 1][0]]
+        runs = [np.frombuffer(rows[k][0], np.uint64) for k in first]
+        terms = np.unique(np.concatenate([*runs, np.zeros(0, np.uint64)]))
+        of = np.full((len(runs), width), -1, np.int32)
+        for k, run in enumerate(runs):
+            of[k, : len(run)] = np.searchsorted(terms, run)
+        names = sorted({item for _, item in rows})
+        number = {x: k for k, x in enumerate(names)}
+        return cls(terms, of, np.array([len(r) for r in runs], np.int64), np.array([*first, len(rows)]), np.array([number[x] for _, x in rows], np.int64), names)
+
+    def items(self, k: int) -> list[str]:
+        return [self.names[x] for x in self.item[self.bounds[k] : self.bounds[k + 1]]]
+
+
+def _windows(width: int):
+    def run(batches):
+        for batch in batches:
+            data, offsets = tx.buffers(batch.column("text"))
+            for i, j in tx.slices(offsets):
+                w = tx.words(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], tx.ALNUM)
+                wide = np.minimum(w.count, width)
+                n = np.where(w.count > 0, w.count - wide + 1, 0)
+                of = np.repeat(np.arange(j - i), n)
+                at = np.arange(len(of)) - (np.cumsum(n) - n)[of] + w.first[of]
+                for lo in range(0, len(of), SENT_WINDOWS):
+                    some = of[lo : lo + SENT_WINDOWS]
+                    size = wide[some]
+                    ends = np.cumsum(size)
+                    flat = w.hash[np.arange(ends[-1]) + np.repeat(at[lo : lo + SENT_WINDOWS] - (ends - size), size)]
+                    bounds = np.concatenate([[0], ends * 8]).astype(np.int32)
+                    runs = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(bounds.tobytes()), pa.py_buffer(flat.tobytes())])
+                    yield pa.RecordBatch.from_arrays([batch.column("item_id").take(pa.array(some + i)), runs], ["item_id", "run"])
+
+    return run
+
+
+def _pack(width: int):
+    """Each part's windows as one row; rows come by part and window."""
+
+    def run(batches):
+        part, rows = None, []
+        one = lambda: pa.RecordBatch.from_arrays(
+            [pa.array([part], pa.int64()), pa.array([pickle.dumps(Windows.packed(rows, width))], pa.binary())], ["part", "windows"]
+        )
+        for batch in batches:
+            for p, *row in zip(*(batch.column(c).to_pylist() for c in ("part", "run", "item_id")), strict=True):
+                if p != part and rows:
+                    yield one()
+                    rows = []
+                part = p
+                rows.append(tuple(row))
+        if rows:
+            yield one()
+
+    return run
 
 
 def probe(q: Windows, terms: np.ndarray, counts: np.ndarray, positions: np.ndarray, slop: int):
@@ -147,7 +206,9 @@ def probe(q: Windows, terms: np.ndarray, counts: np.ndarray, positions: np.ndarr
             yield int(k), exact, near
 
 
-def _search(shared, slop: int):
+def _search(shared, slop: int, every: bool):
+    """Hits of each document; without ``every`` only of those that have some."""
+
     def run(batches):
         q: Windows = shared.value
         for batch in batches:
@@ -167,11 +228,12 @@ def _search(shared, slop: int):
                     doc = np.searchsorted(starts, exact, "right") - 1
                     for d, s in zip(doc.tolist(), (exact - starts[doc]).tolist(), strict=True):
                         spans.setdefault(d, []).append((s, s + int(q.length[k])))
-                        names.setdefault(d, set()).update(q.items[k])
+                        names.setdefault(d, set()).update(q.items(k))
                     for d in set((np.searchsorted(starts, near, "right") - 1).tolist()):
-                        close.setdefault(d, set()).update(q.items[k])
+                        close.setdefault(d, set()).update(q.items(k))
+                docs = range(len(words)) if every else sorted({*spans, *close})
                 merged = []
-                for d in range(len(words)):
+                for d in docs:
                     out: list[dict] = []
                     for s, e in sorted(spans.get(d, ())):
                         if out and s <= out[-1]["end"]:
@@ -179,18 +241,17 @@ def _search(shared, slop: int):
                         else:
                             out.append({"start": s, "end": e})
                     merged.append(out)
-                n = len(words)
                 span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([row["block"]] * n, pa.int64()),
-                        pa.array(range(n), pa.int32()),
-                        pa.array(row["doc_id"], pa.int64()),
-                        pa.array(row["tag"], pa.int64()),
-                        pa.array(words),
+                        pa.array([row["block"]] * len(docs), pa.int64()),
+                        pa.array(docs, pa.int32()),
+                        pa.array([row["doc_id"][d] for d in docs], pa.int64()),
+                        pa.array([row["tag"][d] for d in docs], pa.int64()),
+                        pa.array([words[d] for d in docs], pa.int64()),
                         pa.array(merged, span),
-                        pa.array([sorted(names.get(d, ())) for d in range(n)], pa.list_(pa.string())),
-                        pa.array([sorted(close.get(d, ())) for d in range(n)], pa.list_(pa.string())),
+                        pa.array([sorted(names.get(d, ())) for d in docs], pa.list_(pa.string())),
+                        pa.array([sorted(close.get(d, ())) for d in docs], pa.list_(pa.string())),
                     ],
                     ["block", "at", "doc_id", "tag", "n_words", "spans", "items", "near"],
                 )
@@ -198,36 +259,39 @@ def _search(shared, slop: int):
     return run
 
 
-def _hashed(batches):
-    for batch in batches:
-        data, offsets = tx.buffers(batch.column("text"))
-        w = tx.words(data, offsets, tx.ALNUM)
-        ends = np.cumsum(w.count)
-        rows = [w.hash[e - c : e].tobytes() for e, c in zip(ends, w.count, strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column("item_id"), pa.array(w.count), pa.array(rows, pa.binary())], ["item_id", "n", "hashes"])
+def parts_of(benchmark: DataFrame, *, item_id="item_id", text="text", width=WIDTH, part_windows=PART_WINDOWS) -> tuple[DataFrame, int]:
+    """part, windows (a packed ``Windows``) of the benchmark, and the number of parts; a part may have no row."""
+    pairs = cut(
+        benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+        .mapInArrow(_windows(width), "item_id string, run binary")
+        .distinct()
+    )
+    parts = -(-pairs.count() // part_windows) or 1
+    dealt = pairs.withColumn("part", F.pmod(F.xxhash64("item_id", "run"), F.lit(parts)))
+    return cut(dealt.repartition(parts, "part").sortWithinPartitions("part", "run", "item_id").mapInArrow(_pack(width), "part long, windows binary")), parts
 
 
-def search(index: DataFrame, benchmark: DataFrame, *, item_id="item_id", text="text", width=WIDTH, slop=26, part_words=PART_WORDS) -> DataFrame:
+def search(index: DataFrame, benchmark: DataFrame, *, item_id="item_id", text="text", width=WIDTH, slop=26, part_windows=PART_WINDOWS) -> DataFrame:
     """One row a document: doc_id, tag, n_words, spans (merged hits, words from 0), items, near (items with a proximity match)."""
-    spark = index.sparkSession
-    items = cut(
-        benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-        .mapInArrow(_hashed, "item_id string, n long, hashes binary")
-        .where("n > 0")
-    )
-    parts = -(-(items.agg(F.sum("n")).first()[0] or 0) // part_words) or 1
-    found = None
-    for part in range(parts):
-        rows = items.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == part).orderBy("item_id").toLocalIterator()
-        shared = spark.sparkContext.broadcast(Windows([(r[0], np.frombuffer(r[2], np.uint64)) for r in rows], width))
-        hits = index.mapInArrow(_search(shared, slop), FOUND)
-        found = hits if found is None else found.union(hits)
-    if parts > 1:
+    context = index.sparkSession.sparkContext
+    packed, parts = parts_of(benchmark, item_id=item_id, text=text, width=width, part_windows=part_windows)
+    nothing = Windows.packed([], width)
+
+    def shared(part: int):
+        row = packed.where(F.col("part") == part).select("windows").first()
+        return context.broadcast(pickle.loads(row[0]) if row else nothing)
+
+    if parts == 1:
+        found = index.mapInArrow(_search(shared(0), slop, True), FOUND)
+    else:
+        none = context.broadcast(nothing)
+        found = index.mapInArrow(_search(none, slop, True), FOUND)
+        for part in range(parts):
+            now = shared(part)
+            found = found.union(cut(index.mapInArrow(_search(now, slop, False), FOUND)))
+            now.destroy()
         found = found.groupBy("block", "at").agg(
-            F.first("doc_id").alias("doc_id"),
-            F.first("tag").alias("tag"),
-            F.first("n_words").alias("n_words"),
-            *[F.flatten(F.collect_list(c)).alias(c) for c in ("spans", "items", "near")],
+            *[F.max(c).alias(c) for c in ("doc_id", "tag", "n_words")], *[F.flatten(F.collect_list(c)).alias(c) for c in ("spans", "items", "near")]
         )
     distinct = lambda c: F.array_sort(F.array_distinct(c)).alias(c)
     return found.select("doc_id", "tag", "n_words", F.array_sort("spans").alias("spans"), distinct("items"), distinct("near"))

@@ -377,14 +377,16 @@ def test_license_scan_of_awkward_tables(spark):
 # --- decontamination
 
 
-@pytest.mark.parametrize("part_words", [decontaminate.PART_WORDS, 40])
-def test_passages(spark, corpus, part_words):
+@pytest.mark.parametrize(("part_windows", "ids"), [(decontaminate.PART_WINDOWS, True), (60, True), (60, False)])
+def test_passages(spark, corpus, part_windows, ids):
     docs = [(r.doc_id, r.text) for r in corpus.collect()]
     pick = lambda i: next(t for d, t in docs if d == i)
     items = [(1, pick(2)), (2, " ".join(pick(70).split()[10:40])), (10, "A, b; c"), (11, None), (12, "!!"), (3, pick(2)), (None, " ".join(pick(106).split()[500:530]))]
-    bench = spark.createDataFrame(items, "item_id long, text string")
-    index = decontaminate.build_index(corpus, tag=F.xxhash64("text"))
-    got = rows(decontaminate.judged(decontaminate.search(index, bench, part_words=part_words)))
+    items = items if ids else [(None, t) for _, t in items]  # one of them is longer than a part
+    bench = spark.createDataFrame(items, "item_id long, text string").withColumn("run", F.lit("clash"))
+    docs_in = corpus.withColumns({"words": F.lit(1), "block": F.lit("clash")})
+    index = decontaminate.build_index(docs_in, tag=F.xxhash64("text"))
+    got = rows(decontaminate.judged(decontaminate.search(index, bench, part_windows=part_windows)))
     words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(t))
     windows = collections.defaultdict(set)
     for i, t in items:
@@ -405,6 +407,7 @@ def test_passages(spark, corpus, part_words):
     clean = decontaminate.clean(corpus, bench)
     assert clean.columns == corpus.columns and clean.count() == sum(not e[4] for e in expected)
     assert decontaminate.clean(corpus, bench.limit(0)).count() == len(docs)
+    assert decontaminate.clean(corpus.limit(0), bench).count() == 0
 
 
 def test_proximity(spark):
