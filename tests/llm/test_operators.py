@@ -119,6 +119,26 @@ def test_url_lists(spark):
     assert {r["decision"] for r in rows(url_lists.evaluate(df, entries.limit(0)))} == {"allow"}
 
 
+def test_long_urls_histories_and_prefixes(spark):
+    """A URL of 100 kB, a pattern of 3,000 entries, against a plain evaluation; case and empty segments of prefixes."""
+    r = random.Random(2)
+    start = dt.date(2000, 1, 1)
+    day = lambda k: start + dt.timedelta(days=k)
+    history = [(3 * k + r.randrange(2), r.choice(["block", "allow"])) for k in range(3000)]
+    deep = "x.org/" + "/".join(["s"] * 40_000)
+    entries = [("host", "Often.com", a, day(k)) for k, a in history]
+    entries += [("prefix", deep, "block", day(9)), ("prefix", "X.org//Path/", "block", day(1)), ("domain", "b." * 1200 + "org", "block", day(1)), ("host", "a." + "b." * 1200 + "org", "allow", day(1))]
+    long = f"http://{deep}/{'t/' * 10_000}"
+    asked = [(k, "http://often.com/x", day(r.randrange(9100))) for k in range(200)]
+    asked += [(1000, long, day(9)), (1001, long, day(8)), (1002, "https://x.ORG/Path//z", day(1)), (1003, "https://x.org/path/z", day(1))]
+    asked += [(1004, f"http://a.{'b.' * 1200}org/", day(2)), (1005, f"http://c.{'b.' * 1200}org/", day(2))]
+    held = lambda d: next((a for k, a in reversed(history) if day(k) <= d), "allow")
+    expected = {i: held(d) for i, _, d in asked[:200]} | {1000: "block", 1001: "allow", 1002: "block", 1003: "allow", 1004: "allow", 1005: "block"}
+    captures = spark.createDataFrame(asked, "page_id long, url string, fetched_on date")
+    listed = spark.createDataFrame(entries, "kind string, pattern string, action string, listed_on date")
+    assert {x.page_id: x.decision for x in url_lists.evaluate(captures, listed).collect()} == expected
+
+
 # --- mixing
 
 
