@@ -92,6 +92,113 @@ def test_one_seating_sums_to_one():
         assert p.sum() == pytest.approx(1) and (p > 0).all()
 
 
+def test_scores_do_not_depend_on_layout(spark):
+    """Over 120,000 words in one partition and in nine, hot buckets in one and in several replicas; bursts of rare words at places."""
+    r = np.random.default_rng(8)
+    common = [f"w{k}" for k in range(3000)]
+    docs = []
+    for k in range(400):
+        words = [common[int(x)] for x in np.minimum(r.zipf(1.3, 300) - 1, 2999)]
+        docs.append((k, " ".join(words + [f"burst{k}"] * int(r.integers(0, 12)) + ["of", "the"] * 10)))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    kept = lambda d, **o: {x.doc_id: (x.score, x.base_score, x.n_known) for x in pitman_yor.score(d, bucket_words=20_000, **o).collect()}
+    first = kept(df.coalesce(1))
+    for other in (kept(df.repartition(9)), kept(df.repartition(3), replica_words=300)):
+        assert other.keys() == first.keys()
+        assert all(other[k] == pytest.approx(first[k], rel=1e-9) for k in first)
+
+
+def test_scores_equal_a_seating_by_hand(spark):
+    """All restaurants of a small corpus in dictionaries: sweeps by the same draws, probabilities by the plain recursion."""
+    py, seed = pitman_yor, 11
+    r = random.Random(4)
+    docs = [(k, " ".join(r.choices([f"w{x}" for x in range(30)], k=r.randint(0, 25)) + [f"own{k % 25}"])) for k in range(60)] + [(60, None), (61, "")]
+    w = tx.words(*tx.buffers(pa.array([t for _, t in docs])))
+    learn = np.array([zlib.crc32(str(k).encode()) % 10 != 0 for k, _ in docs])
+    count = collections.Counter(w.hash[learn[w.text]].tolist())
+    classes = dict(zip(w.hash.tolist(), py._classes(w).tolist(), strict=True))
+    frequent = sorted(h for h, n in count.items() if n >= 2)
+    c = py.Contexts.of(np.array(frequent, np.uint64), np.array([classes[h] for h in frequent]))
+    h, ctx, text = py.tokens(w, c)
+    use = learn[text]
+    assert len(count) > len(frequent) > 20
+    pairs = collections.Counter(zip(h[use].tolist(), ctx[use].tolist(), strict=True))
+    buckets = collections.defaultdict(list)
+    for (a, b), n in sorted(pairs.items()):
+        buckets[int(py._bucket(np.array([a], np.uint64), np.array([b]), c, 64)[0])].append((a, b, n))
+    seats = {}
+    for k, rows_ in buckets.items():
+        dishes = sorted({a for a, _, _ in rows_})
+        per = np.array([sum(a == d for a, _, _ in rows_) for d in dishes])
+        seats[k] = py.Seating(c, np.array(dishes, np.uint64), per, np.array([b for _, b, _ in rows_]), np.array([n for _, _, n in rows_]))
+    hot = set(frequent)
+    state, chain = {}, []
+
+    def look():
+        leaf, cls, root, cold_tables = {}, {}, collections.Counter(), {}
+        for s in seats.values():
+            for x in range(len(s.n)):
+                if s.own[x]:
+                    leaf[int(s.words[s.word[x]]), int(s.ctx[x])] = (int(s.n[x]), int(s.t[x]))
+            for g, ck in enumerate(s.class_customers()):
+                cls[int(s.words[s.group_word[g]]), int(s.group_class[g])] = (int(ck), int(s.tk[g]))
+            for x, d in enumerate(s.words.tolist()):
+                if d not in hot:
+                    cold_tables[d] = int(s.t0[x])
+        for (d, _), (_, t) in cls.items():
+            root[d] += t
+        return leaf, cls, root, cold_tables
+
+    for step in range(py.BURN_IN + py.SAMPLES + 1):
+        if step:
+            for k, s in seats.items():
+                s.sweep(chain[-1], np.random.default_rng([seed, step - 1, k]))
+        leaf, cls, root, tables = look()
+        types = len(root)
+        if not chain:
+            rate = lambda xs: min(max(sum(x == 1 for x in xs) / max(sum(x == 1 for x in xs) + 2 * sum(x == 2 for x in xs), 1), 0.1), 0.95)
+            d = (rate([n for n, _ in leaf.values()]), rate([ck for ck, _ in cls.values()]), rate([n for x, n in root.items() if x not in hot]))
+        base = (py.STRENGTH + d[2] * (chain[-1].root_tables if chain else types)) / (types + 1)
+        hot_c = np.array([root[x] for x in frequent])
+        hot_t = py.draw(hot_c, np.full(len(hot_c), base), d[2], np.random.default_rng([seed, step, 1 << 30]))
+        by_ctx, by_class, customers = np.zeros(len(c.class_of), int), np.zeros(py.CLASSES + 1, int), np.zeros(py.CLASSES + 1, int)
+        for (_, x), (_, t) in leaf.items():
+            by_ctx[x] += t
+        for (_, k), (n, t) in cls.items():
+            by_class[k] += t
+            customers[k] += n
+        chain.append(py.Totals(d, types, by_ctx, by_class, customers, sum(tables.values()) + int(hot_t.sum()), sum(root.values()), hot_c, hot_t))
+        state[step] = (leaf, cls, root, tables | dict(zip(frequent, hot_t.tolist(), strict=True)), chain[-1])
+    of_ctx = collections.Counter()
+    for (a, b), n in pairs.items():
+        of_ctx[b] += n
+
+    def p(step, d_, x):
+        leaf, cls, root, tables, m = state[step]
+        k = int(c.class_of[x])
+        now = (root[d_] - d[2] * tables.get(d_, 0) + (1 + d[2] * m.root_tables) / (m.types + 1)) / (1 + m.root_customers)
+        n, t = cls.get((d_, k), (0, 0))
+        now = (n - d[1] * t + (1 + d[1] * int(m.class_tables[k])) * now) / (1 + int(m.class_customers[k]))
+        if not c.own[x]:
+            return now
+        n, t = leaf.get((d_, x), (0, 0))
+        return (n - d[0] * t + (1 + d[0] * int(m.tables[x])) * now) / (1 + of_ctx[x])
+
+    expected = collections.Counter()
+    for a, b, k in zip(h.tolist(), ctx.tolist(), text.tolist(), strict=True):
+        expected[docs[k][0]] += math.log10(sum(p(s, a, b) for s in list(state)[-py.SAMPLES :]) / py.SAMPLES)
+    got = {x.doc_id: x.score for x in py.score(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()}
+    assert got == pytest.approx(dict(expected), rel=1e-9)
+
+
+def test_scores_of_awkward_tables(spark, corpus):
+    assert pitman_yor.score(corpus.limit(0)).count() == 0
+    # no training row: the model is the uniform base over the one unknown type
+    held = [k for k in range(200) if zlib.crc32(str(k).encode()) % 10 == 0][:3]
+    got = rows(pitman_yor.score(spark.createDataFrame([(k, "a b") for k in held], "doc_id long, text string").withColumn("learn", F.lit("clash"))))
+    assert [(x["n_tokens"], x["n_known"], x["train_tokens"], round(x["score"], 6)) for x in got] == [(3, 0, 0, 0.0)] * 3
+
+
 # --- URL lists
 
 
