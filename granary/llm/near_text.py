@@ -9,11 +9,13 @@ documents to children by their value there, until nodes have few members.
 Work stays linear in a node's size because components, not pairs, are asked
 for. At every level members are compared with their node's pivot first, each
 with its most alike one, then the most alike pair of every two components found
-so; nodes that then hold one component only are done. Of the others, those of few members are compared
-exhaustively across components, and only large ones branch on. Nodes that are
-large and mixed at the depth limit form families where they share members; those
-outside a family's largest component are compared with all of it in blocks, so
-no link is lost to a cap.
+so; nodes that then hold one component only are done. Of the others, those of few
+members are compared exhaustively across components, and large ones branch on
+for as long as that separates their members and comparing all would be more work
+than small nodes are. Children that keep over ``SHRINK``
+of a large node's members are as alike as links nearly are; they form families
+where they share members, and those outside a family's largest component are
+compared with all of it in blocks, so no link is lost to a cap.
 
 Candidates that agree in too few coordinates go (at 64 coordinates and a
 similarity of 0.85, fewer than 40 have odds of 2e-6 a pair; at 0.80, fewer than
@@ -44,6 +46,10 @@ _rng = np.random.default_rng(7)
 _ODD = _rng.integers(1, 2**63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: Wanted texts up to this many rows (8 to 40 bytes each) are sent to every executor; more are joined by a shuffle.
 BROADCAST_ROWS = 500_000
+#: Orders by which nodes choose their pivots.
+ORDERS = 8
+#: Share of a large node's members above which a child isn't branched on.
+SHRINK = 0.6
 #: Documents of a family that one task holds, and about how many it compares with them.
 ODD_BLOCK, ALL_BLOCK = 256, 1024
 #: Comparisons with one pivot that one task makes before a salt deals out the rest.
@@ -140,7 +146,7 @@ def _plant(trees: int, similarity: float):
             sig, rep = _matrix(batch.column("sig")), batch.column("rep").to_numpy()
             for tree in range(trees):
                 node, of = _branch(np.full(len(rep), tree << 8, np.uint64), sig, similarity)
-                yield pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), pa.array(rep[of])], ["node", "rep"])
+                yield pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), pa.array(rep[of]), pa.array(np.zeros(len(of), np.int64))], ["node", "rep", "parent"])
 
     return run
 
@@ -151,7 +157,8 @@ def _grow(similarity: float):
             if batch.num_rows:
                 rep = batch.column("rep").to_numpy()
                 node, of = _branch(batch.column("node").to_numpy().view(np.uint64), _matrix(batch.column("sig")), similarity)
-                yield pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), pa.array(rep[of])], ["node", "rep"])
+                parent = batch.column("members").take(pa.array(of))
+                yield pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), pa.array(rep[of]), parent], ["node", "rep", "parent"])
 
     return run
 
@@ -273,7 +280,7 @@ def _confirm(percent: int):
 class ChosenPath:
     """One run of the join; ``documents()`` gives one row a document."""
 
-    def __init__(self, docs: DataFrame, *, doc_id="doc_id", text="text", width=5, percent=85, trees=16, small=32, depth=4):
+    def __init__(self, docs: DataFrame, *, doc_id="doc_id", text="text", width=5, percent=85, trees=16, small=32, depth=64):
         self.docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("tag"))
         self.width, self.percent, self.trees, self.small = width, percent, trees, small
         self.depth = depth
@@ -292,6 +299,7 @@ class ChosenPath:
             .withColumn("rep", F.coalesce("id", "lo"))
         )
         self.reps = self.sets.select("rep", "size", "lo", "sig")
+        self.n_sets = self.sets.count()
         self.nameless = cut(self.sets.where("id is null").select("rep", "tag"))
         self.named = self.nameless.isEmpty()
         labels = self.labels()
@@ -317,52 +325,69 @@ class ChosenPath:
 
     def labels(self) -> DataFrame:
         """node, component of the sets that are linked with one of a smaller number."""
-        rows = self.reps.select("rep", "sig").mapInArrow(_plant(self.trees, self.similarity), "node long, rep long")
-        links = stars = few = labels = None
+        rows = self.reps.select("rep", "sig").mapInArrow(_plant(self.trees, self.similarity), "node long, rep long, parent long")
+        none = self.docs.sparkSession.createDataFrame([], "a long, b long")
+        self.links = self.tried = none
+        labels = components(none)
+        stars = few = left = None
         joined = lambda a, b: b if a is None else a.union(b)
         for depth in range(1, self.depth + 1):
             members = self.level(rows)
-            near = self.alike(members.where("rep <> pivot").select("pivot", "rep"))
-            if labels is not None:
-                near = cut(self.apart(near, labels).select("a", "b", "agree"))
+            pairs = members.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
+            near = self.alike(pairs if stars is None else pairs.join(stars.select("a", "b"), ["a", "b"], "left_anti"))
             stars = joined(stars, near)
-            first = near.groupBy("b").agg(F.max_by("a", F.struct("agree", "a")).alias("a"))
-            links = joined(links, cut(self.confirmed(first)))
-            labels = components(links)
-            rest = cut(self.apart(near, labels))
-            if not rest.isEmpty():
-                # groups around different pivots: the most alike pair of every two
-                best = rest.groupBy("x", "y").agg(F.max_by(F.struct("a", "b"), F.struct("agree", "a", "b")).alias("p")).select("p.a", "p.b")
-                links = links.union(cut(self.confirmed(best)))
-                labels = components(links)
+            labels = self.pivoted(near, labels)
             mixed = cut(self.mixed(members, labels))
             few = joined(few, mixed.where(F.col("members") <= self.small))
             large = mixed.where(F.col("members") > self.small)
-            if depth == self.depth or large.isEmpty():
+            stuck = (F.col("members") > SHRINK * F.col("parent")) & (F.col("parent") > 0) if depth < self.depth else F.lit(True)
+            left = joined(left, large.where(stuck))
+            large = large.where(~stuck)
+            if (large.where("odd").agg(F.sum("members")).first()[0] or 0) <= self.small * self.n_sets:
+                left = left.union(large)
                 break
             rows = self.branched(large)
         across = self.alike(self.across(self.mixed(few, labels)))
-        links = links.union(cut(self.confirmed(self.apart(stars.union(across), labels))))
-        labels = components(links)
-        deep = self.family_links(large, labels)
-        return labels if deep is None else components(links.union(cut(deep)))
+        labels = self.linked(self.apart(stars.union(across), labels).distinct(), labels)
+        return self.family_links(left, labels)
+
+    def linked(self, pairs: DataFrame, labels: DataFrame) -> DataFrame:
+        """Labels after the pairs (a, b) that haven't been tried before are confirmed."""
+        new = cut(pairs.select("a", "b").join(self.tried, ["a", "b"], "left_anti"))
+        if new.isEmpty():
+            return labels
+        self.tried = self.tried.union(new)
+        self.links = self.links.union(cut(self.confirmed(new)))
+        return components(self.links)
+
+    def pivoted(self, near: DataFrame, labels: DataFrame) -> DataFrame:
+        """Labels after each member's most alike pivot, then the most alike pair of every two components."""
+        score = F.struct("agree", "a", "b")
+        first = self.apart(near, labels).groupBy("b").agg(F.max_by("a", score).alias("a"))
+        labels = self.linked(first, labels)
+        best = self.apart(near, labels).groupBy("x", "y").agg(F.max_by(F.struct("a", "b"), score).alias("p"))
+        return self.linked(best.select("p.a", "p.b"), labels)
 
     def level(self, rows: DataFrame) -> DataFrame:
-        """rows (node, rep) with the members and the pivot of their nodes, without lone ones."""
+        """rows (node, rep, parent) with the members and the pivot of their nodes, without lone ones.
+
+        Pivots are chosen by one of ``ORDERS`` orders of all documents, so nodes of alike members share few, whatever
+        their tree, of which one that stands at the group's edge does no harm.
+        """
         rows = cut(rows)
-        sizes = rows.groupBy("node").agg(F.count("*").alias("members"), F.min_by("rep", F.xxhash64("node", "rep")).alias("pivot"))
+        sizes = rows.groupBy("node").agg(F.count("*").alias("members"), F.min_by("rep", F.xxhash64("rep", F.pmod("node", F.lit(ORDERS)))).alias("pivot"))
         return cut(rows.join(sizes.where("members > 1"), "node"))
 
     def branched(self, members: DataFrame) -> DataFrame:
-        return members.select("node", "rep").join(self.reps.select("rep", "sig"), "rep").select("node", "rep", "sig").mapInArrow(
-            _grow(self.similarity), "node long, rep long"
-        )
+        signed = members.select("node", "rep", "members").join(self.reps.select("rep", "sig"), "rep").select("node", "rep", "members", "sig")
+        return signed.mapInArrow(_grow(self.similarity), "node long, rep long, parent long")
 
     def mixed(self, members: DataFrame, labels: DataFrame) -> DataFrame:
-        """node, rep, members, of (component): members of nodes with more than one component."""
-        of = members.select("node", "rep", "members").join(labels.toDF("rep", "of"), "rep", "left").withColumn("of", F.coalesce("of", "rep"))
-        more = of.groupBy("node").agg(F.min("of").alias("x"), F.max("of").alias("y")).where("x <> y").select("node")
-        return of.join(more, "node").select("node", "rep", "members", "of")
+        """node, rep, members, parent, of (component), odd (not of the node's largest one): members of nodes of several components."""
+        of = members.select("node", "rep", "members", "parent").join(labels.toDF("rep", "of"), "rep", "left").withColumn("of", F.coalesce("of", "rep"))
+        parts = of.groupBy("node", "of").count().groupBy("node").agg(F.count("*").alias("parts"), F.max_by("of", F.struct("count", "of")).alias("main"))
+        joined = of.join(parts.where("parts > 1"), "node")
+        return joined.select("node", "rep", "members", "parent", "of", (F.col("of") != F.col("main")).alias("odd"))
 
     def across(self, mixed: DataFrame) -> DataFrame:
         """Pairs of members of different components, in nodes of few members."""
@@ -384,15 +409,15 @@ class ChosenPath:
         main = parts.groupBy("family").agg(F.max_by("of", F.struct("count", "of")).alias("main"))
         return each.join(main, "family").select(F.col("family"), "main", "rep", "of")
 
-    def family_links(self, large: DataFrame, labels: DataFrame) -> DataFrame | None:
-        """Links that cross components in nodes still large at the depth limit.
+    def family_links(self, large: DataFrame, labels: DataFrame) -> DataFrame:
+        """Labels after links that cross components in large nodes that branching doesn't separate.
 
         Documents outside a family's largest component meet all of the family, in blocks, on the full sets; what
         leaves a task are links.
         """
         mixed = cut(self.mixed(large, labels))
         if mixed.isEmpty():
-            return None
+            return labels
         family = cut(self.families(mixed))
         odd = F.col("of") != F.col("main")
         sizes = family.groupBy("family").agg(
@@ -404,7 +429,7 @@ class ChosenPath:
         left = placed.where(odd).select("family", "rep", "of", block("across", 0).alias("i"), every("down").alias("salt"), F.lit(0).alias("role"))
         right = placed.select("family", "rep", "of", every("across").alias("i"), block("down", 1).alias("salt"), F.lit(1).alias("role"))
         wants = left.union(right).select("rep", F.xxhash64("family", "i").alias("key"), "salt", "role", "of")
-        return self.met(wants).mapInArrow(_family(self.percent), "a long, b long")
+        return components(self.links.union(cut(self.met(wants).mapInArrow(_family(self.percent), "a long, b long"))))
 
     def alike(self, pairs: DataFrame) -> DataFrame:
         """a, b, agree of the pairs whose sizes and signatures allow a link."""

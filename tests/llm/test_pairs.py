@@ -87,7 +87,7 @@ def test_one_large_group_of_near_copies(spark, monkeypatch):
     """Equal to brute force, and a large group that its pivots hold together isn't branched on."""
     r = random.Random(6)
     base = [f"t{k}" for k in range(300)]
-    rows = [(k, varied(r, base, 3, k)) for k in range(400)] + [(1000 + k, " ".join(f"o{k}_{x}" for x in range(50))) for k in range(20)]
+    rows = [(k, varied(r, base, 1, k)) for k in range(400)] + [(1000 + k, " ".join(f"o{k}_{x}" for x in range(50))) for k in range(20)]
     branched = []
     grow = near_text.ChosenPath.branched
     monkeypatch.setattr(near_text.ChosenPath, "branched", lambda self, members: branched.append(members.count()) or grow(self, members))
