@@ -24,5 +24,5 @@ def keep_latest(rows: DataFrame, key: list[str]) -> DataFrame:
 
 
 def duplicates(key: list[str]) -> Column:
-    """An aggregate: rows beyond the first of their key."""
+    """An aggregate: rows beyond the first of their key. Alone, on the key's columns: beside others it shuffles their state for each key."""
     return F.count("*") - F.count_distinct(F.struct(*key))

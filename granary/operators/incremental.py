@@ -31,6 +31,13 @@ def decide(spec: TableSpec, source: Identity, last: Checkpoint | None, full: boo
     return Decision(True, "watermark_increment", last.watermark)
 
 
+def is_newer(spec: TableSpec, watermark: str | None) -> Column:
+    """Whether a row lies strictly after the watermark; all do if either side has none."""
+    if watermark is None or spec.watermark is None:
+        return F.lit(True)
+    return F.coalesce(F.col(spec.watermark) > F.lit(watermark).cast("date"), F.lit(False))
+
+
 def newer(rows: DataFrame, spec: TableSpec, watermark: str | None) -> DataFrame:
     """Rows strictly after the watermark; all if either side has none."""
     if watermark is None or spec.watermark is None:
@@ -40,16 +47,15 @@ def newer(rows: DataFrame, spec: TableSpec, watermark: str | None) -> DataFrame:
 
 def late(spec: TableSpec, watermark: str | None) -> Column:
     """An aggregate: rows that the watermark leaves out."""
-    if watermark is None or spec.watermark is None:
-        return F.lit(0).cast("long")
-    return F.count_if(F.coalesce(F.col(spec.watermark) <= F.lit(watermark).cast("date"), F.lit(True)))
+    return F.count_if(~is_newer(spec, watermark))
 
 
-def highest(spec: TableSpec) -> Column:
-    """An aggregate: the rows' own watermark as year-month-day."""
+def highest(spec: TableSpec, only: Column | None = None) -> Column:
+    """An aggregate: the rows' own watermark as year-month-day, of ``only`` some of them."""
     if spec.watermark is None:
         return F.lit(None).cast("string")
-    return F.date_format(F.max(spec.watermark), "yyyy-MM-dd")
+    day = F.col(spec.watermark) if only is None else F.when(only, F.col(spec.watermark))
+    return F.date_format(F.max(day), "yyyy-MM-dd")
 
 
 def advanced(old: str | None, new: str | None) -> str | None:

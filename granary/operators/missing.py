@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from enum import Enum
 
@@ -34,21 +35,21 @@ def optional(spec: TableSpec) -> list[str]:
     return [f.name for f in spec.schema if not f.metadata["required"]]
 
 
-def counters(spec: TableSpec, policy: MissingPolicy) -> dict[str, Column]:
-    """Aggregates for one pass: missing values by column, and dropped, filled and preserved totals."""
-    by_column = {f"missing.{c}": F.count_if(blank(F.col(c))) for c in spec.columns}
+def counters(spec: TableSpec, policy: MissingPolicy, at: Callable[[str], Column] = F.col) -> dict[str, Column]:
+    """Aggregates for one pass: missing values by column, and dropped, filled and preserved totals. ``at`` gives a column's text."""
+    by_column = {f"missing.{c}": F.count_if(blank(at(c))) for c in spec.columns}
     of = lambda s: [c for c in optional(spec) if policy.of(c) is s]
-    drop = dropped(spec, policy)
-    total = lambda names: sum((F.count_if(blank(F.col(c)) & ~drop) for c in names), F.lit(0))
+    drop = dropped(spec, policy, at)
+    total = lambda names: sum((F.count_if(blank(at(c)) & ~drop) for c in names), F.lit(0))
     return by_column | {"dropped_rows": F.count_if(drop), "filled_values": total(of(OnMissing.FILL)), "preserved_values": total(of(OnMissing.PRESERVE))}
 
 
-def dropped(spec: TableSpec, policy: MissingPolicy) -> Column:
+def dropped(spec: TableSpec, policy: MissingPolicy, at: Callable[[str], Column] = F.col) -> Column:
     """Whether the policy drops the row."""
     out = F.lit(False)
     for c in optional(spec):
         if policy.of(c) is OnMissing.DROP_ROW:
-            out = out | blank(F.col(c))
+            out = out | blank(at(c))
     return out
 
 
@@ -61,10 +62,14 @@ def verdict(found: dict[str, int], spec: TableSpec, policy: MissingPolicy) -> st
     return None
 
 
-def apply(rows: DataFrame, spec: TableSpec, policy: MissingPolicy) -> DataFrame:
-    """The rows after drops and fills."""
+def filled(rows: DataFrame, spec: TableSpec, policy: MissingPolicy) -> DataFrame:
+    """The rows after fills."""
     fill = [c for c in optional(spec) if policy.of(c) is OnMissing.FILL]
     if unset := [c for c in fill if c not in policy.fills]:
         raise ValueError(f"no fill value for {spec.name}: {', '.join(unset)}")
-    kept = rows.where(~dropped(spec, policy))
-    return kept.withColumns({c: F.when(blank(F.col(c)), F.lit(policy.fills[c])).otherwise(F.col(c)) for c in fill})
+    return rows.withColumns({c: F.when(blank(F.col(c)), F.lit(policy.fills[c])).otherwise(F.col(c)) for c in fill})
+
+
+def apply(rows: DataFrame, spec: TableSpec, policy: MissingPolicy) -> DataFrame:
+    """The rows after drops and fills."""
+    return filled(rows.where(~dropped(spec, policy)), spec, policy)

@@ -21,6 +21,7 @@ SEASONS = {12: "Winter", 1: "Winter", 2: "Winter", 3: "Summer", 4: "Summer", 5:
 Rules = dict[str, Column]
 
 
+# The names of rules are fixed values, here and in the tables' rules below.
 def column_rules(spec: TableSpec) -> Rules:
     """required, minimum, maximum, domain and format of each column, in contract order."""
     rules: Rules = {}
@@ -108,9 +109,10 @@ def rules(spec: TableSpec) -> Rules:
     return column_rules(spec) | (business() if business else {})
 
 
-def failures(named: Rules) -> dict[str, Column]:
-    """Aggregates that count each rule's failures."""
-    return {name: F.count_if(F.coalesce(violation, F.lit(True))) for name, violation in named.items()}
+def failures(named: Rules, only: Column | None = None) -> dict[str, Column]:
+    """Aggregates that count each rule's failures, among ``only`` some of the rows."""
+    some = F.lit(True) if only is None else only
+    return {name: F.count_if(some & F.coalesce(violation, F.lit(True))) for name, violation in named.items()}
 
 
 def report(rows: DataFrame, table: str, named: Rules) -> DataFrame:

@@ -55,7 +55,7 @@ def curated(raw: dict[str, DataFrame], settings: Settings) -> dict[str, DataFram
 def curate(spark: SparkSession, settings: Settings) -> CurateRun:
     began, run_id = time.monotonic(), uuid.uuid4().hex
     bundle = settings.retry.call(lambda: curated(raw_bundle(spark, settings.raw_root), settings))
-    path = publish(bundle, settings.curated_root, run_id, settings.write)
+    path = settings.retry.call(lambda: publish(bundle, settings.curated_root, run_id, settings.write))
     run = CurateRun(run_id, time.monotonic() - began, path, tuple(bundle))
     log.info("curated", extra={"fields": run.__dict__})
     return run

@@ -1,8 +1,10 @@
-"""CSV to the raw layer: one scan for the verdict, one for the write.
+"""CSV to the raw layer in three scans: of the lines, for the verdict, and for the write.
 
-All counts of a table (missing, uncastable, rule failures, duplicates, late
-rows, highest watermark) come from one aggregate over the cast rows; the driver
-reads that one row and decides.
+The first only tells whether the file can be split. All counts of the verdict
+(missing, uncastable, rule failures, late rows, highest watermark) come from one
+aggregate over text and cast values side by side; the driver reads that one row
+and decides. Duplicates are what the write's deduplication leaves out, counted
+before its rows are published.
 """
 
 from __future__ import annotations
@@ -54,19 +56,29 @@ class IngestRun:
         )
 
 
-def cast_rows(text: DataFrame, spec: TableSpec) -> DataFrame:
-    """Typed columns; blanks of optional columns become null. Carries the file and the row's position in the scan."""
+def _text(name: str) -> F.Column:
+    return F.col(f"__text_{name}")
+
+
+def cast_rows(text: DataFrame, spec: TableSpec, policy: missing.MissingPolicy, watermark: str | None) -> DataFrame:
+    """Typed columns after fills, blanks of optional ones as null, beside their text (__text_*).
+
+    Adds __dropped (by the policy), __live (not dropped, and after the watermark) and the row's place in its file.
+    """
+    both = missing.filled(text.withColumns({f"__text_{c}": F.col(c) for c in spec.columns}), spec, policy)
     typed = [
         (F.when(~blank(F.col(f.name)), strict(F.col(f.name), f.metadata["logical"])) if f.metadata["logical"] != "string" else F.col(f.name)).alias(f.name)
         for f in spec.schema
     ]
-    return text.select(*typed, "_source_file", F.monotonically_increasing_id().alias("_position"))
+    place = F.struct("_source_file", "_block", F.monotonically_increasing_id().alias("row")).alias("_position")
+    rows = both.select(*typed, *[_text(c) for c in spec.columns], place).withColumn("__dropped", missing.dropped(spec, policy, _text))
+    return rows.withColumn("__live", ~F.col("__dropped") & incremental.is_newer(spec, watermark))
 
 
-def cast_failures(spec: TableSpec) -> dict[str, F.Column]:
+def cast_failures(spec: TableSpec, at=F.col) -> dict[str, F.Column]:
     """Aggregates over text: values that aren't of their column's type."""
     return {
-        f"cast.{f.name}": F.count_if(~blank(F.col(f.name)) & strict(F.col(f.name), f.metadata["logical"]).isNull())
+        f"cast.{f.name}": F.count_if(~blank(at(f.name)) & strict(at(f.name), f.metadata["logical"]).isNull())
         for f in spec.schema
         if f.metadata["logical"] != "string"
     }
@@ -90,39 +102,41 @@ def ingest_table(
     reject_duplicates: bool = False,
 ) -> TableRun:
     policy = policy or missing.MissingPolicy()
-    source = settings.retry.call(lambda: csv.identity(spark, path))
-    choice = incremental.decide(spec, source, last := store.load(spec.name), full)
-    text = csv.scan(spark, path, spec)
+    call = settings.retry.call
+    source = call(lambda: csv.identity(spark, path))
+    choice = incremental.decide(spec, source, last := call(lambda: store.load(spec.name)), full)
     if not choice.load:
+        call(lambda: csv.check_header(csv.header(spark, path), spec))
         return TableRun(spec.name, "skipped", choice.reason, watermark=choice.watermark)
-    found = _one(text, missing.counters(spec, policy) | cast_failures(spec))
+    rows = cast_rows(call(lambda: csv.scan(spark, path, spec)), spec, policy, choice.watermark)
+    live = F.col("__live")
+    counts = (
+        missing.counters(spec, policy, _text)
+        | cast_failures(spec, _text)
+        | {"late": F.count_if(~F.col("__dropped") & ~live), "rows": F.count_if(live), "watermark": incremental.highest(spec, live)}
+        | {f"q.{k}": v for k, v in quality.failures(quality.rules(spec), live).items()}
+    )
+    found = call(lambda: _one(rows, counts))
     if problem := missing.verdict(found, spec, policy):
         raise IngestError(problem)
     if bad := {k: n for k, n in found.items() if k.startswith("cast.") and n}:
         kinds = {f.name: f.metadata["logical"] for f in spec.schema}
         raise IngestError("; ".join(f"invalid {kinds[k[5:]]} values in {spec.name}.{k[5:]}: count={n}" for k, n in bad.items()))
-    typed = cast_rows(missing.apply(text, spec, policy), spec)
-    late = settings.retry.call(lambda: _one(typed, {"late": incremental.late(spec, choice.watermark)}))["late"]
-    fresh = incremental.newer(typed, spec, choice.watermark)
-    named = quality.rules(spec)
-    counted = _one(
-        fresh,
-        {f"q.{k}": v for k, v in quality.failures(named).items()}
-        | {"rows": F.count("*"), "duplicates": dedup.duplicates(list(spec.key)), "watermark": incremental.highest(spec)},
-    )
-    if problem := quality.verdict({k[2:]: n for k, n in counted.items() if k.startswith("q.")}, spec.name):
+    if problem := quality.verdict({k[2:]: n for k, n in found.items() if k.startswith("q.")}, spec.name):
         raise IngestError(problem)
-    if reject_duplicates and counted["duplicates"]:
-        raise IngestError(f"{spec.name}: {counted['duplicates']} rows repeat a key")
-    kept = dedup.keep_first(fresh, list(spec.key), "_position").select(*spec.columns)
-    target = publish_raw(kept, settings.raw_root, spec.name, run_id, settings.write.codec)
-    if settings.retry.call(lambda: csv.identity(spark, path)) != source:
-        raise IngestError(f"{spec.name}: {path} changed while it was read")
-    mark = incremental.advanced(last.watermark if last and not full else None, counted["watermark"])
+
+    def check(written: int) -> None:
+        if reject_duplicates and written < found["rows"]:
+            raise IngestError(f"{spec.name}: {found['rows'] - written} rows repeat a key")
+        if csv.identity(spark, path) != source:
+            raise IngestError(f"{spec.name}: {path} changed while it was read")
+
+    kept = dedup.keep_first(rows.where(live), list(spec.key), "_position").select(*spec.columns)
+    target, written = call(lambda: publish_raw(kept, settings.raw_root, spec.name, run_id, settings.write.codec, check))
+    mark = incremental.advanced(last.watermark if last and not full else None, found["watermark"])
     # the checkpoint follows the publication: after a crash in between, rows come again and the newest version of a key wins
-    store.save(Checkpoint(spec.name, source, mark, run_id, datetime.now(UTC).isoformat()))
-    rows = counted["rows"] - counted["duplicates"]
-    return TableRun(spec.name, "loaded" if target else "empty", choice.reason, rows, counted["duplicates"], late, mark, target)
+    call(lambda: store.save(Checkpoint(spec.name, source, mark, run_id, datetime.now(UTC).isoformat())))
+    return TableRun(spec.name, "loaded" if target else "empty", choice.reason, written, found["rows"] - written, found["late"], mark, target)
 
 
 def ingest(
@@ -138,7 +152,7 @@ def ingest(
     """All tables, or those named; with ``fail_fast`` the first error ends the run, else errors are collected."""
     began, run_id = time.monotonic(), uuid.uuid4().hex
     specs = {n: CONTRACTS[n] for n in tables or CONTRACTS}
-    paths = csv.discover(spark, settings.source_root, specs, overrides)
+    paths = settings.retry.call(lambda: csv.discover(spark, settings.source_root, specs, overrides))
     store = CheckpointStore(spark, settings.checkpoint_root)
     done, failures = [], {}
     for name, spec in specs.items():

@@ -9,7 +9,8 @@ import random
 import re
 import time
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, field, fields
+from dataclasses import MISSING, dataclass, field, fields
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -18,9 +19,16 @@ from granary.sources.publish import WriteOptions
 
 log = logging.getLogger("granary")
 
-# fixed values: names whose values never reach a log, and messages of passing faults
-SECRET_NAMES = ("password", "passwd", "secret", "token", "api_key", "apikey", "access_key", "private_key", "credential", "authorization")
-PASSING = ("timed out", "timeout", "connection reset", "connection refused", "temporarily unavailable", "throttl", "slowdown", "service unavailable")
+# fixed values: parts of names whose values never reach a log, what stands for them, and messages of passing faults
+SECRET_NAMES = ("access_key", "authorization", "cookie", "credential", "database_url", "password", "private_key", "secret", "session_token", "token")
+REDACTED = "[REDACTED]"
+PASSING = (
+    "connection reset", "connection timed out", "connection timeout", "request timeout", "service unavailable", "slow down", "temporarily unavailable",
+    "throttl",
+)
+#: More of both: other spellings of the same.
+MORE_SECRET_NAMES = ("passwd", "api_key", "apikey")
+MORE_PASSING = ("slowdown", "connection refused")
 
 
 @dataclass(frozen=True)
@@ -48,7 +56,7 @@ class Retry:
 
 
 def passing(e: BaseException) -> bool:
-    return isinstance(e, OSError) or any(m in str(e).lower() for m in PASSING)
+    return isinstance(e, OSError) or any(m in str(e).casefold() for m in PASSING + MORE_PASSING)
 
 
 @dataclass(frozen=True)
@@ -79,15 +87,64 @@ def apart(layers: Mapping[str, str]) -> None:
                 raise ValueError(f"the {a} and {b} layers overlap: {p} and {q}")
 
 
-def from_env(env: Mapping[str, str] = os.environ, prefix: str = "GRANARY_", **given) -> Settings:
-    """Settings from PREFIX_NAME variables, overridden by what is given."""
-    plain = {f.name: f.type for f in fields(Settings) if f.name not in ("retry", "features", "write")}
-    read = {n: env[prefix + n.upper()] for n in plain if prefix + n.upper() in env}
-    if "fail_fast" in read:
-        read["fail_fast"] = read["fail_fast"].lower() in ("1", "true", "yes")
-    if "store_partitions" in read:
-        read["store_partitions"] = int(read["store_partitions"])
-    return Settings(**read | given)
+def _value(text: str, like):
+    """Text as a value of the kind of a setting's default."""
+    if isinstance(like, bool):
+        if text.lower() not in ("1", "true", "yes", "0", "false", "no"):
+            raise ValueError(f"not a truth value: {text!r}")
+        return text.lower() in ("1", "true", "yes")
+    if isinstance(like, tuple):
+        return tuple(_value(x.strip(), like[0]) for x in text.split(",") if x.strip())
+    if like is None:
+        return int(text) if text else None
+    return type(like)(text)
+
+
+def _read(kind: type, env: Mapping[str, str], prefix: str) -> dict:
+    """A dataclass's plain fields that are set as PREFIX_FIELD."""
+    out = {}
+    for f in fields(kind):
+        like = f.default if f.default is not MISSING else ""
+        if f.default_factory is MISSING and (name := prefix + f.name.upper()) in env:
+            try:
+                out[f.name] = _value(env[name], like)
+            except ValueError as e:
+                raise ValueError(f"{name}: {e}") from e
+    return out
+
+
+def env_file(path: str) -> dict[str, str]:
+    """NAME=value lines of a file; blank lines and those after # are skipped, quotes around a value removed."""
+    out = {}
+    for number, line in enumerate(Path(path).read_text(encoding="utf-8").splitlines(), 1):
+        line = line.strip().removeprefix("export ")
+        if line and not line.startswith("#"):
+            name, is_set, value = line.partition("=")
+            if not is_set or not re.fullmatch(r"[A-Za-z_][A-Za-z0-9_]*", name.strip()):
+                raise ValueError(f"{path}, line {number}: not NAME=value")
+            value = value.strip()
+            out[name.strip()] = value[1:-1] if len(value) > 1 and value[0] == value[-1] and value[0] in "\"'" else value
+    return out
+
+
+def located(path: str, root: str) -> str:
+    """A local path, relative ones below ``root``; URIs and empty paths as they are."""
+    return path if not path or "://" in path or path.startswith("/") else str(Path(root) / path)
+
+
+def from_env(env: Mapping[str, str] = os.environ, prefix: str = "GRANARY_", file: str | None = None, root: str | None = None, **given) -> Settings:
+    """Settings from PREFIX_NAME variables, overridden by what is given.
+
+    Retries, features and writes are PREFIX_RETRY_NAME, PREFIX_FEATURES_NAME and PREFIX_WRITE_NAME; lists are comma-separated.
+    Variables of the process override those of ``file``; relative folders lie below ``root``, if there is one.
+    """
+    env = (env_file(file) if file else {}) | dict(env)
+    groups = {"retry": Retry, "features": FeatureConfig, "write": WriteOptions}
+    read = _read(Settings, env, prefix) | {n: kind(**found) for n, kind in groups.items() if (found := _read(kind, env, f"{prefix}{n.upper()}_"))}
+    read |= given
+    if root:
+        read |= {n: located(p, root) for n, p in read.items() if n.endswith("_root")}
+    return Settings(**read)
 
 
 def session(settings: Settings, name: str = "granary", shuffle_partitions: int = 200) -> SparkSession:
@@ -111,8 +168,8 @@ def session(settings: Settings, name: str = "granary", shuffle_partitions: int =
 def redacted(value):
     """``value`` without what its keys name as secret, at any depth."""
     if isinstance(value, Mapping):
-        secret = lambda k: any(s in re.sub(r"[- ]", "_", str(k).lower()) for s in SECRET_NAMES)
-        return {k: "***" if secret(k) else redacted(v) for k, v in value.items()}
+        secret = lambda k: any(s in re.sub(r"[- ]", "_", str(k).casefold()) for s in SECRET_NAMES + MORE_SECRET_NAMES)
+        return {k: REDACTED if secret(k) else redacted(v) for k, v in value.items()}
     if isinstance(value, list | tuple):
         return [redacted(v) for v in value]
     return value

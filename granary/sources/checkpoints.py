@@ -1,4 +1,10 @@
-"""One JSON checkpoint a table, in any file system that Hadoop writes."""
+"""One JSON checkpoint a table, in any file system that Hadoop writes.
+
+A checkpoint is a file of its own number in the table's folder. A new one is
+written under another name and then renamed to the next number, which nothing
+holds, so at every moment the highest number is a whole checkpoint: a crash
+leaves the old or the new one. Older ones are deleted afterwards.
+"""
 
 from __future__ import annotations
 
@@ -30,15 +36,24 @@ class CheckpointStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
 
-    def _path(self, table: str) -> str:
+    def _folder(self, table: str) -> str:
         if not re.fullmatch(r"[A-Za-z][A-Za-z0-9_]*", table):
             raise CheckpointError(f"bad table name: {table!r}")
-        return joined(self.root, f"{table}.json")
+        return joined(self.root, table)
+
+    def _numbers(self, table: str) -> list[int]:
+        """Numbers of the table's checkpoints, highest first."""
+        fs, p = _fs(self.spark, self._folder(table))
+        names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+        return sorted((int(m[1]) for n in names if (m := re.fullmatch(r"(\d+)\.json", n))), reverse=True)
+
+    def _path(self, table: str, number: int) -> str:
+        return joined(self._folder(table), f"{number:012d}.json")
 
     def load(self, table: str) -> Checkpoint | None:
-        fs, p = _fs(self.spark, self._path(table))
-        if not fs.exists(p):
+        if not (numbers := self._numbers(table)):
             return None
+        fs, p = _fs(self.spark, self._path(table, numbers[0]))
         text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream := fs.open(p), "UTF-8")
         stream.close()
         try:
@@ -51,13 +66,16 @@ class CheckpointStore:
         return found
 
     def save(self, checkpoint: Checkpoint) -> None:
-        path = self._path(checkpoint.table)
-        fs, p = _fs(self.spark, path)
-        _, staged = _fs(self.spark, f"{path}.{checkpoint.run_id}.tmp")
+        old = self._numbers(checkpoint.table)
+        fs, p = _fs(self.spark, self._path(checkpoint.table, old[0] + 1 if old else 1))
+        _, staged = _fs(self.spark, joined(self._folder(checkpoint.table), f"{checkpoint.run_id}.tmp"))
         out = fs.create(staged, True)
         out.write(bytearray(json.dumps(asdict(checkpoint), sort_keys=True).encode()))
         out.close()
-        if fs.exists(p):
-            fs.delete(p, False)
-        if not fs.rename(staged, p):
-            raise CheckpointError(f"the checkpoint of {checkpoint.table} couldn't be put in place")
+        self._place(fs, staged, p, checkpoint.table)
+        for number in old:
+            fs.delete(_fs(self.spark, self._path(checkpoint.table, number))[1], False)
+
+    def _place(self, fs, staged, target, table: str) -> None:
+        if fs.exists(target) or not fs.rename(staged, target):
+            raise CheckpointError(f"the checkpoint of {table} couldn't be put in place")

@@ -6,112 +6,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
-# fixed values: a line for each table (name, key columns, watermark column after @), then one for each column
-# (name, type, and any of ? optional, >= and <= bounds, ~ pattern of the whole value, | allowed values)
-FEED = r"""
-Fact_Sales: Date Store_ID Product_ID @Date
-  Date date
-  Store_ID string ~S\d{3}
-  Product_ID string ~P\d{5}
-  Inventory_Level integer >=0
-  Units_Sold integer >=0
-  Units_Ordered integer >=0
-  Price decimal >=0
-  Discount decimal >=0 <=1
-  Promotion string ?
-  Holiday string ?
-  Weather string |Cloudy|Cold Wave|Fog|Heat Wave|Rainy|Storm|Sunny
-  Competitor_Price decimal >=0
-  Temperature decimal
-  Humidity decimal >=0 <=100
-  Rainfall decimal >=0
-  Revenue decimal >=0
-Fact_Inventory: Date Store_ID Product_ID @Date
-  Date date
-  Store_ID string ~S\d{3}
-  Product_ID string ~P\d{5}
-  Opening_Stock integer >=0
-  Received_Stock integer >=0
-  Sold integer >=0
-  Damaged integer >=0
-  Closing_Stock integer >=0
-Fact_PurchaseOrders: PO_ID @Order_Date
-  PO_ID string ~PO\d{7}
-  Supplier_ID string ~SUP\d{3}
-  Store_ID string ~S\d{3}
-  Product_ID string ~P\d{5}
-  Order_Date date
-  Expected_Delivery_Date date
-  Quantity integer >=1
-  Status string |Delivered|Pending
-Dim_Product: Product_ID
-  Product_ID string ~P\d{5}
-  Product_Name string
-  Base_Product_Name string
-  Category string |Clothing|Electronics|Furniture|Groceries|Toys
-  Sub_Category string
-  Brand string
-  Unit_Cost decimal >=0
-  Selling_Price decimal >=0
-  Safety_Stock integer >=0
-  Reorder_Point integer >=0
-  Shelf_Life integer >=0
-  Supplier_ID string ~SUP\d{3}
-  Weight decimal >=0
-  Volume decimal >=0
-Dim_Store: Store_ID
-  Store_ID string ~S\d{3}
-  Store_Name string
-  City string
-  State string
-  Region string |Central|East|North|South|West
-  Store_Size string |Large|Medium|Small
-  Warehouse_ID string ~WH\d{2}
-Dim_Date: Date @Date
-  Date date
-  Year integer
-  Month integer >=1 <=12
-  Day integer >=1 <=31
-  Weekday string |Friday|Monday|Saturday|Sunday|Thursday|Tuesday|Wednesday
-  Quarter integer >=1 <=4
-  IsWeekend boolean
-  Season string |Monsoon|Post-Monsoon|Summer|Winter
-Dim_Supplier: Supplier_ID
-  Supplier_ID string ~SUP\d{3}
-  Supplier_Name string
-  Lead_Time_Days integer >=1
-  MOQ integer >=1
-  Reliability decimal >=0 <=1
-  Supplier_City string
-  State string
-  Country string
-  Email string ~[^@\s]+@[^@\s]+\.[^@\s]+
-  Phone string ~\+91-\d{10}
-Dim_Warehouse: Warehouse_ID
-  Warehouse_ID string ~WH\d{2}
-  Warehouse_Name string
-  City string
-  State string
-  Region string |Central|East|North|South|West
-  Capacity_Units integer >=1
-Weather: Date City @Date
-  Date date
-  City string
-  Temperature decimal
-  Humidity decimal >=0 <=100
-  Rainfall decimal >=0
-  Weather string |Cloudy|Cold Wave|Fog|Heat Wave|Rainy|Storm|Sunny
-Promotion: Promotion_ID @End_Date
-  Promotion_ID string ~PROMO\d{4}
-  Promotion_Name string
-  Start_Date date
-  End_Date date
-  Discount_Pct decimal >=0 <=1
-Holiday: Date @Date
-  Date date
-  Holiday_Name string
-"""
-
 LOGICAL = {
     "string": T.StringType(),
     "integer": T.LongType(),
@@ -128,7 +22,7 @@ class TableSpec:
     name: str
     schema: T.StructType
     key: tuple[str, ...]
-    watermark: str | None
+    watermark: str | None = None
 
     @property
     def file_name(self) -> str:
@@ -143,36 +37,151 @@ class TableSpec:
         return T.StructType([T.StructField(n, T.StringType()) for n in self.columns])
 
 
-def _field(line: str) -> T.StructField:
-    head, *rules = line.split(" |", 1) if " |" in line else line.split(" ~", 1) if " ~" in line else [line]
-    name, kind, *flags = head.split()
-    meta: dict = {"logical": kind, "required": "?" not in flags}
-    for flag in flags:
-        if flag.startswith(">="):
-            meta["minimum"] = float(flag[2:])
-        elif flag.startswith("<="):
-            meta["maximum"] = float(flag[2:])
-    if " |" in line:
-        meta["allowed"] = rules[0].split("|")
-    elif " ~" in line:
-        meta["pattern"] = rules[0]
-    return T.StructField(name, LOGICAL[kind], not meta["required"], meta)
-
-
-def _parse(feed: str) -> dict[str, TableSpec]:
-    specs: dict[str, TableSpec] = {}
-    for block in feed.strip().split("\n"):
-        if not block.startswith(" "):
-            name, rest = block.split(":")
-            words = rest.split()
-            watermark = next((w[1:] for w in words if w.startswith("@")), None)
-            specs[name] = TableSpec(name, T.StructType(), tuple(w for w in words if w[0] != "@"), watermark)
-        else:
-            specs[name].schema.add(_field(block.strip()))
-    return specs
-
-
-CONTRACTS = _parse(FEED)
+def column(name: str, logical: str, *, required: bool = True, **limits) -> T.StructField:
+    """A column; limits are minimum, maximum, allowed (values) and pattern (of the whole value)."""
+    limits = {k: float(v) if k in ("minimum", "maximum") else v for k, v in limits.items()}
+    return T.StructField(name, LOGICAL[logical], not required, {"logical": logical, "required": required, **limits})
+
+
+# fixed values: the feed's tables, their columns, limits, keys and watermark columns
+TABLES = (
+    TableSpec(
+        "Fact_Sales", key=("Date", "Store_ID", "Product_ID"), watermark="Date", schema=T.StructType([
+            column("Date", "date"),
+            column("Store_ID", "string", pattern=r"S\d{3}"),
+            column("Product_ID", "string", pattern=r"P\d{5}"),
+            column("Inventory_Level", "integer", minimum=0),
+            column("Units_Sold", "integer", minimum=0),
+            column("Units_Ordered", "integer", minimum=0),
+            column("Price", "decimal", minimum=0),
+            column("Discount", "decimal", minimum=0, maximum=1),
+            column("Promotion", "string", required=False),
+            column("Holiday", "string", required=False),
+            column("Weather", "string", allowed=["Cloudy", "Cold Wave", "Fog", "Heat Wave", "Rainy", "Storm", "Sunny"]),
+            column("Competitor_Price", "decimal", minimum=0),
+            column("Temperature", "decimal"),
+            column("Humidity", "decimal", minimum=0, maximum=100),
+            column("Rainfall", "decimal", minimum=0),
+            column("Revenue", "decimal", minimum=0),
+        ]),
+    ),
+    TableSpec(
+        "Fact_Inventory", key=("Date", "Store_ID", "Product_ID"), watermark="Date", schema=T.StructType([
+            column("Date", "date"),
+            column("Store_ID", "string", pattern=r"S\d{3}"),
+            column("Product_ID", "string", pattern=r"P\d{5}"),
+            column("Opening_Stock", "integer", minimum=0),
+            column("Received_Stock", "integer", minimum=0),
+            column("Sold", "integer", minimum=0),
+            column("Damaged", "integer", minimum=0),
+            column("Closing_Stock", "integer", minimum=0),
+        ]),
+    ),
+    TableSpec(
+        "Fact_PurchaseOrders", key=("PO_ID",), watermark="Order_Date", schema=T.StructType([
+            column("PO_ID", "string", pattern=r"PO\d{7}"),
+            column("Supplier_ID", "string", pattern=r"SUP\d{3}"),
+            column("Store_ID", "string", pattern=r"S\d{3}"),
+            column("Product_ID", "string", pattern=r"P\d{5}"),
+            column("Order_Date", "date"),
+            column("Expected_Delivery_Date", "date"),
+            column("Quantity", "integer", minimum=1),
+            column("Status", "string", allowed=["Delivered", "Pending"]),
+        ]),
+    ),
+    TableSpec(
+        "Dim_Product", key=("Product_ID",), schema=T.StructType([
+            column("Product_ID", "string", pattern=r"P\d{5}"),
+            column("Product_Name", "string"),
+            column("Base_Product_Name", "string"),
+            column("Category", "string", allowed=["Clothing", "Electronics", "Furniture", "Groceries", "Toys"]),
+            column("Sub_Category", "string"),
+            column("Brand", "string"),
+            column("Unit_Cost", "decimal", minimum=0),
+            column("Selling_Price", "decimal", minimum=0),
+            column("Safety_Stock", "integer", minimum=0),
+            column("Reorder_Point", "integer", minimum=0),
+            column("Shelf_Life", "integer", minimum=0),
+            column("Supplier_ID", "string", pattern=r"SUP\d{3}"),
+            column("Weight", "decimal", minimum=0),
+            column("Volume", "decimal", minimum=0),
+        ]),
+    ),
+    TableSpec(
+        "Dim_Store", key=("Store_ID",), schema=T.StructType([
+            column("Store_ID", "string", pattern=r"S\d{3}"),
+            column("Store_Name", "string"),
+            column("City", "string"),
+            column("State", "string"),
+            column("Region", "string", allowed=["Central", "East", "North", "South", "West"]),
+            column("Store_Size", "string", allowed=["Large", "Medium", "Small"]),
+            column("Warehouse_ID", "string", pattern=r"WH\d{2}"),
+        ]),
+    ),
+    TableSpec(
+        "Dim_Date", key=("Date",), watermark="Date", schema=T.StructType([
+            column("Date", "date"),
+            column("Year", "integer"),
+            column("Month", "integer", minimum=1, maximum=12),
+            column("Day", "integer", minimum=1, maximum=31),
+            column("Weekday", "string", allowed=["Friday", "Monday", "Saturday", "Sunday", "Thursday", "Tuesday", "Wednesday"]),
+            column("Quarter", "integer", minimum=1, maximum=4),
+            column("IsWeekend", "boolean"),
+            column("Season", "string", allowed=["Monsoon", "Post-Monsoon", "Summer", "Winter"]),
+        ]),
+    ),
+    TableSpec(
+        "Dim_Supplier", key=("Supplier_ID",), schema=T.StructType([
+            column("Supplier_ID", "string", pattern=r"SUP\d{3}"),
+            column("Supplier_Name", "string"),
+            column("Lead_Time_Days", "integer", minimum=1),
+            column("MOQ", "integer", minimum=1),
+            column("Reliability", "decimal", minimum=0, maximum=1),
+            column("Supplier_City", "string"),
+            column("State", "string"),
+            column("Country", "string"),
+            column("Email", "string", pattern=r"[^@\s]+@[^@\s]+\.[^@\s]+"),
+            column("Phone", "string", pattern=r"\+91-\d{10}"),
+        ]),
+    ),
+    TableSpec(
+        "Dim_Warehouse", key=("Warehouse_ID",), schema=T.StructType([
+            column("Warehouse_ID", "string", pattern=r"WH\d{2}"),
+            column("Warehouse_Name", "string"),
+            column("City", "string"),
+            column("State", "string"),
+            column("Region", "string", allowed=["Central", "East", "North", "South", "West"]),
+            column("Capacity_Units", "integer", minimum=1),
+        ]),
+    ),
+    TableSpec(
+        "Weather", key=("Date", "City"), watermark="Date", schema=T.StructType([
+            column("Date", "date"),
+            column("City", "string"),
+            column("Temperature", "decimal"),
+            column("Humidity", "decimal", minimum=0, maximum=100),
+            column("Rainfall", "decimal", minimum=0),
+            column("Weather", "string", allowed=["Cloudy", "Cold Wave", "Fog", "Heat Wave", "Rainy", "Storm", "Sunny"]),
+        ]),
+    ),
+    TableSpec(
+        "Promotion", key=("Promotion_ID",), watermark="End_Date", schema=T.StructType([
+            column("Promotion_ID", "string", pattern=r"PROMO\d{4}"),
+            column("Promotion_Name", "string"),
+            column("Start_Date", "date"),
+            column("End_Date", "date"),
+            column("Discount_Pct", "decimal", minimum=0, maximum=1),
+        ]),
+    ),
+    TableSpec(
+        "Holiday", key=("Date",), watermark="Date", schema=T.StructType([
+            column("Date", "date"),
+            column("Holiday_Name", "string"),
+        ]),
+    ),
+)
+
+CONTRACTS = {spec.name: spec for spec in TABLES}
 
 
 def contract(name: str) -> TableSpec:

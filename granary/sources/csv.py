@@ -10,8 +10,8 @@ from pyspark.sql import types as T
 
 from granary.sources.contracts import CONTRACTS, TableSpec
 
-#: A quote is doubled inside quotes, values may hold line breaks, a row of another width is an error.
-DIALECT = {"header": True, "mode": "FAILFAST", "enforceSchema": False, "quote": '"', "escape": '"', "multiLine": True, "encoding": "UTF-8"}
+#: A quote is doubled inside quotes, a row of another width is an error; lines are rows, so one large file makes many tasks.
+DIALECT = {"header": True, "mode": "FAILFAST", "enforceSchema": False, "quote": '"', "escape": '"', "encoding": "UTF-8"}
 
 
 class SourceError(ValueError):
@@ -60,6 +60,12 @@ def header(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
     return spark.read.options(**DIALECT | {"enforceSchema": True, "sep": sep}).csv(path).columns
 
 
+def has_line_breaks(spark: SparkSession, path: str) -> bool:
+    """Whether a quoted value holds a line break: then, and only then, some line has an odd number of quotes."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return not spark.read.text(path).where(F.contains("value", F.lit('"')) & (quotes % 2 == 1)).isEmpty()
+
+
 def check_header(found: list[str], spec: TableSpec) -> None:
     """Names and order must be the contract's."""
     if found != spec.columns:
@@ -68,11 +74,16 @@ def check_header(found: list[str], spec: TableSpec) -> None:
         raise SourceError(f"header of {spec.name} differs: missing {missing}, unexpected {unexpected}, order {found}")
 
 
-def scan(spark: SparkSession, path: str, spec: TableSpec, sep: str = ",") -> DataFrame:
-    """The table as text, its header checked, with the file in _source_file."""
+def scan(spark: SparkSession, path: str, spec: TableSpec, sep: str = ",", line_breaks: bool | None = None) -> DataFrame:
+    """The table as text, its header checked, with the file in _source_file and the start of the file's part in _block.
+
+    Files whose quoted values hold line breaks can't be split and are one task each; ``line_breaks`` says so, or is found out
+    by a scan of the lines. Where it is said wrongly, the next line is a row of another width, which is an error.
+    """
     check_header(header(spark, path, sep), spec)
-    rows = spark.read.schema(spec.text_schema()).options(**DIALECT | {"sep": sep}).csv(path)
-    return rows.withColumn("_source_file", F.col("_metadata.file_path"))
+    whole = has_line_breaks(spark, path) if line_breaks is None else line_breaks
+    rows = spark.read.schema(spec.text_schema()).options(**DIALECT | {"sep": sep, "multiLine": whole}).csv(path)
+    return rows.withColumns({"_source_file": F.col("_metadata.file_path"), "_block": F.col("_metadata.file_block_start")})
 
 
 def raw(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame:

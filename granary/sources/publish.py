@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import UTC, datetime
 
@@ -26,7 +27,7 @@ class PublishError(RuntimeError):
 
 @dataclass(frozen=True)
 class Output:
-    """A dataset's partition columns; ``spread`` tells whether rows are dealt by them before writing."""
+    """A dataset's partition columns."""
 
     partition_by: tuple[str, ...] = ()
 
@@ -121,8 +122,13 @@ def _put(spark: SparkSession, path: str, value: dict) -> None:
     out.close()
 
 
-def publish_raw(df: DataFrame, root: str, table: str, run_id: str, codec: str = "snappy") -> str | None:
-    """A table's rows of one run into the raw layer; None, and nothing published, if there are none."""
+def publish_raw(
+    df: DataFrame, root: str, table: str, run_id: str, codec: str = "snappy", check: Callable[[int], None] = lambda rows: None
+) -> tuple[str | None, int]:
+    """A table's rows of one run into the raw layer; no path, and nothing published, if there are none. Returns the path and the rows.
+
+    ``check`` gets the number of staged rows and may raise before they are published.
+    """
     spark = df.sparkSession
     staged, target = joined(root, "_staging", _safe(run_id), table), raw_path(root, table, run_id)
     fs, p = _fs(spark, staged)
@@ -130,14 +136,15 @@ def publish_raw(df: DataFrame, root: str, table: str, run_id: str, codec: str =
         raise PublishError(f"{staged} exists: another run with this id is writing")
     try:
         df.write.option("compression", codec).parquet(staged)
-        if spark.read.parquet(staged).isEmpty():
+        check(rows := spark.read.parquet(staged).count())  # from the files' footers
+        if not rows:
             _abort(spark, root, staged)
-            return None
+            return None, 0
         _move(spark, staged, target)
     except BaseException:
         _abort(spark, root, staged)
         raise
-    return target
+    return target, rows
 
 
 def publish(bundle: dict[str, DataFrame], root: str, run_id: str, options: WriteOptions | None = None) -> str:

@@ -1,8 +1,9 @@
 """Continuous ingestion of a fact from a folder of CSV files (an extension of the batch feed).
 
 Files already there are taken in one go, each once; rows that can't be cast or
-break a rule go to a rejects folder instead of stopping the stream. Keys repeat
-within the watermark only once.
+break a rule go to a rejects folder instead of stopping the stream. A key is
+stored once, whenever its rows come: each batch meets the stored keys (of its own
+days, where days are part of the key), so rows of long ago are taken too, and no state grows with the stream.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from granary.functions.scalar import blank, strict
 from granary.operators import quality
 from granary.sources.contracts import TableSpec
-from granary.sources.csv import DIALECT, joined
+from granary.sources.csv import DIALECT, _fs, joined
 
 
 def typed(text: DataFrame, spec: TableSpec) -> DataFrame:
@@ -27,19 +28,32 @@ def typed(text: DataFrame, spec: TableSpec) -> DataFrame:
     return cast.withColumn("_bad", F.col("_uncast") | reduce(lambda a, b: a | b, broken)).drop("_uncast")
 
 
-def follow(spark: SparkSession, source: str, target: str, spec: TableSpec, delay: str = "30 days") -> StreamingQuery:
+def unseen(rows: DataFrame, stored: str, spec: TableSpec, number: int) -> DataFrame:
+    """One row of each key that no earlier batch has stored."""
+    once = rows.dropDuplicates(list(spec.key))
+    fs, p = _fs(rows.sparkSession, stored)
+    if not fs.exists(p):
+        return once
+    schema = rows.select(*spec.key).withColumn("batch", F.lit(0)).schema
+    seen = rows.sparkSession.read.schema(schema).parquet(stored).where(F.col("batch") < number)
+    if spec.watermark in spec.key:
+        first, last = rows.agg(F.min(spec.watermark), F.max(spec.watermark)).first()
+        seen = seen.where(F.col(spec.watermark).between(F.lit(first), F.lit(last)))
+    return once.join(seen.select(*spec.key).distinct(), list(spec.key), "left_anti")
+
+
+def follow(spark: SparkSession, source: str, target: str, spec: TableSpec) -> StreamingQuery:
     """Starts the stream; it ends by itself when all present files are read."""
     text = spark.readStream.schema(spec.text_schema()).options(**DIALECT | {"enforceSchema": True}).csv(source)
-    rows = typed(text, spec).withColumn("_time", F.col(spec.watermark).cast("timestamp"))
-    once = rows.withWatermark("_time", delay).dropDuplicatesWithinWatermark([*spec.key, "_bad"])
 
     def store(batch: DataFrame, number: int) -> None:
         # a batch that comes again after a failure replaces its own folder
-        for name, part in (("rows", batch.where(~F.col("_bad"))), ("rejects", batch.where("_bad"))):
-            part.drop("_bad", "_time").write.mode("overwrite").parquet(joined(target, name, f"batch={number}"))
+        good = unseen(batch.where(~F.col("_bad")).drop("_bad"), joined(target, "rows"), spec, number)
+        for name, part in (("rows", good), ("rejects", batch.where("_bad").drop("_bad"))):
+            part.write.mode("overwrite").parquet(joined(target, name, f"batch={number}"))
 
     return (
-        once.writeStream.foreachBatch(store)
+        typed(text, spec).writeStream.foreachBatch(store)
         .option("checkpointLocation", joined(target, "_checkpoint"))
         .trigger(availableNow=True)
         .start()

@@ -9,8 +9,8 @@ import pytest
 from granary.functions.scalar import snake
 from granary.operators.missing import MissingPolicy, OnMissing
 from granary.plans import curate, ingest
-from granary.plans.settings import JsonLines, Retry, Settings, redacted
-from granary.sources import publish
+from granary.plans.settings import JsonLines, Retry, Settings, env_file, from_env, passing, redacted
+from granary.sources import checkpoints, csv, publish
 from granary.sources.contracts import CONTRACTS, contract
 from granary.sources.csv import SourceError
 from granary.streaming import continuous
@@ -168,12 +168,106 @@ def test_retry_and_settings():
         Retry().call(lambda: int("x"), pauses.append)
     with pytest.raises(ValueError, match="overlap"):
         Settings(raw_root="/a/b", curated_root="/a", checkpoint_root="/c")
-    assert redacted({"a": [{"db_password": 1, "x": 2}], "API-Key": 3}) == {"a": [{"db_password": "***", "x": 2}], "API-Key": "***"}
+    secret = {"db_password": 1, "Set-Cookie": 2, "DATABASE_URL": "postgres://u:p@h", "session token": 4, "x": 5}
+    assert redacted({"a": [secret], "API-Key": 3}) == {"a": [dict.fromkeys(secret, "[REDACTED]") | {"x": 5}], "API-Key": "[REDACTED]"}
+    for message in ("Please Slow Down.", "503 SlowDown", "Request timeout", "Throttling: rate", "Service Unavailable"):
+        assert passing(RuntimeError(message))
+    assert not passing(RuntimeError("no such column"))
     import logging
 
     record = logging.LogRecord("granary", 20, "f", 1, "hello", (), None)
     record.fields = {"token": "t"}
-    assert json.loads(JsonLines().format(record))["fields"] == {"token": "***"}
+    assert json.loads(JsonLines().format(record))["fields"] == {"token": "[REDACTED]"}
+
+
+def test_settings_from_variables_and_files(tmp_path):
+    (tmp_path / ".env").write_text("# folders\nexport GRANARY_RAW_ROOT='raw layer'\nGRANARY_CURATED_ROOT=s3a://b/c\n\nGRANARY_RETRY_ATTEMPTS=7\n")
+    env = {
+        "GRANARY_CHECKPOINT_ROOT": "/marks", "GRANARY_RETRY_ATTEMPTS": "3", "GRANARY_RETRY_FIRST_S": "0.1", "GRANARY_FEATURES_LAGS": "7, 1", "GRANARY_FEATURES_ABC": "0.7,0.9",
+        "GRANARY_WRITE_CODEC": "zstd", "GRANARY_WRITE_TARGET_PARTITIONS": "4", "GRANARY_FAIL_FAST": "no", "GRANARY_STORE_PARTITIONS": "12", "OTHER": "x",
+    }
+    got = from_env(env, file=str(tmp_path / ".env"), root="/data", environment="test")
+    assert (got.raw_root, got.curated_root, got.checkpoint_root, got.source_root) == ("/data/raw layer", "s3a://b/c", "/marks", "")
+    assert (got.retry.attempts, got.retry.first_s, got.features.lags, got.features.abc) == (3, 0.1, (1, 7), (0.7, 0.9))
+    assert (got.write.codec, got.write.target_partitions, got.fail_fast, got.store_partitions, got.environment) == ("zstd", 4, False, 12, "test")
+    with pytest.raises(ValueError, match="GRANARY_RETRY_ATTEMPTS"):
+        from_env(env | {"GRANARY_RETRY_ATTEMPTS": "many"}, file=str(tmp_path / ".env"))
+    with pytest.raises(ValueError, match="rise"):
+        from_env(env | {"GRANARY_FEATURES_ABC": "0.9,0.7"}, file=str(tmp_path / ".env"))
+    (tmp_path / "bad").write_text("A=1\nnothing\n")
+    with pytest.raises(ValueError, match="line 2"):
+        env_file(str(tmp_path / "bad"))
+
+
+def test_a_crash_leaves_a_whole_checkpoint(spark, tmp_path, monkeypatch):
+    store = checkpoints.CheckpointStore(spark, str(tmp_path))
+    mark = lambda n: checkpoints.Checkpoint("T", csv.Identity("p", n, n), f"2024-01-0{n}", f"run{n}", "now")
+    assert store.load("T") is None
+    for n in (1, 2):
+        store.save(mark(n))
+        assert store.load("T") == mark(n)
+    assert len(list((tmp_path / "T").glob("*.json"))) == 1
+
+    def crash(*_):
+        raise OSError("gone")
+
+    def put_text(path, text):
+        path.write_text(text)
+        (path.parent / f".{path.name}.crc").unlink(missing_ok=True)
+
+    with monkeypatch.context() as m:  # after the write, before the rename
+        m.setattr(checkpoints.CheckpointStore, "_place", crash)
+        with pytest.raises(OSError):
+            store.save(mark(3))
+    assert store.load("T") == mark(2)
+    old = next((tmp_path / "T").glob("*.json"))
+    text = old.read_text()
+    store.save(mark(4))
+    put_text(old, text)  # after the rename, before the old one is deleted
+    assert store.load("T") == mark(4)
+    store.save(mark(5))
+    assert store.load("T") == mark(5) and len(list((tmp_path / "T").glob("*.json"))) == 1
+    put_text(next((tmp_path / "T").glob("*.json")), "{")
+    with pytest.raises(checkpoints.CheckpointError):
+        store.load("T")
+    with pytest.raises(checkpoints.CheckpointError):
+        store.load("../T")
+
+
+def bytes_read(spark) -> int:
+    found = spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics()
+    return sum(s.getBytesRead() for s in found if s.getScheme() == "file")
+
+
+def test_one_file_makes_many_tasks_and_three_scans(spark, feed):
+    source, settings = feed
+    rows = [f"{dt.date(2000, 1, 1) + dt.timedelta(days=k)},S{s:03d},P00001,20,5,1,0,19" for k in range(12_000) for s in range(8)]
+    rows += rows[:10]
+    put(source, "Fact_Inventory", rows)
+    path, spec = str(source / "Fact_Inventory.csv"), contract("Fact_Inventory")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512k")
+    try:
+        assert csv.scan(spark, path, spec).rdd.getNumPartitions() > 4
+        before = bytes_read(spark)
+        run = ingest.ingest(spark, settings, tables=["Fact_Inventory"]).tables[0]
+        assert (run.rows, run.duplicates) == (96_000, 10)
+        # three scans; each part reads some way into the next
+        assert bytes_read(spark) - before < 3.8 * Path(path).stat().st_size
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_values_with_line_breaks_and_first_rows(spark, feed):
+    source, settings = feed
+    put(source, "Dim_Product", ['P00001,"Two\nlines, ""so""",Box,Toys,Sub,Acme,5.0,9.0,1,2,30,SUP001,1.0,2.0', *ROWS["Dim_Product"]])
+    path, spec = str(source / "Dim_Product.csv"), contract("Dim_Product")
+    assert csv.has_line_breaks(spark, path) and not csv.has_line_breaks(spark, str(source / "Dim_Store.csv"))
+    run = ingest.ingest(spark, settings, tables=["Dim_Product"]).tables[0]
+    assert (run.rows, run.duplicates) == (1, 1)
+    assert spark.read.parquet(run.path).first().Product_Name == 'Two\nlines, "so"'
+    with pytest.raises(Exception, match="(?i)malformed"):
+        csv.scan(spark, path, spec, line_breaks=False).collect()
 
 
 def test_contracts_cover_the_feed():
@@ -193,5 +287,9 @@ def test_stream_takes_each_row_once(spark, tmp_path):
         query = continuous.follow(spark, str(source), str(tmp_path / "out"), spec)
         assert query.awaitTermination(120)
         (source / "b.csv").write_text("\n".join([head, rows[1]]) + "\n")
-    assert spark.read.parquet(str(tmp_path / "out/rows/*")).count() == 4
+    # a row of long ago comes late and is taken, a stored key isn't
+    (source / "c.csv").write_text("\n".join([head, "2001-01-01,S001,P00001,20,5,1,0,19", rows[2]]) + "\n")
+    assert continuous.follow(spark, str(source), str(tmp_path / "out"), spec).awaitTermination(120)
+    stored = spark.read.parquet(str(tmp_path / "out/rows/*"))
+    assert stored.count() == 5 and stored.select(*spec.key).distinct().count() == 5
     assert spark.read.parquet(str(tmp_path / "out/rejects/*")).count() == 1
