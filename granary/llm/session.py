@@ -40,12 +40,15 @@ def ship(spark: SparkSession) -> None:
 def cut(df: DataFrame) -> DataFrame:
     """``df`` with its lineage cut by files in the folder of ``spark.checkpoint.dir``, which outlive executors.
 
-    Only where the setting is absent (tests on one machine) a folder is chosen here.
+    Only where the setting is absent and Spark runs on one machine (tests) a folder is chosen here.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="granary-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context._jsc.sc().isLocal():
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="granary-"))
     return df.checkpoint()
 
 

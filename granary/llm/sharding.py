@@ -1,31 +1,42 @@
 """Sharding by a minimax contiguous partition.
 
-Groups (equal texts) lie in the order of a 64-bit hash, cut into at most
-``cells`` equal ranges of it; a cell is the atomic unit, which on small tables
-is a single group. The cells' sizes, of bounded number whatever the input, go
-to the driver. There the smallest capacity is found by binary search, a greedy
-walk over the prefix sums says whether a capacity is feasible, and the cuts of
-the walk at that capacity are the shards' bounds.
+Groups (equal texts) lie in the order of a 64-bit hash and are the atomic units.
+The smallest capacity is found by binary search, a greedy walk over prefix sums
+says whether a capacity is feasible, and the cuts of the walk at that capacity
+are the shards' bounds.
 
-Slots are numbered without a global sort: counts by cell (and, in cells with
-many rows, by a salt on the id) give each its first slot; ranking happens
-within cell and salt only.
+The driver never sees all groups. It starts with ``CELLS`` ranges of the hash,
+whose partition bounds the capacity from above, as equal shares and the largest
+group do from below. Between these bounds a cut can only lie in a few ranges
+about its place; those are split further, until the ranges that a cut can lie in
+are single groups. Then the search over what is known is the search over groups.
+
+Slots are numbered without a global sort: a shard's rows are dealt into
+``PARTS`` by a hash of id and text, counts of shards and parts give each part
+its first slot, and rows are ranked by id within a part.
 
 Defined cases: a null text counts as an empty one; rows that repeat get slots
-of their own; ties lie in id order, equal ids in any; an empty table gives an
-empty result; extra columns are kept, and added ones replace columns of the
-same name.
+of their own; slots follow part, then id, equal ids in any order; an empty table
+gives an empty result; extra columns are kept, and added ones replace columns of
+the same name.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: A cell with over this share of the rows is ranked in SALTS parts; there are at most 1 / HOT_SHARE such cells.
-HOT_SHARE, SALTS = 1 / 512, 64
+from granary.llm.session import cut
+
+#: Hash ranges to begin with, into how many of them one is split, and groups from which on splitting goes on.
+CELLS, SPLIT, MOST_GROUPS = 1 << 16, 1 << 10, 200_000
+#: Parts of a shard in which slots are ranked.
+PARTS = 4096
 
 
 def feasible(prefix: np.ndarray, capacity: int, shards: int) -> bool:
@@ -53,42 +64,81 @@ def minimax_cuts(sizes: np.ndarray, shards: int) -> tuple[list[int], int]:
     return greedy_cuts(prefix, low, shards), low
 
 
-def shard(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shards: int = 16, cells: int = 1 << 16) -> DataFrame:
-    """Adds size, text_crc32, shard and slot to ``docs``."""
+def open_units(sizes: np.ndarray, single: np.ndarray, low: int, high: int, shards: int) -> np.ndarray:
+    """Whether each unit isn't a single group and may hold a cut of a greedy walk at a capacity from ``low`` to ``high``."""
+    prefix = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    out = np.zeros(len(sizes), bool)
+    first = last = 0
+    for _ in range(shards - 1):
+        # where a walk may at the earliest and at the latest have cut
+        first = max(first, int(np.searchsorted(prefix, prefix[first] + low, "right")) - 1)
+        last = min(int(np.searchsorted(prefix, prefix[last] + high, "right")), len(sizes))
+        out[first : last + 1] = True
+    return out & ~single
+
+
+def bounds(groups: DataFrame, shards: int, *, cells: int = CELLS, split: int = SPLIT, most_groups: int = MOST_GROUPS) -> tuple[list[int], int]:
+    """Least hashes of the shards after the first, and the capacity, for groups (g: a hash as a long, size)."""
+    shift = 64 - (cells.bit_length() - 1)
+    step = split.bit_length() - 1
+
+    def units(rows: DataFrame, shift: int) -> np.ndarray:
+        """Least hash (of the range), size, groups, largest group and shift of each range, ascending; few rows whatever the input."""
+        cell = F.shiftright("g", shift)
+        found = rows.groupBy(cell.alias("cell")).agg(F.sum("size"), F.count("*"), F.max("size")).collect()
+        return np.array(sorted((r[0] << shift, r[1], r[2], r[3], shift) for r in found), np.int64).reshape(-1, 5)
+
+    known = units(groups, shift)
+    while True:
+        sizes, single = known[:, 1], known[:, 2] == 1
+        _, high = minimax_cuts(sizes, shards)
+        low = int(max(known[:, 3].max(initial=0), -(-int(sizes.sum()) // shards)))
+        wanted = open_units(sizes, single, low, high, shards)
+        if not wanted.any():
+            break
+        chosen, n = known[wanted], int(known[wanted, 2].sum())
+        shift = 0 if n <= most_groups else max(0, int(chosen[:, 4].max()) - step)
+        # neighbours make one condition: about one for each cut
+        ranges: list[list[int]] = []
+        for start, of in zip(chosen[:, 0].tolist(), chosen[:, 4].tolist(), strict=True):
+            if ranges and ranges[-1][1] + 1 == start:
+                ranges[-1][1] = start + (1 << of) - 1
+            else:
+                ranges.append([start, start + (1 << of) - 1])
+        inside = reduce(or_, [F.col("g").between(a, b) for a, b in ranges])
+        finer = units(groups.where(inside), shift)
+        known = np.concatenate([known[~wanted], finer])
+        known = known[np.argsort(known[:, 0])]
+    cuts, capacity = minimax_cuts(known[:, 1], shards)
+    return [int(known[c, 0]) for c in cuts[:-1]], capacity
+
+
+def shard(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shards: int = 16, **options) -> DataFrame:
+    """Adds size, text_crc32, shard and slot to ``docs``; options are those of ``bounds``."""
     spark = docs.sparkSession
-    bits = cells.bit_length() - 1
     content = F.coalesce(F.col(text), F.lit(""))
     keyed = docs.drop("shard", "slot").withColumns(
         {
             "size": F.octet_length(content).cast("long") + 1,
             "text_crc32": F.crc32(content),
-            "__cell": F.shiftrightunsigned(F.xxhash64(content), 64 - bits).cast("int"),
+            "__g": F.xxhash64(content),
+            "__part": F.pmod(F.xxhash64(F.col(doc_id), content), F.lit(PARTS)).cast("int"),
         }
     )
-    found = keyed.groupBy("__cell").agg(F.sum("size"), F.count("*")).collect()
-    found = np.array(sorted(tuple(r) for r in found), np.int64).reshape(-1, 3)
-    cuts, _ = minimax_cuts(found[:, 1], shards)
-    of_cell = np.searchsorted(cuts, np.arange(len(found)), "right")
-    total = int(found[:, 2].sum())
-    hot = [int(c) for c, _, n in found if n > max(total * HOT_SHARE, 1000)]
-    salt = F.lit(0)
-    parts = [(int(c), 0, int(n)) for c, _, n in found]
-    if hot:
-        salt = F.when(F.col("__cell").isin(hot), F.pmod(F.xxhash64(F.col(doc_id)), F.lit(SALTS)).cast("int")).otherwise(0)
-        split = keyed.where(F.col("__cell").isin(hot)).groupBy("__cell", salt.alias("s")).count().collect()
-        parts = sorted([p for p in parts if p[0] not in set(hot)] + [tuple(r) for r in split])
-    shard_of = dict(zip(found[:, 0].tolist(), of_cell.tolist(), strict=True))
+    narrow = cut(keyed.select(F.col("__g").alias("g"), "size", F.col("__part").alias("part")))
+    starts, _ = bounds(cut(narrow.groupBy("g").agg(F.sum("size").alias("size"))), shards, **options)
+    place = lambda g: sum((F.when(g >= start, 1).otherwise(0) for start in starts), F.lit(0)).cast("int")
+    counted = narrow.groupBy(place(F.col("g")).alias("shard"), "part").count().collect()
     rows, next_slot = [], [0] * shards
-    for c, s, n in parts:
-        k = shard_of[c]
-        rows.append((c, s, k, next_slot[k]))
+    for k, part, n in sorted(tuple(r) for r in counted):
+        rows.append((k, part, next_slot[k]))
         next_slot[k] += n
-    # at most cells + SALTS / HOT_SHARE rows, whatever the input
-    table = F.broadcast(spark.createDataFrame(rows, "__cell int, __salt int, shard int, __first long"))
-    place = Window.partitionBy("__cell", "__salt").orderBy(doc_id)
+    # at most shards * PARTS rows, whatever the input
+    table = F.broadcast(spark.createDataFrame(rows, "__shard int, __part_ int, __first long"))
+    placed = keyed.withColumn("shard", place(F.col("__g")))
+    order = Window.partitionBy("shard", "__part").orderBy(doc_id)
     return (
-        keyed.withColumn("__salt", salt)
-        .join(table, ["__cell", "__salt"])
-        .withColumn("slot", F.col("__first") + F.row_number().over(place) - 1)
-        .drop("__cell", "__salt", "__first")
+        placed.join(table, (F.col("shard") == F.col("__shard")) & (F.col("__part") == F.col("__part_")))
+        .withColumn("slot", F.col("__first") + F.row_number().over(order) - 1)
+        .drop("__g", "__part", "__shard", "__part_", "__first")
     )

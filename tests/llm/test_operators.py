@@ -317,6 +317,21 @@ def test_minimax_cuts():
     assert sharding.minimax_cuts(np.zeros(0, np.int64), 4) == ([], 0)
 
 
+@pytest.mark.parametrize(("cells", "split", "most_groups"), [(1 << 16, 1 << 10, 200_000), (4, 4, 6), (2, 16, 40)])
+def test_bounds_equal_a_search_over_groups(spark, cells, split, most_groups):
+    """However coarse the ranges begin, capacity and cuts are those over all groups."""
+    r = np.random.default_rng(7)
+    for n, shards in ((1, 16), (10, 16), (400, 5), (700, 16)):
+        g = np.sort(np.unique(r.integers(-(2**63), 2**63 - 1, n)))
+        sizes = np.minimum(r.zipf(1.6, len(g)), 5000) + 1
+        groups = spark.createDataFrame([(int(a), int(b)) for a, b in zip(g, sizes, strict=True)], "g long, size long").cache()
+        starts, capacity = sharding.bounds(groups, shards, cells=cells, split=split, most_groups=most_groups)
+        cuts, best = sharding.minimax_cuts(sizes, shards)
+        assert capacity == best == best_capacity(sizes.tolist(), shards)
+        assert np.searchsorted(starts, g, "right").tolist() == np.searchsorted(cuts, np.arange(len(g)), "right").tolist()
+        groups.unpersist()
+
+
 @pytest.mark.parametrize("hot", [False, True])
 def test_shards(spark, corpus, hot):
     docs = corpus.union(corpus.sparkSession.range(2500).selectExpr("id + 10000", "'the same'", "null", "null", "-1")) if hot else corpus
