@@ -640,9 +640,17 @@ def test_pipeline_stages(spark, corpus, tmp_path):
     assert len(total) == 4
     assert {r["size"] for r in rows(seen["mixing"])} == {-1}
     assert seen["sharding"].count() == seen["mixing"].count()
+    assert seen["sharding"].columns == [*docs.columns, "shard_size", "text_crc32", "shard", "slot"]
+    assert {r["size"] for r in rows(seen["sharding"])} == {-1} and min(r["shard_size"] for r in rows(seen["sharding"])) > 1
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == seen["sharding"].count()
 
 
+def test_pipeline_of_an_empty_table(spark, corpus, tmp_path):
+    corpus.limit(0).coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, "a b c")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
 def test_all_are_registered():
     names = list(queries.queries())
     assert [n.split("_")[0] for n in names] == [f"op{k}" for k in range(1, 11)] + ["pipeline"]
