@@ -7,12 +7,12 @@ times so that a pair at the threshold shares one child on average, and deals
 documents to children by their value there, until nodes have few members.
 
 Work stays linear in a node's size because components, not pairs, are asked
-for. At every level members are compared with their node's pivot first, each
-with its most alike one, then the most alike pair of every two components found
-so; nodes that then hold one component only are done. Of the others, those of few
-members are compared exhaustively across components, and large ones branch on
-for as long as that separates their members and comparing all would be more work
-than small nodes are. Children that keep over ``SHRINK``
+for. Before any node branches on, members are compared with their node's pivot,
+each with its most alike one, then the most alike pair of every two components
+found so. At every level nodes that hold one component only are done. Of the
+others, those of few members are compared exhaustively across components, and
+large ones branch on for as long as that separates their members and comparing
+all would be more work than small nodes are. Children that keep over ``SHRINK``
 of a large node's members are as alike as links nearly are; they form families
 where they share members, and those outside a family's largest component are
 compared with all of it in blocks, so no link is lost to a cap.
@@ -38,7 +38,7 @@ from pyspark.sql.window import Window
 
 from granary.llm import text as tx
 from granary.llm.graph import components
-from granary.llm.session import cut, partitions, sized
+from granary.llm.session import cut, partitions, release, sized
 
 COORDINATES = 64
 _SET_BITS = np.uint64(50)
@@ -51,7 +51,7 @@ ORDERS = 8
 #: Share of a large node's members above which a child isn't branched on.
 SHRINK = 0.6
 #: Documents of a family that one task holds, and about how many it compares with them.
-ODD_BLOCK, ALL_BLOCK = 256, 1024
+ODD_BLOCK, ALL_BLOCK = 512, 2048
 #: Comparisons with one pivot that one task makes before a salt deals out the rest.
 PIVOT_ROWS = 128
 #: Packed sets that a task hands on at once.
@@ -328,15 +328,12 @@ class ChosenPath:
         rows = self.reps.select("rep", "sig").mapInArrow(_plant(self.trees, self.similarity), "node long, rep long, parent long")
         none = self.docs.sparkSession.createDataFrame([], "a long, b long")
         self.links = self.tried = none
-        labels = components(none)
-        stars = few = left = None
+        members = self.level(rows)
+        stars = self.alike(members.where("rep <> pivot").select("pivot", "rep"))
+        labels = self.pivoted(stars, components(none))
+        few = left = None
         joined = lambda a, b: b if a is None else a.union(b)
         for depth in range(1, self.depth + 1):
-            members = self.level(rows)
-            pairs = members.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
-            near = self.alike(pairs if stars is None else pairs.join(stars.select("a", "b"), ["a", "b"], "left_anti"))
-            stars = joined(stars, near)
-            labels = self.pivoted(near, labels)
             mixed = cut(self.mixed(members, labels))
             few = joined(few, mixed.where(F.col("members") <= self.small))
             large = mixed.where(F.col("members") > self.small)
@@ -346,7 +343,7 @@ class ChosenPath:
             if (large.where("odd").agg(F.sum("members")).first()[0] or 0) <= self.small * self.n_sets:
                 left = left.union(large)
                 break
-            rows = self.branched(large)
+            members = self.level(self.branched(large))
         across = self.alike(self.across(self.mixed(few, labels)))
         labels = self.linked(self.apart(stars.union(across), labels).distinct(), labels)
         return self.family_links(left, labels)
@@ -418,6 +415,7 @@ class ChosenPath:
         mixed = cut(self.mixed(large, labels))
         if mixed.isEmpty():
             return labels
+        release(mixed.sparkSession)
         family = cut(self.families(mixed))
         odd = F.col("of") != F.col("main")
         sizes = family.groupBy("family").agg(
@@ -455,7 +453,7 @@ class ChosenPath:
         """The pairs that are links on the full sets. Each set travels once for each pivot (a) it is compared with."""
         pairs = pairs.select("a", "b")
         counts = pairs.groupBy("a").agg(F.ceil(F.count("*") / PIVOT_ROWS).alias("salts"))
-        dealt = cut(pairs.join(counts, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int")))
+        dealt = pairs.join(counts, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int"))
         none = F.lit(0).cast("long")
         wants = dealt.select(F.col("b").alias("rep"), F.col("a").alias("key"), "salt", F.lit(1).alias("role"), none.alias("of")).union(
             dealt.select("a", "a", "salt", F.lit(0), none).distinct()
