@@ -35,6 +35,7 @@ FIXTURES = {
     "priced": """
         select *, concat('S00', cast(r as string)) as store_id, concat('P000', lpad(cast(b as string), 2, '0')) as product_id,
           cast(10 + k % 90 as double) + 0.5 as price from {keyed}""",
+    # some rows break each rule of sales: a price of nothing or less, humidity above 100, revenue that isn't units times price
     "sales": f"""
         select date, store_id, product_id, cast(100 + k % 50 as bigint) as inventory_level, units_sold, cast(k % 20 as bigint) as units_ordered,
           cast(price as double) as price, cast(cast(k % 4 as double) * 0.125 as double) as discount,
@@ -42,8 +43,10 @@ FIXTURES = {
           case when k % 9 = 0 then 'New Year' end as holiday, {_case("k % 7", *_SKY)} as weather,
           cast({_case("k % 7", "null", "cast(0 as double)", "price", "price * 1.25", "price * 0.75", "price * 1.0078125", other="price * 0.984375")}
             as double) as competitor_price,
-          cast(k % 40 as double) as temperature, cast(k % 101 as double) as humidity, cast(k % 3 as double) * 0.5 as rainfall, revenue
-        from {{priced}}""",
+          cast(k % 40 as double) as temperature, cast(k % 103 as double) as humidity, cast(k % 3 as double) * 0.5 as rainfall,
+          case when k % 3 = 0 then revenue else cast(units_sold * price as decimal(18, 2)) end as revenue
+        from (select date, store_id, product_id, units_sold, revenue, k,
+          case when k % 101 = 0 then cast(0 as double) when k % 107 = 0 then cast(-1 as double) else price end as price from {{priced}}) x""",
     "inventory": """
         select date, store_id, product_id, cast(100 + k % 60 as bigint) as opening_stock, cast(k % 13 as bigint) as received_stock,
           units_sold as sold, cast(k % 3 as bigint) as damaged,
@@ -52,10 +55,10 @@ FIXTURES = {
     "product": f"""
         select concat('P000', lpad(cast(b as string), 2, '0')) as product_id, concat('Product ', cast(b as string)) as product_name,
           'Base' as base_product_name, {_case("b % 6", "'Clothing'", "'Electronics'", "'Furniture'", "'Groceries'", "'Toys'", other="'Other'")} as category,
-          'Sub' as sub_category, concat('Brand#', cast(b as string)) as brand, cast(5 + b as double) as unit_cost,
-          cast(6 + b - case when b % 6 = 0 then 3 else 0 end as double) as selling_price, cast(b * 2 as bigint) as safety_stock,
+          'Sub' as sub_category, concat('Brand#', cast(b as string)) as brand, cast(case when b % 7 = 4 then 0 else 5 + b end as double) as unit_cost,
+          cast(case when b % 7 = 5 then 0 else 6 + b - case when b % 6 = 0 then 3 else 0 end end as double) as selling_price, cast(b * 2 as bigint) as safety_stock,
           cast(b * 3 - (b % 4) * b as bigint) as reorder_point, cast(b * 10 as bigint) as shelf_life,
-          concat('SUP0', lpad(cast(b as string), 2, '0')) as supplier_id, cast(b - 1 as double) * 0.25 as weight, cast(b as double) * 0.5 as volume
+          concat('SUP0', lpad(cast(b as string), 2, '0')) as supplier_id, cast(b % 11 - 1 as double) * 0.25 as weight, cast(b % 11 as double) * 0.5 as volume
         from (select distinct b from {{fact}}) x""",
     "store": f"""
         select concat('S00', cast(r_regionkey as string)) as store_id, concat('Store ', r_name) as store_name, r_name as city, 'State' as state,
@@ -69,11 +72,14 @@ FIXTURES = {
     "warehouse": """
         select concat('WH0', cast(r_regionkey as string)) as warehouse_id, concat('Warehouse ', r_name) as warehouse_name, r_name as city,
           'State' as state, 'East' as region, cast(1000 + r_regionkey as bigint) as capacity_units from {region} where r_regionkey < 4""",
+    # some days break each rule of the calendar
     "dates": f"""
-        select date, cast(year(date) as bigint) as year, cast(month(date) as bigint) as month,
+        select date, cast(year(date) + case when DAYNO(date) % 89 = 0 then 1 else 0 end as bigint) as year,
+          cast(case when DAYNO(date) % 83 = 0 then month(date) % 12 + 1 when DAYNO(date) % 61 = 0 then 13 else month(date) end as bigint) as month,
           cast(day(date) + case when DAYNO(date) % 97 = 0 then 1 else 0 end as bigint) as day,
-          {_case("(DAYNO(date) + 3) % 7", "'Monday'", "'Tuesday'", "'Wednesday'", "'Thursday'", "'Friday'", "'Saturday'", "'Sunday'")} as weekday,
-          cast(quarter(date) as bigint) as quarter, (DAYNO(date) + 3) % 7 >= 5 as is_weekend,
+          case when DAYNO(date) % 79 = 0 then 'Noday' else {_case("(DAYNO(date) + 3) % 7", "'Monday'", "'Tuesday'", "'Wednesday'", "'Thursday'", "'Friday'", "'Saturday'", "'Sunday'")} end as weekday,
+          cast(quarter(date) % 4 + case when DAYNO(date) % 73 = 0 then 1 else 0 end + case when quarter(date) = 4 then 4 else 0 end as bigint) as quarter,
+          case when DAYNO(date) % 71 = 0 then (DAYNO(date) + 3) % 7 < 5 else (DAYNO(date) + 3) % 7 >= 5 end as is_weekend,
           case when month(date) in (12, 1, 2) then 'Winter' when month(date) <= 5 then 'Summer' when month(date) <= 9 then 'Monsoon'
             else case when DAYNO(date) % 31 = 0 then 'Winter' else 'Post-Monsoon' end end as season
         from (select distinct date from {{fact}} where DAYNO(date) % 50 <> 0) x""",
@@ -96,7 +102,7 @@ FIXTURES = {
         union all select 'PROMO0005', 'Festive', date '1999-01-01', date '2001-12-31', null
         union all select 'PROMO0006', 'Festive', date '2000-01-01', date '1999-12-31', 0.5""",
     "purchase": """
-        select concat('PO', lpad(cast(o.o_orderkey as string), 7, '0')) as po_id, concat('SUP0', lpad(cast(x.s % 27 as string), 2, '0')) as supplier_id,
+        select concat(case when o.o_orderkey % 41 = 0 then 'PX' else 'PO' end, lpad(cast(o.o_orderkey as string), 7, '0')) as po_id, concat('SUP0', lpad(cast(x.s % 27 as string), 2, '0')) as supplier_id,
           concat('S00', cast(o.o_custkey % 6 as string)) as store_id, concat('P000', lpad(cast(x.p % 27 as string), 2, '0')) as product_id,
           cast(o.o_orderdate as date) as order_date, cast(o.o_orderdate as date) + cast(o.o_orderkey % 15 - 1 as int) as expected_delivery_date,
           cast(x.q as bigint) as quantity, case when o.o_orderstatus = 'P' then 'Pending' else 'Delivered' end as status
@@ -129,6 +135,11 @@ FIXTURES = {
           {_case("event_id % 6", "'S001'", "'S1'", "'xS001'", "'S0012'", "''", other="null")} as code,
           {_case("event_id % 6", "'  a b '", "' '", "''", "'x'", "concat('y', chr(9))", other="null")} as note
         from {{events}}""",
+    # rows of several runs of a raw table, keys null at times
+    "runs": """
+        select case when user_id % 40 = 0 then null else user_id % 40 end as store_key, case when event_id % 5 = 0 then null else event_type end as kind,
+          event_id, cast(ts as date) as ingestion_date, concat('r', cast(event_id % 9 as string)) as run_id,
+          cast(ts as date) + cast(event_id % 3 as int) as _modified from {events}""",
 }
 
 

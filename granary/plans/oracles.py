@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from granary.functions.scalar import snake
 from granary.plans.fixtures import ctes, duck
 from granary.plans.queries import COLUMN_RULES, QUERIES, spec
 from granary.sources.contracts import CONTRACTS
@@ -132,10 +133,21 @@ def _rules(table: str, fixture: str, named: dict[str, str]) -> str:
       result as (select '{table}' as "table", rule, 'ERROR' as severity, failed_rows from counted where failed_rows > 0)"""
 
 
+def _whole_report() -> str:
+    """All rules of all tables with rules of their own."""
+    parts = []
+    for table, (fixture, business) in _BUSINESS.items():
+        each = " union all ".join(
+            f"select '{rule}' as rule, count(*) filter (where coalesce({bad}, true)) as failed_rows, count(*) as n_rows from {fixture}_" for rule, bad in (_column_rules(table) | business).items()
+        )
+        parts.append(f"""select '{table}' as "table", rule, 'ERROR' as severity, failed_rows, n_rows from ({each}) where failed_rows > 0""")
+    return f"{ctes(*(f for f, _ in _BUSINESS.values()))}, result as ({' union all '.join(parts)})"
+
+
 def _column_rules(table: str, *, only: tuple[str, ...] = COLUMN_RULES) -> dict[str, str]:
     out = {}
     for f in CONTRACTS[table].schema:
-        c, meta = f.name.lower(), f.metadata
+        c, meta = snake(f.name), f.metadata
         tests = {
             ".required": (meta["required"], f"{c} is null or regexp_full_match(cast({c} as varchar), '\\s*')"),
             ".minimum": ("minimum" in meta, f"{c} is not null and {c} < {meta.get('minimum')}"),
@@ -147,10 +159,42 @@ def _column_rules(table: str, *, only: tuple[str, ...] = COLUMN_RULES) -> dict[s
     return out
 
 
+#: Fixture and own rules of each table that has some.
+_BUSINESS: dict[str, tuple[str, dict[str, str]]] = {
+    "Fact_Sales": ("sales", {
+        "sales.revenue_calculation": "not abs(cast(revenue as double) - units_sold * price) <= 0.011",
+        "sales.discount_requires_promotion": "discount > 0 and trim(coalesce(promotion, '')) = ''",
+        "sales.promotion_requires_discount": "discount = 0 and trim(coalesce(promotion, '')) <> ''",
+        "sales.positive_price": "price <= 0",
+        "sales.positive_competitor_price": "competitor_price <= 0",
+    }),
+    "Fact_Inventory": ("inventory", {"inventory.stock_balance": "closing_stock <> opening_stock - sold - damaged"}),
+    "Fact_PurchaseOrders": ("purchase", {"purchase_order.delivery_sequence": "expected_delivery_date < order_date"}),
+    "Dim_Product": ("product", {
+        **{f"product.{c}.positive": f"{c.lower()} <= 0" for c in ("Unit_Cost", "Selling_Price", "Weight", "Volume")},
+        "product.positive_margin": "selling_price < unit_cost",
+        "product.reorder_threshold": "reorder_point < safety_stock",
+    }),
+    "Dim_Date": ("dates", {
+        "date.year": "year <> year(date)",
+        "date.month": "month <> month(date)",
+        "date.day": "day <> day(date)",
+        "date.weekday": "weekday <> dayname(date)",
+        "date.quarter": "quarter <> quarter(date)",
+        "date.weekend": "is_weekend <> (isodow(date) >= 6)",
+        "date.season": "season <> case when month in (12, 1, 2) then 'Winter' when month between 3 and 5 then 'Summer' "
+                       "when month between 6 and 9 then 'Monsoon' when month in (10, 11) then 'Post-Monsoon' end",
+    }),
+    "Promotion": ("promotion", {"promotion.date_sequence": "end_date < start_date"}),
+}
+
+
 _NUMBER = r"[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?"
 _CELLS = ctes("cells")
 _DOUBLE = f"case when regexp_full_match(trim(number), '{_NUMBER}') then try_cast(trim(number) as double) end"
 
+_FILLED = "{0} is not null and not regexp_full_match({0}, '\\s*')"
+
 ORACLES: dict[str, str] = {
     "rolling_demand": _on("priced"),
     "rolling_std": _on("priced"),
@@ -186,31 +230,32 @@ ORACLES: dict[str, str] = {
     "trim_blank_to_null": _CELLS + ", result as (select id, nullif(trim(note, ' '), '') as note, nullif(trim(code, ' '), '') as code from cells_)",
     "quality_column_rules": _rules("Fact_Sales", "sales", _column_rules("Fact_Sales")),
     "domain_rule": _rules("Dim_Product", "product", _column_rules("Dim_Product", only=(".domain",))),
-    "quality_sales_rules": _rules("Fact_Sales", "sales", {
-        "sales.revenue_calculation": "not abs(cast(revenue as double) - units_sold * price) <= 0.011",
-        "sales.discount_requires_promotion": "discount > 0 and trim(coalesce(promotion, '')) = ''",
-        "sales.promotion_requires_discount": "discount = 0 and trim(coalesce(promotion, '')) <> ''",
-        "sales.positive_price": "price <= 0",
-        "sales.positive_competitor_price": "competitor_price <= 0",
-    }),
-    "quality_product_rules": _rules("Dim_Product", "product", {
-        **{f"product.{c}.positive": f"{c.lower()} <= 0" for c in ("Unit_Cost", "Selling_Price", "Weight", "Volume")},
-        "product.positive_margin": "selling_price < unit_cost",
-        "product.reorder_threshold": "reorder_point < safety_stock",
-    }),
-    "quality_date_rules": _rules("Dim_Date", "dates", {
-        "date.year": "year <> year(date)",
-        "date.month": "month <> month(date)",
-        "date.day": "day <> day(date)",
-        "date.weekday": "weekday <> dayname(date)",
-        "date.quarter": "quarter <> quarter(date)",
-        "date.weekend": "is_weekend <> (isodow(date) >= 6)",
-        "date.season": "season <> case when month in (12, 1, 2) then 'Winter' when month <= 5 then 'Summer' when month <= 9 then 'Monsoon' "
-                       "else 'Post-Monsoon' end",
-    }),
-    "quality_promotion_rules": _rules("Promotion", "promotion", {"promotion.date_sequence": "end_date < start_date"}),
-    "quality_inventory_rules": _rules("Fact_Inventory", "inventory", {"inventory.stock_balance": "closing_stock <> opening_stock - sold - damaged"}),
-    "quality_po_rules": _rules("Fact_PurchaseOrders", "purchase", {"purchase_order.delivery_sequence": "expected_delivery_date < order_date"}),
+    **{f"quality_{name}_rules": _rules(table, *_BUSINESS[table]) for name, table in (
+        ("sales", "Fact_Sales"), ("product", "Dim_Product"), ("date", "Dim_Date"), ("promotion", "Promotion"), ("inventory", "Fact_Inventory"), ("po", "Fact_PurchaseOrders"),
+    )},
+    "quality_every_rule": _whole_report(),
+    "demand_base_broadcast": _derived(),
+    "po_joins_broadcast": _PO,
+    "dedup_null_keys": f"{ctes('runs')}, result as (select store_key, kind, min(event_id) as event_id from runs_ group by store_key, kind)",
+    "dedup_latest_version": f"""{ctes("runs")}, placed as (select *, row_number() over (partition by store_key, kind
+      order by ingestion_date desc nulls last, _modified desc nulls last, run_id desc nulls last) as place from runs_), result as (select * from placed where place = 1)""",
+    "snake_case_names": f"{ctes('dates')}, result as (select * from dates_)",
+    "cast_failure_counts": _CELLS + f""", result as (select
+      count(*) filter (where {_FILLED.format("number")} and (case when regexp_full_match(trim(number), '[+-]?[0-9]+') then try_cast(trim(number) as bigint)
+        when {_DOUBLE} % 1 = 0 then cast({_DOUBLE} as bigint) end) is null) as cast_integer,
+      count(*) filter (where {_FILLED.format("number")} and ({_DOUBLE}) is null) as cast_decimal,
+      count(*) filter (where {_FILLED.format("day")} and (case when regexp_full_match(day, '\\d{{4}}-\\d{{1,2}}-\\d{{1,2}}') then try_cast(day as date) end) is null) as cast_day,
+      count(*) filter (where {_FILLED.format("flag")} and flag not in ('True', 'False')) as cast_flag from cells_)""",
+    "missing_policy_counters": f"""{ctes("sales")}, result as (select count(*) filter (where holiday is null) as dropped_rows,
+      count(*) filter (where promotion is null and holiday is not null) as filled_values,
+      count(*) filter (where promotion is null) + count(*) filter (where holiday is null) as preserved_values,
+      count(*) filter (where promotion is null) as missing_promotion from sales_)""",
+    "incremental_decisions": """with result as (select table_name, stored, full_load, stored = 'none' or full_load or stored = 'changed' as load,
+      case when stored = 'none' then 'initial_load' when full_load then 'full_reload' when stored = 'same' then 'source_unchanged'
+        when table_name = 'Dim_Store' then 'changed_snapshot' else 'watermark_increment' end as reason,
+      case when stored <> 'none' and not full_load and table_name = 'Fact_Sales' then '2024-01-01' end as watermark
+      from (select unnest(['Fact_Sales', 'Dim_Store']) as table_name), (select unnest(['none', 'same', 'changed']) as stored),
+        (select unnest([true, false]) as full_load))""",
     "format_rule": _CELLS + r", result as (select id, code is not null and not regexp_full_match(code, 'S\d{3}') as bad from cells_)",
     "strict_decimal_cast": _CELLS + f", result as (select id, {_DOUBLE} as value from cells_)",
     "strict_integer_cast": _CELLS + f""", result as (select id, case when regexp_full_match(trim(number), '[+-]?[0-9]+') then try_cast(trim(number) as bigint)

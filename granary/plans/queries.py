@@ -6,11 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from granary.functions.scalar import blank, matches, snake, strict
 from granary.operators import dedup, enrich, features, incremental, missing, quality
+from granary.plans import ingest
 from granary.plans.fixtures import frame
-from granary.sources.contracts import CONTRACTS
+from granary.sources.checkpoints import Checkpoint
+from granary.sources.contracts import CONTRACTS, TableSpec, column
+from granary.sources.csv import Identity
 
 #: Types of result columns: text, long, double (rounded to 6 places), boolean, date
 KINDS = {"s": "string", "l": "bigint", "d": "double", "b": "boolean", "t": "date"}
@@ -156,6 +160,67 @@ def _promotion_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.sales_side(t["Fact_Sales"]).join(t["Promotion"], on)
 
 
+def _whole_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every rule of every table with rules of its own, with the rows it was put to."""
+    out = None
+    for table in quality.BUSINESS:
+        rows = contracted(spark, sf_dir, table)
+        found = quality.report(rows, table, quality.rules(CONTRACTS[table])).withColumn("n_rows", F.lit(rows.count()))
+        out = found if out is None else out.union(found)
+    return out
+
+
+def _null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.keep_first(frame(spark, sf_dir, "runs"), ["store_key", "kind"], "event_id")
+
+
+def _latest_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.keep_latest(frame(spark, sf_dir, "runs"), ["store_key", "kind"])
+
+
+def _as_text(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    rows = contracted(spark, sf_dir, table)
+    return rows.select(*[F.col(c).cast("string").alias(c) for c in rows.columns])
+
+
+def _cells(number: str) -> TableSpec:
+    """The text cells as a table of their own."""
+    return TableSpec("Cells", T.StructType([column("number", number), column("day", "date"), column("flag", "boolean"), column("code", "string")]), ("number",))
+
+
+def _cast_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whole, fraction = (ingest.cast_failures(_cells(kind)) for kind in ("integer", "decimal"))
+    counts = {"cast_integer": whole["cast.number"], "cast_decimal": fraction["cast.number"], "cast_day": whole["cast.day"], "cast_flag": whole["cast.flag"]}
+    return frame(spark, sf_dir, "cells").agg(*[c.alias(n) for n, c in counts.items()])
+
+
+def _policy_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sales = CONTRACTS["Fact_Sales"]
+    policy = missing.MissingPolicy({"Promotion": missing.OnMissing.FILL, "Holiday": missing.OnMissing.DROP_ROW}, {"Promotion": "None"})
+    found, kept = missing.counters(sales, policy), missing.counters(sales, missing.MissingPolicy())
+    every = {k: found[k] for k in ("dropped_rows", "filled_values")} | {"preserved_values": kept["preserved_values"], "missing_promotion": found["missing.Promotion"]}
+    return _as_text(spark, sf_dir, "Fact_Sales").agg(*[c.alias(k) for k, c in every.items()])
+
+
+def _decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is loaded, for each kind of table, checkpoint, source and request."""
+    at = lambda n: Identity("p", n, n)
+    rows = []
+    for table in ("Fact_Sales", "Dim_Store"):
+        for stored in ("none", "same", "changed"):
+            for full in (False, True):
+                last = None if stored == "none" else Checkpoint(table, at(1), "2024-01-01" if CONTRACTS[table].watermark else None, "r", "now")
+                d = incremental.decide(CONTRACTS[table], at(2 if stored == "changed" else 1), last, full)
+                rows.append((table, stored, full, d.load, d.reason, d.watermark))
+    return spark.createDataFrame(rows, "table_name string, stored string, full_load boolean, load boolean, reason string, watermark string")
+
+
+def _broadcast_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The joins as curation runs them: small dimensions are counted, then broadcast."""
+    t = tables(spark, sf_dir)
+    return enrich.demand_base(t, enrich.calendar(t["Dim_Date"], t["Holiday"]))
+
+
 ROLL = "demand_observation_count_7d:l units_sold_rolling_mean_7d:d demand_observation_count_28d:l units_sold_rolling_mean_28d:d"
 LAGS = " ".join(f"{x}_lag_{n}d:{k}" for n in (1, 7, 14, 28) for x, k in (("units_sold", "l"), ("revenue", "d")))
 REPORT = "table:s rule:s severity:s failed_rows:l"
@@ -230,6 +295,15 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
     "strict_boolean_cast": (lambda s, d: frame(s, d, "cells").select("id", strict(F.col("flag"), "boolean").alias("value")), "id:l value:b"),
     "watermark_filter": (_watermark, "po_id:s order_date:t"),
     "max_watermark": (_max_watermark, "watermark:s late_rows:l"),
+    "demand_base_broadcast": (_broadcast_base, f"{KEY} closing_stock:l product_name:s store_name:s supplier_name:s warehouse_name:s season:s weather_condition:s promotion_id:s"),
+    "po_joins_broadcast": (lambda s, d: enrich.purchase_orders(tables(s, d)), "po_id:s product_name:s supplier_name:s store_name:s lead_time_variance_days:l"),
+    "quality_every_rule": (_whole_report, f"{REPORT} n_rows:l"),
+    "dedup_null_keys": (_null_keys, "store_key:l kind:s event_id:l"),
+    "dedup_latest_version": (_latest_versions, "store_key:l kind:s ingestion_date:t _modified:t run_id:s"),
+    "snake_case_names": (lambda s, d: enrich.clean(contracted(s, d, "Dim_Date")), "date:t year:l month:l day:l weekday:s quarter:l is_weekend:b season:s"),
+    "cast_failure_counts": (_cast_failures, "cast_integer:l cast_decimal:l cast_day:l cast_flag:l"),
+    "missing_policy_counters": (_policy_counters, "dropped_rows:l filled_values:l preserved_values:l missing_promotion:l"),
+    "incremental_decisions": (_decisions, "table_name:s stored:s full_load:b load:b reason:s watermark:s"),
     "demand_features_wide": (
         wide,
         f"{KEY} {ROLL} {LAGS} abc_class:s xyz_class:s volatility_segment:s price_position:s {HOLIDAY} {PROMO} {STOCK} {STOCK_RATIOS} "

@@ -5,6 +5,7 @@ import os
 import duckdb
 import pytest
 
+from granary.operators import quality
 from granary.plans import oracles, queries
 from granary.plans.fixtures import DRIVER, frame
 
@@ -37,6 +38,15 @@ def test_query_equals_its_sql(spark, con, name):
     assert rows(map(tuple, df.collect())) == rows(sql.fetchall())
 
 
+def test_every_rule_fires_on_some_rows_and_not_on_others(spark):
+    """So that a rule that is always or never true can't pass."""
+    found = {(r.table, r.rule): (r.failed_rows, r.n_rows) for r in queries.queries()["quality_every_rule"](spark, SF).collect()}
+    own = {(t, rule) for t, rules in quality.BUSINESS.items() for rule in rules()}
+    assert own <= found.keys()
+    assert {k for k in ("required", "minimum", "maximum", "domain", "format") if any(rule.endswith(f".{k}") for _, rule in found)} == {"required", "minimum", "maximum", "domain", "format"}
+    assert all(0 < failed < n for failed, n in found.values())
+
+
 @pytest.mark.parametrize("name", ["contiguous_lags_dense_whole", "volatility_segment_whole"])
 def test_dense_queries_take_the_whole_fact(spark, name):
     """Each key has every day from the fact's first to its last, so no sale is left out."""
