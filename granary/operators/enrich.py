@@ -39,13 +39,13 @@ def small(df: DataFrame, most: int = SMALL_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
-def calendar(dates: DataFrame, holidays: DataFrame) -> DataFrame:
+def calendar(dates: DataFrame, holidays: DataFrame, hint: Callable[[DataFrame], DataFrame] = small) -> DataFrame:
     """Dates with holiday_name, is_holiday and the days since the previous and to the next holiday.
 
     The calendar has one row a day, so its global order is a small sort. Of several holidays on a day, the least name.
     """
     named = holidays.groupBy("date").agg(F.min("holiday_name").alias("holiday_name"))
-    joined = dates.join(F.broadcast(named), "date", "left")
+    joined = dates.join(hint(named), "date", "left")
     day = Window.orderBy("date")
     holiday = F.when(F.col("holiday_name").isNotNull(), F.col("date"))
     before = F.last(holiday, ignorenulls=True).over(day.rowsBetween(Window.unboundedPreceding, 0))
@@ -64,6 +64,7 @@ def pick(rows: DataFrame, *names: str, **renamed: str) -> DataFrame:
     return rows.select(*names, *[F.col(old).alias(new) for new, old in renamed.items()])
 
 
+# The columns that each side brings, and the names they get, are fixed values, here and below.
 def sales_side(sales: DataFrame) -> DataFrame:
     """The fact's columns; those that a dimension has too get the prefix sales_."""
     return pick(
@@ -107,7 +108,7 @@ def attach_weather(rows: DataFrame, weather: DataFrame, hint: Callable[[DataFram
     return rows.join(hint(side), ["date", "store_city"], "left")
 
 
-def attach_promotion(rows: DataFrame, promotions: DataFrame, key: list[str], hint: Callable[[DataFrame], DataFrame] = small) -> DataFrame:
+def attach_promotion(rows: DataFrame, promotions: DataFrame, hint: Callable[[DataFrame], DataFrame] = small) -> DataFrame:
     """The promotion of the sale's label that was on that day: of several, the latest to start, then the least id.
 
     Matches fold to one row a key by an aggregate of the promotion side only, so the fact isn't sorted for it: the
@@ -145,7 +146,7 @@ def demand_base(t: Tables, days: DataFrame, hint: Callable[[DataFrame], DataFram
     rows = attach_inventory(sales_side(t["Fact_Sales"]), t["Fact_Inventory"])
     rows = attach_dimensions(rows, t, hint).join(hint(days), "date", "left")
     rows = attach_weather(rows, t["Weather"], hint)
-    rows = attach_promotion(rows, t["Promotion"], ["date", "store_id", "product_id"], hint)
+    rows = attach_promotion(rows, t["Promotion"], hint)
     return rows.withColumns(label_flags())
 
 

@@ -19,6 +19,7 @@ from pyspark.sql.window import Window, WindowSpec
 from granary.functions.scalar import ratio
 
 
+# fixed values: default windows and thresholds here, class labels and severities in the catalogues below
 @dataclass(frozen=True)
 class FeatureConfig:
     """Windows in days, and thresholds. Windows are made ascending and distinct."""

@@ -56,7 +56,7 @@ def contracted(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def base(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = tables(spark, sf_dir)
-    return enrich.demand_base(t, enrich.calendar(t["Dim_Date"], t["Holiday"]), hint=lambda d: d)
+    return enrich.demand_base(t, enrich.calendar(t["Dim_Date"], t["Holiday"], lambda d: d), hint=lambda d: d)
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
