@@ -68,7 +68,7 @@ def test_promotion_choice(spark):
     sales = spark.sql("select date'2024-01-05' as date, 'S' as store_id, 'P' as product_id, 'X' as sales_promotion union all select date'2024-03-05', 'S', 'P', 'X' union all select date'2024-01-05', 'S', 'Q', null")
     promos = spark.sql("""select * from values ('P1', 'X', date'2024-01-01', date'2024-01-31', 0.1D), ('P3', 'X', date'2024-01-04', date'2024-01-06', 0.3D),
       ('P2', 'X', date'2024-01-04', date'2024-01-05', 0.2D) as t(promotion_id, promotion_name, start_date, end_date, discount_pct)""")
-    got = enrich.attach_promotion(sales, promos, ["date", "store_id", "product_id"]).orderBy("date", "product_id")
+    got = enrich.attach_promotion(sales, promos).orderBy("date", "product_id")
     assert [(r.promotion_id, r.promotion_discount_pct) for r in got.collect()] == [("P2", 0.2), (None, None), (None, None)]
 
 
