@@ -604,6 +604,21 @@ def test_languages_of_held_out_texts(spark):
     assert langid.predict(df.limit(0), model).count() == 0
 
 
+def test_languages_of_ties_repeats_and_long_texts(spark):
+    docs = [(k, "kati mone kati" if k % 2 else "schung berpf", "x" if k % 2 else "y") for k in range(200)]
+    model = langid.train(spark.createDataFrame(docs, "doc_id long, text string, lang string"))
+    asked = [(1, "kati"), (1, "kati"), (2, "kati schung " * 100_000), (3, "kati " * 200_000 + "schung " * 100_000), (4, "q"), (5, "k" * 300_000)]
+    df = spark.createDataFrame(asked, "doc_id long, text string").withColumns({"lang": F.lit("z"), "lang_pred": F.lit(0), "place": F.lit(1)})
+    got = [(r.doc_id, r.lang_pred, r.score) for r in langid.predict(df, model).collect()]
+    assert len(got) == 6 and len({g for g in got if g[0] == 1}) == 1 and all(g[1] in ("x", "y") and 0 <= g[2] <= 1 for g in got)
+    of = {g[0]: g for g in got}
+    assert of[3][1] == "x" and of[3][2] == pytest.approx(2 / 3, abs=0.01) and of[2][2] == pytest.approx(0.5, abs=0.05)
+    # equal sums: the first in code point order
+    flat = langid.fit(["ab", "ab"], ["y", "x"])
+    tie = langid.predict(spark.createDataFrame([(1, "zz")], "doc_id long, text string"), flat).first()
+    assert tie.lang_pred == "x" and tie.score == pytest.approx(0.5, abs=0.05)
+
+
 def test_words_of_a_mixed_text_switch_where_it_does():
     texts = ["kati mone kati tine moka", "schung berpf ungsch pfber schber"] * 40
     m = langid.fit(texts, ["x", "y"] * 40)

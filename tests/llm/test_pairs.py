@@ -174,3 +174,12 @@ def test_near_vectors_equal_brute_force(spark):
         got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in near_vectors.near_duplicates(df, block=block).collect()}
         assert got == {k: (links[k], f.root(k), f.root(k) == k) for k in links}
     assert sum(links.values()) > 1000
+
+
+def test_repeated_vector_ids(spark):
+    """Each row is a vector: equal ones link, others of one id don't."""
+    v = [1.0, 0.0, 0.0]
+    rows = [(1, v, 1), (1, v, 1), (2, v, 1), (3, [0.0, 1.0, 0.0], 1), (3, [0.0, 0.0, 1.0], 1), (None, v, 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").withColumns({"copies": F.lit("x"), "block": F.lit(1)})
+    got = sorted((str(r.vec_id), r.n_links, r.component_id, r.kept) for r in near_vectors.near_duplicates(df).collect())
+    assert got == sorted([("1", 3, 1, True)] * 2 + [("2", 3, 1, False), ("None", 3, 1, False)] + [("3", 0, 3, True)] * 2)
