@@ -614,9 +614,12 @@ def test_languages_of_ties_repeats_and_long_texts(spark):
     of = {g[0]: g for g in got}
     assert of[3][1] == "x" and of[3][2] == pytest.approx(2 / 3, abs=0.01) and of[2][2] == pytest.approx(0.5, abs=0.05)
     # equal sums: the first in code point order
-    flat = langid.fit(["ab", "ab"], ["y", "x"])
+    flat = langid.fit(["ab", "cd"], ["y", "x"])
+    for value in vars(flat).values():
+        if isinstance(value, np.ndarray) and value.dtype.kind == "f":
+            value[...] = 0
     tie = langid.predict(spark.createDataFrame([(1, "zz")], "doc_id long, text string"), flat).first()
-    assert tie.lang_pred == "x" and tie.score == pytest.approx(0.5, abs=0.05)
+    assert tie.lang_pred == "x" and tie.score == pytest.approx(0.5)
 
 
 def test_words_of_a_mixed_text_switch_where_it_does():
