@@ -64,8 +64,11 @@ def minimax_cuts(sizes: np.ndarray, shards: int) -> tuple[list[int], int]:
     return greedy_cuts(prefix, low, shards), low
 
 
-def open_units(sizes: np.ndarray, single: np.ndarray, low: int, high: int, shards: int) -> np.ndarray:
-    """Whether each unit isn't a single group and may hold a cut of a greedy walk at a capacity from ``low`` to ``high``."""
+def open_runs(sizes: np.ndarray, single: np.ndarray, low: int, high: int, shards: int) -> list[tuple[int, int]]:
+    """Runs of units (first, last) that may hold a cut of a greedy walk at a capacity from ``low`` to ``high``; about one a cut.
+
+    A run begins and ends with a unit of several groups; single groups between them belong to it.
+    """
     prefix = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
     out = np.zeros(len(sizes), bool)
     first = last = 0
@@ -74,7 +77,9 @@ def open_units(sizes: np.ndarray, single: np.ndarray, low: int, high: int, shard
         first = max(first, int(np.searchsorted(prefix, prefix[first] + low, "right")) - 1)
         last = min(int(np.searchsorted(prefix, prefix[last] + high, "right")), len(sizes))
         out[first : last + 1] = True
-    return out & ~single
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], out.astype(np.int8), [0]])))
+    inner = [a + np.flatnonzero(~single[a:b]) for a, b in zip(edges[::2], edges[1::2], strict=True)]
+    return [(int(x[0]), int(x[-1])) for x in inner if len(x)]
 
 
 def bounds(groups: DataFrame, shards: int, *, cells: int = CELLS, split: int = SPLIT, most_groups: int = MOST_GROUPS) -> tuple[list[int], int]:
@@ -93,18 +98,16 @@ def bounds(groups: DataFrame, shards: int, *, cells: int = CELLS, split: int = S
         sizes, single = known[:, 1], known[:, 2] == 1
         _, high = minimax_cuts(sizes, shards)
         low = int(max(known[:, 3].max(initial=0), -(-int(sizes.sum()) // shards)))
-        wanted = open_units(sizes, single, low, high, shards)
-        if not wanted.any():
+        runs = open_runs(sizes, single, low, high, shards)
+        if not runs:
             break
+        wanted = np.zeros(len(known), bool)
+        for first, last in runs:
+            wanted[first : last + 1] = True
         chosen, n = known[wanted], int(known[wanted, 2].sum())
         shift = 0 if n <= most_groups else max(0, int(chosen[:, 4].max()) - step)
-        # neighbours make one condition: about one for each cut
-        ranges: list[list[int]] = []
-        for start, of in zip(chosen[:, 0].tolist(), chosen[:, 4].tolist(), strict=True):
-            if ranges and ranges[-1][1] + 1 == start:
-                ranges[-1][1] = start + (1 << of) - 1
-            else:
-                ranges.append([start, start + (1 << of) - 1])
+        # nothing lies in the empty ranges within a run
+        ranges = [(int(known[first, 0]), int(known[last, 0]) + (1 << int(known[last, 4])) - 1) for first, last in runs]
         inside = reduce(or_, [F.col("g").between(a, b) for a, b in ranges])
         finer = units(groups.where(inside), shift)
         known = np.concatenate([known[~wanted], finer])

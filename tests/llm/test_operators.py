@@ -9,6 +9,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -332,6 +333,18 @@ def test_bounds_equal_a_search_over_groups(spark, cells, split, most_groups):
         groups.unpersist()
 
 
+def test_cuts_lie_in_few_runs_however_sparse_the_ranges(spark):
+    """Most ranges are single groups or empty, and large groups leave the place of every cut open."""
+    r = np.random.default_rng(2)
+    g = np.unique(r.integers(-(2**63), 2**63 - 1, 30_000))
+    sizes = np.where(r.random(len(g)) < 0.001, 200_000, 100)
+    groups = spark.createDataFrame(pd.DataFrame({"g": g, "size": sizes})).cache()
+    starts, capacity = sharding.bounds(groups, 16)
+    cuts, best = sharding.minimax_cuts(sizes, 16)
+    assert capacity == best and np.searchsorted(starts, g, "right").tolist() == np.searchsorted(cuts, np.arange(len(g)), "right").tolist()
+    groups.unpersist()
+
+
 @pytest.mark.parametrize("hot", [False, True])
 def test_shards(spark, corpus, hot):
     docs = corpus.union(corpus.sparkSession.range(2500).selectExpr("id + 10000", "'the same'", "null", "null", "-1")) if hot else corpus
