@@ -83,6 +83,48 @@ select d.doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit,
 from worded d left join hits h on h.doc_id = d.doc_id left join named m on m.doc_id = d.doc_id left join near on near.doc_id = d.doc_id"""
 
 
+_RANKED = f"""with docs as (select doc_id, {_words("text", _ALNUM)} as w from documents),
+counted as (select doc_id, term, count(*) as tf from (select doc_id, unnest(w) as term from docs) group by doc_id, term),
+whole as (select count(*) as n, cast(sum(len(w)) as bigint) as l from docs where len(w) > 0),
+held as (select term, count(*) as df from counted group by term),
+weighed as (select term, cast(floor(1000 * ln((2 * n + 2) / (2 * df + 1))) as bigint) as weight from held, whole),
+long as (select doc_id, 25 + (75 * len(w) * n) // l as m from docs, whole where len(w) > 0),
+asked as (select item_id, unnest({_words("text", _ALNUM)}) as term from benchmark),
+scored as (select item_id, c.doc_id, cast(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * m))) as bigint) as score
+  from asked a join counted c on c.term = a.term join weighed w on w.term = a.term join long on long.doc_id = c.doc_id group by item_id, c.doc_id),
+ranked as (select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from scored where score > 0)
+select item_id, cast(rank as int) as rank, doc_id, score from ranked where rank <= 10"""
+
+# the 256 remainders of CRC-32 by shifting, then one byte of each distinct word a step
+_DRAWN = f"""with recursive docs as (select doc_id, {_words("text", _ALNUM)} as w from documents),
+listed as (select doc_id, unnest(w) as word from docs), aimed as (select unnest({_words("text", _ALNUM)}) as word from benchmark),
+shifted(b, k, c) as (select i, 0, i from range(256) t(i) union all select b, k + 1, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end from shifted where k < 8),
+remainder as (select b, c from shifted where k = 8),
+spelled as (select word, hex(encode(word)) as x from (select distinct word from (select word from listed union all select word from aimed))),
+state(word, x, p, c) as (select word, x, 0, 4294967295 from spelled union all
+  select word, x, p + 1, xor(s.c >> 8, r.c) from state s join remainder r on r.b = xor(s.c, cast('0x' || substr(s.x, 2 * s.p + 1, 2) as bigint)) & 255 where 2 * s.p < length(s.x)),
+coded as (select word, xor(c, 4294967295) % 10000 as bucket from state where 2 * p = length(x)),
+s as (select bucket, count(*) as n from listed join coded using (word) group by bucket), t as (select bucket, count(*) as n from aimed join coded using (word) group by bucket),
+gained as (select bucket, cast(floor(1000 * ln((coalesce(t.n, 0) + 1)::double * ((select count(*) from listed) + 10000)::double
+  / ((s.n + 1)::double * ((select count(*) from aimed) + 10000)::double))) as bigint) as gain from s left join t using (bucket)),
+weighed as (select doc_id, cast(sum(gain) as bigint) as weight from listed join coded using (word) join gained using (bucket) group by doc_id),
+scored as (select doc_id, cast(len(w) as bigint) as n_features, coalesce(weight, 0) as weight, coalesce(weight, 0) + cast(floor(-1000 * ln(-ln(
+  (cast('0x' || substr(sha256('2024:' || cast(doc_id as varchar)), 1, 8) as bigint) + 0.5::double) / 4294967296))) as bigint) as score from docs left join weighed using (doc_id)),
+placed as (select *, row_number() over (order by n_features < 20, score desc, doc_id) as place from scored)
+select doc_id, n_features, weight, score, case when place <= (select count(*) * 10 // 100 from scored where n_features >= 20) then place end as rank from placed"""
+
+_CUT = f"""with docs as (select doc_id, regexp_extract_all(coalesce(text, ''), '{_BLANK}') as w from documents),
+listed as (select doc_id, unnest(w) as word, unnest(range(len(w))) as p, len(w) as n from docs),
+runs as (select doc_id, p, n, string_agg(word, ' ') over (partition by doc_id order by p rows between current row and 12 following) as run from listed qualify p <= n - 13),
+first as (select run, min(doc_id) as d from runs group by run),
+gone as (select distinct doc_id, unnest(range(p, p + 13)) as p from runs join first using (run) where d < doc_id),
+marked as (select l.*, g.p is not null as out from listed l left join gone g on g.doc_id = l.doc_id and g.p = l.p),
+spanned as (select doc_id, count(distinct island) as n_spans from (select doc_id, p - row_number() over (partition by doc_id order by p) as island from marked where out) group by doc_id),
+kept as (select doc_id, count(*) filter (where out) as n_removed, string_agg(word, ' ' order by p) filter (where not out) as kept from marked group by doc_id)
+select d.doc_id, cast(len(w) as bigint) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256, coalesce(n_spans, 0) as n_spans
+from docs d left join kept k on k.doc_id = d.doc_id left join spanned s on s.doc_id = d.doc_id"""
+
+
 def oracle_sql(listed: str) -> dict[str, str]:
     listed = listed.strip()
     at = listed.rindex("select distinct kind")
@@ -92,4 +134,7 @@ def oracle_sql(listed: str) -> dict[str, str]:
         "op7_grid_order_near_vectors": _VECTORS,
         "op8_chosen_path_near_duplicates": _TEXTS,
         "op9_positional_decontamination": _PASSAGES,
+        "op11_lexical_product": _RANKED,
+        "op12_importance_resample": _DRAWN,
+        "op13_repeated_windows": _CUT,
     }

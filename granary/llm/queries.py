@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from granary.llm import decontaminate, langid, license_scan, mixing, near_text, near_vectors, oracles, pitman_yor, secrets, sharding, url_lists
+from granary.llm import decontaminate, langid, lexical, license_scan, mixing, near_text, near_vectors, oracles, pitman_yor, repeats, resample, secrets, sharding, url_lists
 from granary.llm.session import ship, training
 
 
@@ -100,6 +100,24 @@ def op10_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).select("doc_id", held, "lang_pred", "score")
 
 
+def op11_lexical_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    index = lexical.build_index(table(spark, sf_dir, "documents"))
+    return lexical.search(index, table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op12_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    drawn = resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    found = repeats.removed(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"), F.size("spans").cast("long").alias("n_spans"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     operators = (
         op1_pitman_yor_score,
@@ -112,6 +130,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_chosen_path_near_duplicates,
         op9_positional_decontamination,
         op10_crf_language,
+        op11_lexical_product,
+        op12_importance_resample,
+        op13_repeated_windows,
     )
     return {f.__name__: f for f in operators} | {"pipeline": corpus_pipeline.run}
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import io
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -37,21 +38,33 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` with its lineage cut by files in the folder of ``spark.checkpoint.dir``, which outlive executors.
+def shared_folder(spark: SparkSession) -> str:
+    """This application's part of the folder of ``spark.checkpoint.dir``, which outlives executors.
 
     Only where the setting is absent and Spark runs on one machine (tests) a folder is chosen here.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if not folder and not context._jsc.sc().isLocal():
             raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="granary-"))
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` with its lineage cut by files in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet in the shared folder and read again: later reads take only the columns they need."""
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def release(spark: SparkSession) -> None:
     """Lets Spark delete shuffle and checkpoint files of plans that nothing refers to any more.
 

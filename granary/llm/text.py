@@ -101,10 +101,10 @@ def slices(offsets: np.ndarray, most: int = SLICE_BYTES):
         i = j
 
 
-def words(data: np.ndarray, offsets: np.ndarray, member: np.ndarray = BLANK_SPLIT) -> Words:
-    """Words of texts that lie in ``data`` between ``offsets`` (from 0), A-Z lower-cased."""
+def words(data: np.ndarray, offsets: np.ndarray, member: np.ndarray = BLANK_SPLIT, *, fold: bool = True) -> Words:
+    """Words of texts that lie in ``data`` between ``offsets`` (from 0), A-Z lower-cased unless ``fold`` is false."""
     n = len(offsets) - 1
-    low = _LOWER[data]
+    low = _LOWER[data] if fold else data
     if not len(low):
         none = np.zeros(0, np.int64)
         return Words(low, none.astype(np.uint64), none, none, none, np.zeros(n, np.int64))
@@ -155,6 +155,37 @@ def windows(w: Words, width: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray
     return runs, of
 
 
+def rolling(w: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rabin-Karp hashes of all runs of ``width`` words within a text, and each run's first word by number.
+
+    The polynomial of a run comes from two prefix sums, so the cost doesn't depend on the width.
+    """
+    n = len(w.hash)
+    if n < width:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    with np.errstate(over="ignore"):
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(w.hash * _power("m", n), out=sums[1:])
+        runs = mix((sums[width:] - sums[:-width]) * _power("inv", n)[: n - width + 1])
+    at = np.flatnonzero(w.text[: n - width + 1] == w.text[width - 1 :])
+    return runs[at], at
+
+
+def planes(values: np.ndarray) -> bytes:
+    """``pack`` with all values' first bytes before their second ones: for numbers of few significant bytes."""
+    return pack(np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T)
+
+
+def unplanes(raw: bytes, kind) -> np.ndarray:
+    return np.ascontiguousarray(unpack(raw, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def lowered(column: pa.Array) -> pa.Array:
+    """The column with A-Z lower-cased; nulls are empty."""
+    data, offsets = buffers(column)
+    return pa.Array.from_buffers(pa.large_string(), len(offsets) - 1, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(_LOWER[data].tobytes())])
+
+
 def pack(values: np.ndarray) -> bytes:
     """An array as compressed bytes; ``unpack`` gives it back."""
     raw = np.ascontiguousarray(values).tobytes()
