@@ -7,8 +7,8 @@ DataFrame expressions: one pass that pre-aggregates sizes by source, then one
 that joins the (few) rates back; documents themselves are never shuffled when
 the rates fit the broadcast bound.
 
-Defined cases: a null text has size 0; null is a source of its own; rows that
-repeat are taken the same number of times each; a source or table without words
+Defined cases: a null text has size 0; null is a source of its own; rows without
+an id draw by their text; rows that repeat are taken the same number of times each; a source or table without words
 gets rate 0; an empty table gives an empty result. Only columns named here are
 read, and added ones replace columns of the same name.
 """
@@ -80,7 +80,9 @@ def mix(
     clash = [c for c in ("source_size", "target", "rate", "copies") if c in docs.columns]
     joined = sized.drop(*clash).join(key, F.col(source).eqNullSafe(F.col("__source")), "left").drop("__source")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    draw = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(doc_id).cast("string"))), 1, 8), 16, 10).cast("double") / float(1 << 32)
+    # texts without an id have a draw of their own
+    of = F.coalesce(F.col(doc_id).cast("string"), F.concat(F.lit("text "), F.md5(F.coalesce(F.col(text), F.lit("")))))
+    draw = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), of)), 1, 8), 16, 10).cast("double") / float(1 << 32)
     return joined.withColumn("rate", rate).withColumn(
         "copies", (F.floor("rate") + F.when(draw < F.col("rate") - F.floor("rate"), 1).otherwise(0)).cast("int")
     )
