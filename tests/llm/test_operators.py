@@ -38,10 +38,43 @@ def test_draw_follows_the_seating_weights():
     assert np.allclose(np.bincount(t, minlength=c + 1)[1:] / 100_000, weight / weight.sum(), atol=0.01)
 
 
-@pytest.mark.parametrize("a", [0.05, 0.7, 3.0, 50.0])
-def test_large_counts_continue_the_exact_draw(a):
-    mean = lambda c: pitman_yor.draw(np.full(20_000, c), np.full(20_000, a), 0.6, np.random.default_rng(1)).mean()
-    assert mean(pitman_yor.EXACT + 1) == pytest.approx(mean(pitman_yor.EXACT), rel=0.04)
+def seating_weights(d, c):
+    """log S(c, t) for t from 1 to c, by the recursion."""
+    s = np.full(c + 2, -np.inf)
+    s[0] = 0
+    for n in range(c):
+        t = np.arange(1, n + 2)
+        with np.errstate(divide="ignore"):
+            new = np.logaddexp(s[t - 1], s[t] + np.log(np.maximum(n - t * d, 0)))
+        s[0], s[t] = -np.inf, new
+    return s[1 : c + 1]
+
+
+@pytest.mark.parametrize("c", [97, 290, 1000, 9000])
+@pytest.mark.parametrize("d", [0.1, 0.3, 0.5, 0.71, 0.88, 0.95])
+@pytest.mark.filterwarnings("error")
+def test_many_customers_follow_the_seating_weights(d, c):
+    """From next to one table to next to one a customer: mean and deviation within a twentieth, as far as a sample can tell."""
+    log_s, t, n = seating_weights(d, c), np.arange(1, c + 1), 40_000
+    share = np.array([1e-6, 1e-4, 1e-3, 1e-2, 0.03, 0.1, 0.3, 0.5, 1, 1.1, 3, 10, 1e3])
+    drawn = pitman_yor.draw(np.full((n, len(share)), c).T.ravel(), np.repeat(share * c, n), d, np.random.default_rng(1)).reshape(-1, n)
+    assert drawn.min() >= 1 and drawn.max() <= c
+    for a, got in zip(share * c, drawn, strict=True):
+        weight = np.exp(log_s + t * np.log(a) - (log_s + t * np.log(a)).max())
+        weight /= weight.sum()
+        mean = (weight * t).sum()
+        deviation = np.sqrt((weight * (t - mean) ** 2).sum())
+        assert got.mean() == pytest.approx(mean, rel=0.05)
+        assert got.std() == pytest.approx(deviation, rel=max(0.06, 5 / np.sqrt(n) / deviation))
+
+
+@pytest.mark.filterwarnings("error")
+def test_draws_of_mixed_customers_are_valid():
+    r = np.random.default_rng(2)
+    c = np.concatenate([np.arange(300), (10 ** r.uniform(2, 10, 3000)).astype(np.int64)])
+    for d in (0.1, 0.3, 0.71, 0.95):
+        for t in (pitman_yor.draw(c, c * 10 ** r.uniform(-9, 4, len(c)) + 1e-9, d, r) for _ in range(2)):
+            assert (t[c > 0] >= 1).all() and (t <= c).all() and t[0] == 0
 
 
 def test_base_scores_and_model(spark, corpus):
@@ -287,6 +320,14 @@ def test_draws_come_near_their_targets(spark):
     assert all(abs(r.taken / r.target - 1) < 0.05 for r in taken.collect())
 
 
+def test_texts_without_ids_draw_for_themselves(spark):
+    """Two sources of null ids alone, and of few words: what is taken comes near the targets."""
+    docs = [(None, f"own{k} " * (1 + k % 19), "a") for k in range(3000)] + [(k, "some words here", "b") for k in range(2000)] + [(None, f"x{k} y", "c") for k in range(3000)]
+    mixed = mixing.mix(spark.createDataFrame(docs, "doc_id long, text string, source string"))
+    for r in mixed.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("taken"), F.first("target").alias("target")).collect():
+        assert r.taken == pytest.approx(r.target, rel=0.05)
+
+
 # --- sharding
 
 
