@@ -15,9 +15,10 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from granary.functions.scalar import same, snake, trimmed
+from granary.operators.sizes import small
 
-#: Rows up to which a dimension is broadcast (some 200 bytes each).
-SMALL_ROWS = 100_000
+#: Days of the wider of the two bins that offers are filed in.
+BIN_DAYS = 32
 
 Tables = dict[str, DataFrame]
 
@@ -34,11 +35,6 @@ def clean(rows: DataFrame) -> DataFrame:
     )
 
 
-def small(df: DataFrame, most: int = SMALL_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``most`` rows; counting stops there."""
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
-
-
 def calendar(dates: DataFrame, holidays: DataFrame, hint: Callable[[DataFrame], DataFrame] = small) -> DataFrame:
     """Dates with holiday_name, is_holiday and the days since the previous and to the next holiday.
 
@@ -108,24 +104,43 @@ def attach_weather(rows: DataFrame, weather: DataFrame, hint: Callable[[DataFram
     return rows.join(hint(side), ["date", "store_city"], "left")
 
 
-def attach_promotion(rows: DataFrame, promotions: DataFrame, hint: Callable[[DataFrame], DataFrame] = small) -> DataFrame:
+def offer_bins(promotions: DataFrame, width: int = BIN_DAYS) -> tuple[DataFrame, DataFrame]:
+    """Of each label, the first offer of every single day, and of every whole bin of ``width`` days, that some offer covers.
+
+    An offer is filed under the bins that it covers whole and the days left at its ends, so under few entries however long
+    it is; of each entry the offer that is latest to start, then of the least id, is found by an aggregate that combines
+    before the shuffle. A label's offers never meet in one row or task.
+    """
+    first, last = F.unix_date("start_date"), F.unix_date("end_date")
+    offer = F.struct((-first).alias("rank"), "promotion_id", "start_date", "end_date", F.col("discount_pct").alias("promotion_discount_pct"))
+    whole_first, whole_last = F.ceil(first / width).cast("int"), (F.floor((last + 1) / width) - 1).cast("int")
+    some = whole_first <= whole_last
+    span = lambda a, b: F.when(a <= b, F.sequence(a, b)).otherwise(F.array().cast("array<int>"))
+    days = F.when(some, F.concat(span(first, whole_first * width - 1), span((whole_last + 1) * width, last))).otherwise(span(first, last))
+    usable = promotions.where("promotion_name is not null and start_date <= end_date")
+
+    def best(entries: Column) -> DataFrame:
+        filed = usable.select("promotion_name", F.explode(entries).alias("bin"), offer.alias("offer"))
+        return filed.groupBy("promotion_name", "bin").agg(F.min("offer").alias("offer"))
+
+    return best(days), best(F.when(some, span(whole_first, whole_last)))
+
+
+def attach_promotion(rows: DataFrame, promotions: DataFrame, hint: Callable[[DataFrame], DataFrame] = small, width: int = BIN_DAYS) -> DataFrame:
     """The promotion of the sale's label that was on that day: of several, the latest to start, then the least id.
 
-    Matches fold to one row a key by an aggregate of the promotion side only, so the fact isn't sorted for it: the
-    promotions of a label, few in number, become an array that each sale filters.
+    A sale meets at most one offer filed under its day and one filed under its bin, so the fact is neither multiplied
+    nor sorted, however many offers its label has.
     """
-    offer = F.struct(
-        (-F.unix_date("start_date")).alias("rank"), "promotion_id", "start_date", "end_date", F.col("discount_pct").alias("promotion_discount_pct")
-    )
-    by_name = promotions.where("promotion_name is not null and start_date is not null and end_date is not null").groupBy("promotion_name").agg(
-        F.array_sort(F.collect_list(offer)).alias("__offers")
-    )
-    on = F.filter("__offers", lambda x: F.col("date").between(x["start_date"], x["end_date"]))
-    joined = rows.join(hint(by_name), F.col("sales_promotion") == F.col("promotion_name"), "left").withColumn("__offer", F.get(on, F.lit(0)))
+    joined, day = rows, F.unix_date("date")
+    for name, table, at in zip(("__by_day", "__by_bin"), offer_bins(promotions, width), (day, F.floor(day / width)), strict=True):
+        side = table.select(F.col("promotion_name").alias(f"{name}_label"), F.col("bin").alias(f"{name}_at"), F.col("offer").alias(name))
+        joined = joined.join(hint(side), (F.col("sales_promotion") == F.col(f"{name}_label")) & (at == F.col(f"{name}_at")), "left")
+    joined = joined.withColumn("__offer", F.least("__by_day", "__by_bin"))
     found = F.col("__offer").isNotNull()
     return joined.select(
         *rows.columns,
-        F.when(found, F.col("promotion_name")).alias("promotion_name"),
+        F.when(found, F.col("sales_promotion")).alias("promotion_name"),
         *[F.col(f"__offer.{c}").alias(c) for c in ("promotion_id", "start_date", "end_date", "promotion_discount_pct")],
     )
 

@@ -10,6 +10,7 @@ Demand of the day itself never enters a history window.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -17,6 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
 from granary.functions.scalar import ratio
+from granary.operators import slices
+from granary.operators.sizes import small
 
 
 # fixed values: default windows and thresholds here, class labels and severities in the catalogues below
@@ -53,36 +56,46 @@ class FeatureConfig:
             raise ValueError("; ".join(problems))
 
 
+    @property
+    def reach(self) -> int:
+        """Days that a feature of a product's own history looks back at most."""
+        return max(*self.lags, *self.rolling, self.abc_days, self.xyz_days)
+
+
 Features = dict[str, Column]
-def _own() -> WindowSpec:
-    return Window.partitionBy("store_id", "product_id").orderBy("__day")
+Key = tuple[str, ...]
+KEY: Key = ("store_id", "product_id")
+
+
+def _own(key: Key) -> WindowSpec:
+    return Window.partitionBy(*key).orderBy("__day")
 
 
-def _past(days: int) -> WindowSpec:
-    return _own().rangeBetween(-days, -1)
+def _past(days: int, key: Key) -> WindowSpec:
+    return _own(key).rangeBetween(-days, -1)
 
 
-def lag_features(c: FeatureConfig) -> Features:
+def lag_features(c: FeatureConfig, key: Key = KEY) -> Features:
     """The value n rows back where that row is exactly n days old: no day between is missing."""
-    gap = lambda n: F.col("__day") - F.lag("__day", n).over(_own())
-    return {f"{x}_lag_{n}d": F.when(gap(n) == n, F.lag(x, n).over(_own())) for n in c.lags for x in ("units_sold", "revenue")}
+    gap = lambda n: F.col("__day") - F.lag("__day", n).over(_own(key))
+    return {f"{x}_lag_{n}d": F.when(gap(n) == n, F.lag(x, n).over(_own(key))) for n in c.lags for x in ("units_sold", "revenue")}
 
 
-def _history(prefix: tuple[str, str, str], days: int) -> Features:
-    units = F.col("units_sold")
-    return dict(zip(prefix, (F.count(units).over(_past(days)), F.avg(units).over(_past(days)), F.stddev_samp(units).over(_past(days))), strict=True))
+def _history(prefix: tuple[str, str, str], days: int, key: Key) -> Features:
+    units, past = F.col("units_sold"), _past(days, key)
+    return dict(zip(prefix, (F.count(units).over(past), F.avg(units).over(past), F.stddev_samp(units).over(past)), strict=True))
 
 
-def rolling_features(c: FeatureConfig) -> Features:
+def rolling_features(c: FeatureConfig, key: Key = KEY) -> Features:
     out: Features = {}
     for w in c.rolling:
-        out |= _history((f"demand_observation_count_{w}d", f"units_sold_rolling_mean_{w}d", f"units_sold_rolling_std_{w}d"), w)
+        out |= _history((f"demand_observation_count_{w}d", f"units_sold_rolling_mean_{w}d", f"units_sold_rolling_std_{w}d"), w, key)
     return out
 
 
-def lookback_features(c: FeatureConfig) -> Features:
+def lookback_features(c: FeatureConfig, key: Key = KEY) -> Features:
     names = tuple(f"xyz_{x}_{c.xyz_days}d" for x in ("observation_count", "demand_mean", "demand_std"))
-    return {f"abc_revenue_{c.abc_days}d": F.sum("revenue").over(_past(c.abc_days))} | _history(names, c.xyz_days)
+    return {f"abc_revenue_{c.abc_days}d": F.sum("revenue").over(_past(c.abc_days, key))} | _history(names, c.xyz_days, key)
 
 
 def portfolio_features(c: FeatureConfig) -> Features:
@@ -196,15 +209,26 @@ def history(rows: DataFrame, c: FeatureConfig, *catalogues: Features) -> DataFra
     return rows.select("*", F.unix_date("date").alias("__day")).select("*", *[v.alias(k) for k, v in wanted.items()])
 
 
-def demand_features(rows: DataFrame, c: FeatureConfig | None = None, store_partitions: int | None = None) -> DataFrame:
+def own_history(rows: DataFrame, c: FeatureConfig, *makers: Callable[[FeatureConfig, Key], Features], most_rows: int | None = None) -> DataFrame:
+    """``rows`` with the features that ``makers`` give; with ``most_rows``, keys of more rows are windowed in slices of about as many."""
+    if most_rows is None:
+        return history(rows, c, *[make(c, KEY) for make in makers])
+    dealt = slices.deal(rows, KEY, c.reach, small(slices.ranges(rows, KEY, most_rows, c.reach)))
+    return history(dealt, c, *[make(c, (*KEY, "__slice")) for make in makers]).where("__home").drop("__slice", "__home")
+
+
+HISTORY = (lag_features, rolling_features, lookback_features)
+
+
+def demand_features(rows: DataFrame, c: FeatureConfig | None = None, store_partitions: int | None = None, most_rows: int | None = None) -> DataFrame:
     """All features of a demand base.
 
     ``store_partitions`` deals rows by store first, which serves every later window without another shuffle; it pays
-    where there are at least twice as many stores as cores.
+    where there are at least twice as many stores as cores. ``most_rows`` slices the history of larger keys.
     """
     c = c or FeatureConfig()
     rows = rows.repartition(store_partitions, "store_id") if store_partitions else rows
-    own = history(rows, c, lag_features(c), rolling_features(c), lookback_features(c))
+    own = own_history(rows, c, *HISTORY, most_rows=most_rows)
     shared = own.select("*", *[v.alias(k) for k, v in portfolio_features(c).items()])
     plain = (cycle_features(), holiday_features(), weather_features(), promotion_features(), competitor_features(c), inventory_features(c), class_features(c))
     return shared.select("*", *[v.alias(k) for part in plain for k, v in part.items()]).drop("__day", "__better")

@@ -115,12 +115,12 @@ def failures(named: Rules, only: Column | None = None) -> dict[str, Column]:
     return {name: F.count_if(some & F.coalesce(violation, F.lit(True))) for name, violation in named.items()}
 
 
-def report(rows: DataFrame, table: str, named: Rules) -> DataFrame:
-    """table, rule, severity, failed_rows of the rules that fail, from one pass over ``rows``."""
-    counted = rows.agg(*[c.alias(f"r{k}") for k, c in enumerate(failures(named).values())])
+def report(rows: DataFrame, table: str, named: Rules, n_rows: bool = False) -> DataFrame:
+    """table, rule, severity, failed_rows of the rules that fail, and ``n_rows`` if asked for, from one pass over ``rows``."""
+    counted = rows.agg(*[c.alias(f"r{k}") for k, c in enumerate(failures(named).values())], F.count("*").alias("n_rows"))
     pairs = F.array(*[F.struct(F.lit(n).alias("rule"), F.col(f"r{k}").alias("failed_rows")) for k, n in enumerate(named)])
-    each = counted.select(F.explode(pairs).alias("x")).where("x.failed_rows > 0")
-    return each.select(F.lit(table).alias("table"), "x.rule", F.lit("ERROR").alias("severity"), "x.failed_rows")
+    each = counted.select("n_rows", F.explode(pairs).alias("x")).where("x.failed_rows > 0")
+    return each.select(F.lit(table).alias("table"), "x.rule", F.lit("ERROR").alias("severity"), "x.failed_rows", *["n_rows"] * n_rows)
 
 
 def verdict(found: dict[str, int], table: str) -> str | None:

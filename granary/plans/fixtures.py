@@ -113,13 +113,6 @@ FIXTURES = {
         select cast(ts as date) as date, concat('S00', cast(user_id % 5 as string)) as store_id, event_type as product_id,
           count(*) as units_sold, sum(cast(value as decimal(18, 2))) as revenue
         from {events} group by cast(ts as date), concat('S00', cast(user_id % 5 as string)), event_type""",
-    "days_1996": "select distinct date from {fact} where date between date '1996-01-01' and date '1996-12-31'",
-    # every day of 1996 for every key, zero where nothing was sold
-    "dense_fact": """
-        select d.date, k.store_id, k.product_id, coalesce(f.units_sold, cast(0 as bigint)) as units_sold,
-          coalesce(f.revenue, cast(0 as decimal(18, 2))) as revenue
-        from {days_1996} d cross join (select distinct store_id, product_id from {priced}) k
-          left join {priced} f on f.date = d.date and f.store_id = k.store_id and f.product_id = k.product_id""",
     "all_days": "select SPAN(least_date, greatest_date) as date from (select min(date) as least_date, max(date) as greatest_date from {fact}) x",
     # every day from the fact's first to its last for every key, zero where nothing was sold
     "dense_whole": """
@@ -127,6 +120,22 @@ FIXTURES = {
           coalesce(f.revenue, cast(0 as decimal(18, 2))) as revenue
         from {all_days} d cross join (select distinct store_id, product_id from {priced}) k
           left join {priced} f on f.date = d.date and f.store_id = k.store_id and f.product_id = k.product_id""",
+    # order lines as sales, half of them of one store and product
+    "skewed": """
+        select cast(l_shipdate as date) as date, 'S000' as store_id, case when l_orderkey % 2 = 0 then 'P00000' else concat('P', lpad(cast(l_partkey % 40 as string), 5, '0')) end as product_id,
+          l_orderkey as order_key, l_linenumber as line, cast(l_quantity as bigint) as units_sold, cast(l_extendedprice as decimal(18, 2)) as revenue from {lineitem}""",
+    # an offer an order, nearly all under one label, from one day to some years long; some end before they start
+    "offers": """
+        select concat('PROMO', lpad(cast(o_orderkey as string), 9, '0')) as promotion_id, case when o_orderkey % 10 = 0 then 'Clearance' when o_orderkey % 77 = 0 then null else 'Spring' end as promotion_name,
+          cast(o_orderdate as date) as start_date, cast(o_orderdate as date) + cast(case when o_orderkey % 50 = 0 then 900 else o_orderkey % 97 - 2 end as int) as end_date,
+          cast(case when o_orderkey % 9 = 0 then null else cast(o_orderkey % 8 as double) * 0.125 end as double) as discount_pct from {orders}""",
+    "ordered_events": "select event_id, ts, user_id, event_type, cast(value as decimal(18, 2)) as amount, case when event_type = 'purchase' then event_id end as purchase from {events}",
+    # three snapshots of the customers: some gone, some changed, some new, a null key
+    "customer_days": """
+        select case when c_custkey % 500 = 7 then null else c_custkey end as customer_key, c_name as name, c_nationkey as nation, c_mktsegment as segment, date '2024-01-01' as as_of from {customer} where c_custkey % 11 <> 0 and (c_custkey % 500 <> 7 or c_custkey = 7)
+        union all select case when c_custkey % 500 = 7 then null else c_custkey end, c_name, case when c_custkey % 13 = 0 then null else c_nationkey end, case when c_custkey % 17 = 0 then 'NEW' else c_mktsegment end, date '2024-02-01'
+          from {customer} where c_custkey % 7 <> 0 and (c_custkey % 500 <> 7 or c_custkey = 507)
+        union all select c_custkey, c_name, c_nationkey, case when c_custkey % 17 = 0 then 'NEW' else c_mktsegment end, date '2024-03-01' from {customer} where c_custkey % 5 <> 0""",
     # text cells of every shape that the strict casts tell apart
     "cells": f"""
         select event_id as id, {_case("event_id % 14", "'1.0'", "' 7 '", "'1e3'", "'1.5'", "'inf'", "'NaN'", "'0x1F'", "'1d'", "'1_000'", "'-12'", "''", "'+.5'", "'9007199254740993'", other="null")} as number,

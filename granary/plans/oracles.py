@@ -189,6 +189,13 @@ _BUSINESS: dict[str, tuple[str, dict[str, str]]] = {
 }
 
 
+def _running(by: str, value: str, name: str) -> str:
+    up = f"over ({by} order by ts, event_id rows between unbounded preceding and current row)"
+    down = f"over ({by} order by ts, event_id rows between current row and unbounded following)"
+    return f"""{ctes("ordered_events")}, result as (select event_id, sum(amount) {up} as running_amount, last_value({value} ignore nulls) {up} as {name},
+      first_value(purchase ignore nulls) {down} as next_purchase from ordered_events_)"""
+
+
 _NUMBER = r"[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?"
 _CELLS = ctes("cells")
 _DOUBLE = f"case when regexp_full_match(trim(number), '{_NUMBER}') then try_cast(trim(number) as double) end"
@@ -199,12 +206,10 @@ ORACLES: dict[str, str] = {
     "rolling_demand": _on("priced"),
     "rolling_std": _on("priced"),
     "contiguous_lags": _on("event_fact"),
-    "contiguous_lags_dense": _on("dense_fact"),
     "contiguous_lags_dense_whole": _on("dense_whole"),
     "abc_class": _on("priced"),
     "abc_revenue_share": _on("priced"),
     "xyz_class": _on("priced"),
-    "volatility_segment": _on("dense_fact"),
     "volatility_segment_whole": _on("dense_whole"),
     "holiday_distance": f"{ctes('dates', 'holiday')}, {_CALENDAR}, result as (select * from calendar)",
     **dict.fromkeys(
@@ -250,12 +255,26 @@ ORACLES: dict[str, str] = {
       count(*) filter (where promotion is null and holiday is not null) as filled_values,
       count(*) filter (where promotion is null) + count(*) filter (where holiday is null) as preserved_values,
       count(*) filter (where promotion is null) as missing_promotion from sales_)""",
-    "incremental_decisions": """with result as (select table_name, stored, full_load, stored = 'none' or full_load or stored = 'changed' as load,
-      case when stored = 'none' then 'initial_load' when full_load then 'full_reload' when stored = 'same' then 'source_unchanged'
-        when table_name = 'Dim_Store' then 'changed_snapshot' else 'watermark_increment' end as reason,
-      case when stored <> 'none' and not full_load and table_name = 'Fact_Sales' then '2024-01-01' end as watermark
-      from (select unnest(['Fact_Sales', 'Dim_Store']) as table_name), (select unnest(['none', 'same', 'changed']) as stored),
-        (select unnest([true, false]) as full_load))""",
+    "rolling_hot_key": f"{ctes('skewed')}, {_windows('skewed_')}, result as (select * from own)",
+    "promotion_many_offers": f"""{ctes("sales", "offers")}, met as (select s.date, s.store_id, s.product_id, p.*, row_number() over (
+        partition by s.date, s.store_id, s.product_id order by p.start_date desc, p.promotion_id) as place
+      from sales_ s join offers_ p on s.promotion = p.promotion_name and s.date between p.start_date and p.end_date),
+      result as (select s.date, s.store_id, s.product_id, m.promotion_id, m.promotion_name, m.start_date, m.end_date, m.discount_pct as promotion_discount_pct
+        from sales_ s left join met m on m.date = s.date and m.store_id = s.store_id and m.product_id = s.product_id and m.place = 1)""",
+    "events_running": _running("", "purchase", "last_purchase"),
+    "events_running_by_type": _running("partition by event_type", "user_id", "last_user"),
+    "snapshot_difference": f"""{ctes("customer_days")}, a as (select * from customer_days_ where as_of = date '2024-01-01'), b as (select * from customer_days_ where as_of = date '2024-02-01'),
+      met as (select coalesce(a.customer_key, b.customer_key) as customer_key, a.as_of is not null as was, b.as_of is not null as is_, a.name as old_name, b.name as new_name,
+        a.nation as old_nation, b.nation as new_nation, a.segment as old_segment, b.segment as new_segment from a full join b on a.customer_key is not distinct from b.customer_key),
+      result as (select *, case when not was then 'added' when not is_ then 'removed' else 'changed' end as change from met
+        where not (was and is_ and old_name is not distinct from new_name and old_nation is not distinct from new_nation and old_segment is not distinct from new_segment))""",
+    "snapshot_history": f"""{ctes("customer_days")}, d as (select *, month(as_of) as m from customer_days_),
+      result as (select a.customer_key, a.name, a.nation, a.segment, a.as_of as valid_from, (
+          select min(x.day) from (values (date '2024-01-01'), (date '2024-02-01'), (date '2024-03-01')) x(day) where x.day > a.as_of and not exists (
+            select 1 from d b where b.as_of = x.day and b.customer_key is not distinct from a.customer_key and b.name is not distinct from a.name
+              and b.nation is not distinct from a.nation and b.segment is not distinct from a.segment)) as valid_to
+        from d a where not exists (select 1 from d b where b.m = a.m - 1 and b.customer_key is not distinct from a.customer_key and b.name is not distinct from a.name
+          and b.nation is not distinct from a.nation and b.segment is not distinct from a.segment))""",
     "format_rule": _CELLS + r", result as (select id, code is not null and not regexp_full_match(code, 'S\d{3}') as bad from cells_)",
     "strict_decimal_cast": _CELLS + f", result as (select id, {_DOUBLE} as value from cells_)",
     "strict_integer_cast": _CELLS + f""", result as (select id, case when regexp_full_match(trim(number), '[+-]?[0-9]+') then try_cast(trim(number) as bigint)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,12 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from granary.functions.scalar import blank, matches, snake, strict
-from granary.operators import dedup, enrich, features, incremental, missing, quality
+from granary.operators import dedup, enrich, features, history, incremental, missing, quality, scan
 from granary.plans import ingest
 from granary.plans.fixtures import frame
-from granary.sources.checkpoints import Checkpoint
 from granary.sources.contracts import CONTRACTS, TableSpec, column
-from granary.sources.csv import Identity
 
 #: Types of result columns: text, long, double (rounded to 6 places), boolean, date
 KINDS = {"s": "string", "l": "bigint", "d": "double", "b": "boolean", "t": "date"}
@@ -165,7 +164,7 @@ def _whole_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = None
     for table in quality.BUSINESS:
         rows = contracted(spark, sf_dir, table)
-        found = quality.report(rows, table, quality.rules(CONTRACTS[table])).withColumn("n_rows", F.lit(rows.count()))
+        found = quality.report(rows, table, quality.rules(CONTRACTS[table]), n_rows=True)
         out = found if out is None else out.union(found)
     return out
 
@@ -202,25 +201,49 @@ def _policy_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_text(spark, sf_dir, "Fact_Sales").agg(*[c.alias(k) for k, c in every.items()])
 
 
-def _decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What is loaded, for each kind of table, checkpoint, source and request."""
-    at = lambda n: Identity("p", n, n)
-    rows = []
-    for table in ("Fact_Sales", "Dim_Store"):
-        for stored in ("none", "same", "changed"):
-            for full in (False, True):
-                last = None if stored == "none" else Checkpoint(table, at(1), "2024-01-01" if CONTRACTS[table].watermark else None, "r", "now")
-                d = incremental.decide(CONTRACTS[table], at(2 if stored == "changed" else 1), last, full)
-                rows.append((table, stored, full, d.load, d.reason, d.watermark))
-    return spark.createDataFrame(rows, "table_name string, stored string, full_load boolean, load boolean, reason string, watermark string")
-
-
 def _broadcast_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The joins as curation runs them: small dimensions are counted, then broadcast."""
     t = tables(spark, sf_dir)
     return enrich.demand_base(t, enrich.calendar(t["Dim_Date"], t["Holiday"]))
 
 
+def _hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Histories of order lines, the larger keys in slices."""
+    return features.own_history(frame(spark, sf_dir, "skewed"), _C, features.rolling_features, features.lookback_features, most_rows=HOT_ROWS)
+
+
+def _many_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    built: dict[str, DataFrame] = {}
+    sales = enrich.sales_side(frame(spark, sf_dir, "sales", built))
+    return enrich.attach_promotion(sales, frame(spark, sf_dir, "offers", built), hint=lambda d: d)
+
+
+def _running_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    named = {"running_amount": "amount"}, {"last_purchase": "purchase"}, {"next_purchase": "purchase"}
+    return scan.running(frame(spark, sf_dir, "ordered_events"), ["ts", "event_id"], total=named[0], last=named[1], following=named[2])
+
+
+def _running_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Within event types, few and large, so that each lies in several ranges."""
+    return scan.running(
+        frame(spark, sf_dir, "ordered_events"), ["ts", "event_id"], by=("event_type",), total={"running_amount": "amount"}, last={"last_user": "user_id"}, following={"next_purchase": "purchase"}
+    )
+
+
+def _customers(spark: SparkSession, sf_dir: str, day: str) -> DataFrame:
+    return frame(spark, sf_dir, "customer_days").where(F.col("as_of") == F.lit(day).cast("date")).drop("as_of")
+
+
+def _customer_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return history.difference(_customers(spark, sf_dir, "2024-01-01"), _customers(spark, sf_dir, "2024-02-01"), ["customer_key"])
+
+
+def _customer_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return history.validity(frame(spark, sf_dir, "customer_days"), ["customer_key"], "as_of", [dt.date(2024, m, 1) for m in (1, 2, 3)])
+
+
+#: Rows of a key from which on its history is sliced.
+HOT_ROWS = 5_000
 ROLL = "demand_observation_count_7d:l units_sold_rolling_mean_7d:d demand_observation_count_28d:l units_sold_rolling_mean_28d:d"
 LAGS = " ".join(f"{x}_lag_{n}d:{k}" for n in (1, 7, 14, 28) for x, k in (("units_sold", "l"), ("revenue", "d")))
 REPORT = "table:s rule:s severity:s failed_rows:l"
@@ -242,12 +265,10 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
     "rolling_demand": (_fact("priced"), f"{KEY} {ROLL}"),
     "rolling_std": (_fact("priced"), f"{KEY} units_sold_rolling_std_7d:d units_sold_rolling_std_28d:d"),
     "contiguous_lags": (_fact("event_fact"), f"{KEY} {LAGS}"),
-    "contiguous_lags_dense": (_fact("dense_fact"), f"{KEY} {LAGS}"),
     "contiguous_lags_dense_whole": (_fact("dense_whole"), f"{KEY} {LAGS}"),
     "abc_class": (_fact("priced"), f"{KEY} abc_class:s"),
     "abc_revenue_share": (_fact("priced"), f"{KEY} abc_revenue_90d:d abc_revenue_share_90d:d"),
     "xyz_class": (_fact("priced"), f"{KEY} {XYZ}"),
-    "volatility_segment": (_fact("dense_fact"), f"{KEY} demand_cv_28d:d volatility_segment:s"),
     "volatility_segment_whole": (_fact("dense_whole"), f"{KEY} demand_cv_28d:d volatility_segment:s"),
     "calendar_cycle": (_plain(features.cycle_features), f"{KEY} {CYCLE}"),
     "month_boundary_flags": (_plain(features.cycle_features), f"{KEY} {MONTH}"),
@@ -303,7 +324,12 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
     "snake_case_names": (lambda s, d: enrich.clean(contracted(s, d, "Dim_Date")), "date:t year:l month:l day:l weekday:s quarter:l is_weekend:b season:s"),
     "cast_failure_counts": (_cast_failures, "cast_integer:l cast_decimal:l cast_day:l cast_flag:l"),
     "missing_policy_counters": (_policy_counters, "dropped_rows:l filled_values:l preserved_values:l missing_promotion:l"),
-    "incremental_decisions": (_decisions, "table_name:s stored:s full_load:b load:b reason:s watermark:s"),
+    "rolling_hot_key": (_hot_key, f"order_key:l line:l {ROLL} abc_revenue_90d:d xyz_observation_count_90d:l xyz_demand_mean_90d:d"),
+    "promotion_many_offers": (_many_offers, f"{KEY} promotion_id:s promotion_name:s start_date:t end_date:t promotion_discount_pct:d"),
+    "events_running": (_running_events, "event_id:l running_amount:d last_purchase:l next_purchase:l"),
+    "events_running_by_type": (_running_types, "event_id:l running_amount:d last_user:l next_purchase:l"),
+    "snapshot_difference": (_customer_changes, "customer_key:l change:s old_name:s new_name:s old_nation:l new_nation:l old_segment:s new_segment:s"),
+    "snapshot_history": (_customer_history, "customer_key:l name:s nation:l segment:s valid_from:t valid_to:t"),
     "demand_features_wide": (
         wide,
         f"{KEY} {ROLL} {LAGS} abc_class:s xyz_class:s volatility_segment:s price_position:s {HOLIDAY} {PROMO} {STOCK} {STOCK_RATIOS} "
