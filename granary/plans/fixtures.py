@@ -120,6 +120,11 @@ FIXTURES = {
           coalesce(f.revenue, cast(0 as decimal(18, 2))) as revenue
         from {all_days} d cross join (select distinct store_id, product_id from {priced}) k
           left join {priced} f on f.date = d.date and f.store_id = k.store_id and f.product_id = k.product_id""",
+    # the fact before its last months came, a store's days of one spring, a correction, and with a row that is deleted later
+    "early_fact": """
+        select date, store_id, product_id, case when date = date '1997-06-15' and b = 3 then units_sold + 5 else units_sold end as units_sold, revenue from {priced}
+          where date < date '2001-08-01' and not (r = 1 and date between date '1998-03-01' and date '1998-03-09')
+        union all select date '1999-05-05', 'S002', 'P00099', cast(7 as bigint), cast(70 as decimal(28, 2))""",
     # order lines as sales, half of them of one store and product
     "skewed": """
         select cast(l_shipdate as date) as date, 'S000' as store_id, case when l_orderkey % 2 = 0 then 'P00000' else concat('P', lpad(cast(l_partkey % 40 as string), 5, '0')) end as product_id,

@@ -1,10 +1,12 @@
-"""CSV to the raw layer in three scans: of the lines, for the verdict, and for the write.
-
-The first only tells whether the file can be split. All counts of the verdict
-(missing, uncastable, rule failures, late rows, highest watermark) come from one
-aggregate over text and cast values side by side; the driver reads that one row
-and decides. Duplicates are what the write's deduplication leaves out, counted
-before its rows are published.
+"""CSV to the raw layer in two scans: of the lines, and for the write.
+
+The first tells whether the file can be split, and how many rows it has. All
+counts of the verdict (missing, uncastable, rule failures, late rows, highest
+watermark) are observed while rows pass on to the staged write; the verdict then
+publishes the staged files or deletes them. Duplicates are what the write's
+deduplication leaves out. A task that runs twice, as after the loss of an
+executor, is observed twice: where the observed rows aren't the file's, the
+counts are taken again by an aggregate of their own.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ import uuid
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from granary.functions.scalar import blank, strict
@@ -84,9 +86,24 @@ def cast_failures(spec: TableSpec, at=F.col) -> dict[str, F.Column]:
     }
 
 
-def _one(df: DataFrame, counts: dict) -> dict:
-    row = df.agg(*[c.alias(f"c{k}") for k, c in enumerate(counts.values())]).first()
-    return dict(zip(counts, row, strict=True))
+def _named(counts: dict) -> list[F.Column]:
+    return [c.alias(f"c{k}") for k, c in enumerate(counts.values())]
+
+
+def _told(observed: Observation, counts: dict) -> dict:
+    found = observed.get
+    return {name: found[f"c{k}"] for k, name in enumerate(counts)}
+
+
+def judge(found: dict, spec: TableSpec, policy: missing.MissingPolicy) -> None:
+    """Raises what stops a table: missing values, uncastable ones, failed rules, in this order."""
+    if problem := missing.verdict(found, spec, policy):
+        raise IngestError(problem)
+    if bad := {k: n for k, n in found.items() if k.startswith("cast.") and n}:
+        kinds = {f.name: f.metadata["logical"] for f in spec.schema}
+        raise IngestError("; ".join(f"invalid {kinds[k[5:]]} values in {spec.name}.{k[5:]}: count={n}" for k, n in bad.items()))
+    if problem := quality.verdict({k[2:]: n for k, n in found.items() if k.startswith("q.")}, spec.name):
+        raise IngestError(problem)
 
 
 def ingest_table(
@@ -106,33 +123,36 @@ def ingest_table(
     source = call(lambda: csv.identity(spark, path))
     choice = incremental.decide(spec, source, last := call(lambda: store.load(spec.name)), full)
     if not choice.load:
-        call(lambda: csv.check_header(csv.header(spark, path), spec))
+        call(lambda: csv.check_header(csv.header(spark, path, settings.csv), spec))
         return TableRun(spec.name, "skipped", choice.reason, watermark=choice.watermark)
-    rows = cast_rows(call(lambda: csv.scan(spark, path, spec)), spec, policy, choice.watermark)
+    seen = call(lambda: csv.lines(spark, path, settings.csv))
+    rows = cast_rows(call(lambda: csv.scan(spark, path, spec, settings.csv, seen.breaks)), spec, policy, choice.watermark)
     live = F.col("__live")
     counts = (
         missing.counters(spec, policy, _text)
         | cast_failures(spec, _text)
-        | {"late": F.count_if(~F.col("__dropped") & ~live), "rows": F.count_if(live), "watermark": incremental.highest(spec, live)}
+        | {"all": F.count("*"), "late": F.count_if(~F.col("__dropped") & ~live), "rows": F.count_if(live), "watermark": incremental.highest(spec, live)}
         | {f"q.{k}": v for k, v in quality.failures(quality.rules(spec), live).items()}
     )
-    found = call(lambda: _one(rows, counts))
-    if problem := missing.verdict(found, spec, policy):
-        raise IngestError(problem)
-    if bad := {k: n for k, n in found.items() if k.startswith("cast.") and n}:
-        kinds = {f.name: f.metadata["logical"] for f in spec.schema}
-        raise IngestError("; ".join(f"invalid {kinds[k[5:]]} values in {spec.name}.{k[5:]}: count={n}" for k, n in bad.items()))
-    if problem := quality.verdict({k[2:]: n for k, n in found.items() if k.startswith("q.")}, spec.name):
-        raise IngestError(problem)
+    found: dict = {}
+
+    def load() -> tuple[str | None, int]:
+        observed = Observation()
+
+        def check(written: int) -> None:
+            found.update(_told(observed, counts))
+            if found["all"] != seen.rows and (seen.rows is not None or written != found["rows"]):
+                found.update(zip(counts, rows.agg(*_named(counts)).first(), strict=True))
+            judge(found, spec, policy)
+            if reject_duplicates and written < found["rows"]:
+                raise IngestError(f"{spec.name}: {found['rows'] - written} rows repeat a key")
+            if csv.identity(spark, path) != source:
+                raise IngestError(f"{spec.name}: {path} changed while it was read")
 
-    def check(written: int) -> None:
-        if reject_duplicates and written < found["rows"]:
-            raise IngestError(f"{spec.name}: {found['rows'] - written} rows repeat a key")
-        if csv.identity(spark, path) != source:
-            raise IngestError(f"{spec.name}: {path} changed while it was read")
+        kept = dedup.keep_first(rows.observe(observed, *_named(counts)).where(live), list(spec.key), "_position").select(*spec.columns)
+        return publish_raw(kept, settings.raw_root, spec.name, run_id, settings.write.codec, check)
 
-    kept = dedup.keep_first(rows.where(live), list(spec.key), "_position").select(*spec.columns)
-    target, written = call(lambda: publish_raw(kept, settings.raw_root, spec.name, run_id, settings.write.codec, check))
+    target, written = call(load)
     mark = incremental.advanced(last.watermark if last and not full else None, found["watermark"])
     # the checkpoint follows the publication: after a crash in between, rows come again and the newest version of a key wins
     call(lambda: store.save(Checkpoint(spec.name, source, mark, run_id, datetime.now(UTC).isoformat())))

@@ -255,6 +255,7 @@ ORACLES: dict[str, str] = {
       count(*) filter (where promotion is null and holiday is not null) as filled_values,
       count(*) filter (where promotion is null) + count(*) filter (where holiday is null) as preserved_values,
       count(*) filter (where promotion is null) as missing_promotion from sales_)""",
+    "features_refreshed": _on("priced"),
     "rolling_hot_key": f"{ctes('skewed')}, {_windows('skewed_')}, result as (select * from own)",
     "promotion_many_offers": f"""{ctes("sales", "offers")}, met as (select s.date, s.store_id, s.product_id, p.*, row_number() over (
         partition by s.date, s.store_id, s.product_id order by p.start_date desc, p.promotion_id) as place

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from granary.functions.scalar import blank, matches, snake, strict
 from granary.operators import dedup, enrich, features, history, incremental, missing, quality, scan
-from granary.plans import ingest
+from granary.plans import ingest, refresh
 from granary.plans.fixtures import frame
 from granary.sources.contracts import CONTRACTS, TableSpec, column
 
@@ -242,6 +242,16 @@ def _customer_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.validity(frame(spark, sf_dir, "customer_days"), ["customer_key"], "as_of", [dt.date(2024, m, 1) for m in (1, 2, 3)])
 
 
+def _refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features of the fact as it first was, brought up to date with late and corrected rows and the last months."""
+    columns = ("date", "store_id", "product_id", "units_sold", "revenue")
+    built: dict[str, DataFrame] = {}
+    whole = frame(spark, sf_dir, "priced", built).select(*columns)
+    early = frame(spark, sf_dir, "early_fact", built).select(*columns)
+    changes = history.difference(early, whole, list(columns[:3])).select(*columns[:3])
+    return refresh.refresh(whole, _windows(early), refresh.touched(changes, _C), _C, _windows)
+
+
 #: Rows of a key from which on its history is sliced.
 HOT_ROWS = 5_000
 ROLL = "demand_observation_count_7d:l units_sold_rolling_mean_7d:d demand_observation_count_28d:l units_sold_rolling_mean_28d:d"
@@ -324,6 +334,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
     "snake_case_names": (lambda s, d: enrich.clean(contracted(s, d, "Dim_Date")), "date:t year:l month:l day:l weekday:s quarter:l is_weekend:b season:s"),
     "cast_failure_counts": (_cast_failures, "cast_integer:l cast_decimal:l cast_day:l cast_flag:l"),
     "missing_policy_counters": (_policy_counters, "dropped_rows:l filled_values:l preserved_values:l missing_promotion:l"),
+    "features_refreshed": (_refreshed, f"{KEY} {ROLL} {LAGS} abc_revenue_90d:d abc_revenue_share_90d:d abc_class:s xyz_class:s volatility_segment:s"),
     "rolling_hot_key": (_hot_key, f"order_key:l line:l {ROLL} abc_revenue_90d:d xyz_observation_count_90d:l xyz_demand_mean_90d:d"),
     "promotion_many_offers": (_many_offers, f"{KEY} promotion_id:s promotion_name:s start_date:t end_date:t promotion_discount_pct:d"),
     "events_running": (_running_events, "event_id:l running_amount:d last_purchase:l next_purchase:l"),

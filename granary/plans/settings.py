@@ -15,6 +15,7 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 from granary.operators.features import FeatureConfig
+from granary.sources.csv import Format
 from granary.sources.publish import WriteOptions
 
 log = logging.getLogger("granary")
@@ -59,6 +60,21 @@ def passing(e: BaseException) -> bool:
     return isinstance(e, OSError) or any(m in str(e).casefold() for m in PASSING + MORE_PASSING)
 
 
+@dataclass(frozen=True)
+class SparkOptions:
+    """What a session of these settings is made with; an empty master leaves it to the environment."""
+
+    master: str = ""
+    log_level: str = "WARN"
+    shuffle_partitions: int = 200
+
+    def __post_init__(self):
+        if self.log_level not in ("ALL", "DEBUG", "ERROR", "FATAL", "INFO", "OFF", "TRACE", "WARN"):
+            raise ValueError(f"unknown log level: {self.log_level}")
+        if self.shuffle_partitions < 1:
+            raise ValueError("shuffle_partitions must be at least 1")
+
+
 @dataclass(frozen=True)
 class Settings:
     raw_root: str
@@ -71,6 +87,8 @@ class Settings:
     retry: Retry = field(default_factory=Retry)
     features: FeatureConfig = field(default_factory=FeatureConfig)
     write: WriteOptions = field(default_factory=WriteOptions)
+    csv: Format = field(default_factory=Format)
+    spark: SparkOptions = field(default_factory=SparkOptions)
 
     def __post_init__(self):
         if self.environment not in ("development", "test", "staging", "production"):
@@ -135,11 +153,11 @@ def located(path: str, root: str) -> str:
 def from_env(env: Mapping[str, str] = os.environ, prefix: str = "GRANARY_", file: str | None = None, root: str | None = None, **given) -> Settings:
     """Settings from PREFIX_NAME variables, overridden by what is given.
 
-    Retries, features and writes are PREFIX_RETRY_NAME, PREFIX_FEATURES_NAME and PREFIX_WRITE_NAME; lists are comma-separated.
+    Retries, features, writes, files and sessions are PREFIX_RETRY_NAME, _FEATURES_, _WRITE_, _CSV_ and _SPARK_NAME; lists are comma-separated.
     Variables of the process override those of ``file``; relative folders lie below ``root``, if there is one.
     """
     env = (env_file(file) if file else {}) | dict(env)
-    groups = {"retry": Retry, "features": FeatureConfig, "write": WriteOptions}
+    groups = {"retry": Retry, "features": FeatureConfig, "write": WriteOptions, "csv": Format, "spark": SparkOptions}
     read = _read(Settings, env, prefix) | {n: kind(**found) for n, kind in groups.items() if (found := _read(kind, env, f"{prefix}{n.upper()}_"))}
     read |= given
     if root:
@@ -147,22 +165,24 @@ def from_env(env: Mapping[str, str] = os.environ, prefix: str = "GRANARY_", file
     return Settings(**read)
 
 
-def session(settings: Settings, name: str = "granary", shuffle_partitions: int = 200) -> SparkSession:
+def session(settings: Settings, name: str = "granary") -> SparkSession:
     """A session with the library's knobs; any other session serves as well."""
     builder = SparkSession.builder.appName(name)
-    if settings.environment in ("development", "test"):
-        builder = builder.master("local[*]")
+    if master := settings.spark.master or ("local[*]" if settings.environment in ("development", "test") else ""):
+        builder = builder.master(master)
     conf = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.ansi.enabled": "true",
         "spark.sql.caseSensitive": "true",
-        "spark.sql.shuffle.partitions": str(shuffle_partitions),
+        "spark.sql.shuffle.partitions": str(settings.spark.shuffle_partitions),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
     }
-    return builder.config(map=conf).getOrCreate()
+    made = builder.config(map=conf).getOrCreate()
+    made.sparkContext.setLogLevel(settings.spark.log_level)
+    return made
 
 
 def redacted(value):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import codecs
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,8 @@ from granary.sources.contracts import CONTRACTS, TableSpec
 
 #: A quote is doubled inside quotes, a row of another width is an error; lines are rows, so one large file makes many tasks.
 DIALECT = {"header": True, "mode": "FAILFAST", "enforceSchema": False, "quote": '"', "escape": '"', "encoding": "UTF-8"}
+#: Encodings in which a byte isn't a character of its own wherever ASCII has it; their files can't be split.
+WIDE = ("UTF-16", "UTF-16BE", "UTF-16LE", "UTF-32", "UTF-32BE", "UTF-32LE")
 
 
 class SourceError(ValueError):
@@ -55,15 +58,54 @@ def discover(spark: SparkSession, root: str, specs: dict[str, TableSpec] = CONTR
     return paths
 
 
-def header(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
+@dataclass(frozen=True)
+class Format:
+    """How a feed's files are written."""
+
+    sep: str = ","
+    encoding: str = "UTF-8"
+
+    def __post_init__(self):
+        if len(self.sep) != 1 or self.sep in "\"\r\n":
+            raise SourceError(f"a delimiter is one character, no quote and no line end: {self.sep!r}")
+        try:
+            codecs.lookup(self.encoding)
+        except LookupError as e:
+            raise SourceError(f"unknown encoding: {self.encoding}") from e
+
+    @property
+    def wide(self) -> bool:
+        return self.encoding.upper().replace("_", "-") in WIDE
+
+    @property
+    def options(self) -> dict:
+        return DIALECT | {"sep": self.sep, "encoding": self.encoding}
+
+
+PLAIN = Format()
+
+
+def header(spark: SparkSession, path: str, form: Format = PLAIN) -> list[str]:
     # a scan of one row: Spark's reader names the columns
-    return spark.read.options(**DIALECT | {"enforceSchema": True, "sep": sep}).csv(path).columns
+    return spark.read.options(**form.options | {"enforceSchema": True, "multiLine": form.wide}).csv(path).columns
+
+
+@dataclass(frozen=True)
+class Lines:
+    """What a scan of the lines tells: rows, if each is a line, and whether a quoted value holds a line break."""
+
+    rows: int | None
+    breaks: bool
 
 
-def has_line_breaks(spark: SparkSession, path: str) -> bool:
-    """Whether a quoted value holds a line break: then, and only then, some line has an odd number of quotes."""
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    return not spark.read.text(path).where(F.contains("value", F.lit('"')) & (quotes % 2 == 1)).isEmpty()
+def lines(spark: SparkSession, path: str, form: Format = PLAIN) -> Lines:
+    """A quoted value holds a line break if, and only if, some line has an odd number of quotes; empty lines are no rows."""
+    if form.wide:
+        return Lines(None, True)
+    text = F.col("value")
+    odd = (F.length("value") - F.length(F.replace(text, F.lit('"'), F.lit("")))) % 2 == 1
+    found = spark.read.text(path).agg(F.count_if(text.rlike(r"[^\x00-\x20]")), F.coalesce(F.bool_or(odd), F.lit(False))).first()
+    return Lines(None if found[1] else max(0, found[0] - 1), found[1])
 
 
 def check_header(found: list[str], spec: TableSpec) -> None:
@@ -74,15 +116,15 @@ def check_header(found: list[str], spec: TableSpec) -> None:
         raise SourceError(f"header of {spec.name} differs: missing {missing}, unexpected {unexpected}, order {found}")
 
 
-def scan(spark: SparkSession, path: str, spec: TableSpec, sep: str = ",", line_breaks: bool | None = None) -> DataFrame:
+def scan(spark: SparkSession, path: str, spec: TableSpec, form: Format = PLAIN, line_breaks: bool | None = None) -> DataFrame:
     """The table as text, its header checked, with the file in _source_file and the start of the file's part in _block.
 
     Files whose quoted values hold line breaks can't be split and are one task each; ``line_breaks`` says so, or is found out
     by a scan of the lines. Where it is said wrongly, the next line is a row of another width, which is an error.
     """
-    check_header(header(spark, path, sep), spec)
-    whole = has_line_breaks(spark, path) if line_breaks is None else line_breaks
-    rows = spark.read.schema(spec.text_schema()).options(**DIALECT | {"sep": sep, "multiLine": whole}).csv(path)
+    check_header(header(spark, path, form), spec)
+    whole = lines(spark, path, form).breaks if line_breaks is None else line_breaks
+    rows = spark.read.schema(spec.text_schema()).options(**form.options | {"multiLine": whole}).csv(path)
     return rows.withColumns({"_source_file": F.col("_metadata.file_path"), "_block": F.col("_metadata.file_block_start")})
 
 

@@ -1,7 +1,8 @@
 """Publication: staged writes that appear under their final path in one rename.
 
-Where a store has no atomic rename of folders, readers wait for the manifest,
-which is written last.
+A run's manifest is staged with its data, so the rename publishes both or
+neither. Where a store's rename of a folder copies its files, a run is written
+in place instead, and its manifest, written last, is what makes it readable.
 """
 
 from __future__ import annotations
@@ -52,6 +53,7 @@ class WriteOptions:
     codec: str = "snappy"
     mode: str = "errorifexists"
     target_partitions: int | None = None
+    in_place: bool = False
 
     def __post_init__(self):
         if self.codec not in CODECS or self.mode not in MODES:
@@ -148,22 +150,38 @@ def publish_raw(
 
 
 def publish(bundle: dict[str, DataFrame], root: str, run_id: str, options: WriteOptions | None = None) -> str:
-    """All curated datasets of one run: written in staging, moved at once, then sealed by a manifest."""
+    """All curated datasets of one run, sealed by a manifest: by a rename of the staged run, or in place with the manifest last.
+
+    It may be called again after a fault at any step: a run that is sealed already is left as it is, what an unsealed
+    attempt wrote in place is replaced.
+    """
     options = options or WriteOptions()
     check_bundle(bundle)
     spark = next(iter(bundle.values())).sparkSession
     staged, target = joined(root, "_staging", _safe(run_id), "run"), run_path(root, run_id)
+    if sealed(spark, target):
+        return target
     fs, to = _fs(spark, target)
     if fs.exists(to):
-        raise PublishError(f"{target} exists already")
+        if not options.in_place:
+            raise PublishError(f"{target} exists already, without a manifest")
+        fs.delete(to, True)
+    where = target if options.in_place else staged
     try:
+        if not options.in_place:
+            _abort(spark, root, staged)
         for name, df in bundle.items():
-            write(df, joined(staged, f"dataset={name}"), CURATED[name], options)
-        _move(spark, staged, target)
+            write(df, joined(where, f"dataset={name}"), CURATED[name], options)
+        _put(spark, joined(where, MANIFEST), {"run_id": run_id, "datasets": sorted(bundle)})
+        if not options.in_place:
+            _move(spark, staged, target)
     except BaseException:
-        _abort(spark, root, staged)
+        if options.in_place:
+            if fs.exists(to) and not sealed(spark, target):
+                fs.delete(to, True)
+        else:
+            _abort(spark, root, staged)
         raise
-    _put(spark, joined(target, MANIFEST), {"run_id": run_id, "datasets": sorted(bundle)})
     return target
 
 
