@@ -125,6 +125,18 @@ FIXTURES = {
         select date, store_id, product_id, case when date = date '1997-06-15' and b = 3 then units_sold + 5 else units_sold end as units_sold, revenue from {priced}
           where date < date '2001-08-01' and not (r = 1 and date between date '1998-03-01' and date '1998-03-09')
         union all select date '1999-05-05', 'S002', 'P00099', cast(7 as bigint), cast(70 as decimal(28, 2))""",
+    # orders as lines of a feed, with a fault of each kind at places
+    "order_lines": """
+        select o_orderkey as n, case o_orderkey % 23
+            when 3 then concat(cast(o_orderkey as string), ',', cast(o_custkey as string))
+            when 5 then concat(cast(o_orderkey as string), ',', cast(o_custkey as string), ',1.5,2024-01-05,Open,more')
+            when 7 then concat('x', cast(o_orderkey as string), ',', cast(o_custkey as string), ',1.5,2024-02-30,Open')
+            when 9 then concat(cast(o_orderkey as string), ',,1.5,2024-01-05, ')
+            when 11 then concat(cast(o_orderkey as string), ',', cast(o_custkey as string), ',-1.5,2024-01-05,Lost')
+            when 13 then concat(cast(o_orderkey as string), ',', cast(o_custkey as string), ',1.5,2024-1-5,"Open"')
+            when 15 then concat(cast(o_orderkey as string), ',', cast(o_custkey as string), ',"1.5,2024-01-05,Open')
+            else concat(cast(o_orderkey as string), ', ', cast(o_custkey as string), ' ,', cast(o_orderkey % 1000 as string), '.25,1997-03-04,', case when o_orderstatus = 'P' then concat('"Part, ""P"', '""') else 'Open' end)
+          end as value from {orders}""",
     # order lines as sales, half of them of one store and product
     "skewed": """
         select cast(l_shipdate as date) as date, 'S000' as store_id, case when l_orderkey % 2 = 0 then 'P00000' else concat('P', lpad(cast(l_partkey % 40 as string), 5, '0')) end as product_id,

@@ -255,6 +255,13 @@ ORACLES: dict[str, str] = {
       count(*) filter (where promotion is null and holiday is not null) as filled_values,
       count(*) filter (where promotion is null) + count(*) filter (where holiday is null) as preserved_values,
       count(*) filter (where promotion is null) as missing_promotion from sales_)""",
+    "malformed_order_lines": f"""{ctes("order_lines")}, told as (select o_orderkey as n, o_custkey, o_orderstatus, case o_orderkey % 23 when 3 then 'width' when 5 then 'width' when 15 then 'width'
+        when 7 then 'cast.order_key,cast.day' when 9 then 'missing.customer,missing.status' when 11 then 'total.minimum,status.domain' else '' end as reasons from orders),
+      result as (select n, reasons, case when reasons = '' then n end as order_key, case when reasons = '' then o_custkey end as customer,
+        case when n % 23 = 13 then 1.5 when reasons = '' then n % 1000 + 0.25 end as total, case when n % 23 = 13 then date '2024-01-05' when reasons = '' then date '1997-03-04' end as day,
+        case when n % 23 = 13 then 'Open' when reasons = '' then case when o_orderstatus = 'P' then 'Part, "P"' else 'Open' end end as status from told)""",
+    "unseen_keys": """with e as (select event_id, event_type, case when user_id % 50 <> 0 then user_id end as user_id, hour(ts) as hour, ts from events),
+      result as (select * from e where ts >= timestamp '2024-01-20' and not exists (select 1 from e o where o.ts < timestamp '2024-01-20' and o.user_id is not distinct from e.user_id and o.event_type = e.event_type and o.hour = e.hour))""",
     "features_refreshed": _on("priced"),
     "rolling_hot_key": f"{ctes('skewed')}, {_windows('skewed_')}, result as (select * from own)",
     "promotion_many_offers": f"""{ctes("sales", "offers")}, met as (select s.date, s.store_id, s.product_id, p.*, row_number() over (

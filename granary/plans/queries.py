@@ -13,6 +13,7 @@ from granary.functions.scalar import blank, matches, snake, strict
 from granary.operators import dedup, enrich, features, history, incremental, missing, quality, scan
 from granary.plans import ingest, refresh
 from granary.plans.fixtures import frame
+from granary.sources import key_index, ledger
 from granary.sources.contracts import CONTRACTS, TableSpec, column
 
 #: Types of result columns: text, long, double (rounded to 6 places), boolean, date
@@ -252,6 +253,35 @@ def _refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return refresh.refresh(whole, _windows(early), refresh.touched(changes, _C), _C, _windows)
 
 
+#: Lines of orders as a table of their own.
+ORDER_LINES = TableSpec(
+    "Orders",
+    T.StructType(
+        [
+            column("order_key", "integer"), column("customer", "integer"), column("total", "decimal", minimum=0), column("day", "date"),
+            column("status", "string", allowed=["Open", 'Part, "P"']),
+        ]
+    ),
+    ("order_key",),
+)
+
+
+def _ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ledger.judged(frame(spark, sf_dir, "order_lines"), ORDER_LINES)
+    good = F.size("reasons") == 0
+    return found.select("n", F.array_join("reasons", ",").alias("reasons"), *[F.when(good, F.col(c)).alias(c) for c in ORDER_LINES.columns])
+
+
+def _unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of the last days whose user, type and hour no earlier day has had."""
+    user = F.when(F.col("user_id") % 50 != 0, F.col("user_id"))
+    events = frame(spark, sf_dir, "events").select("event_id", "event_type", user.alias("user_id"), F.hour("ts").alias("hour"), "ts")
+    key, split = ["user_id", "event_type", "hour"], F.col("ts") < F.lit("2024-01-20").cast("timestamp")
+    old, new = events.where(split), events.where(~split)
+    maybe = key_index.maybe_known(new, key_index.filter_words(old, key), key)
+    return key_index.without(new, key_index.among(old, maybe, key), key)
+
+
 #: Rows of a key from which on its history is sliced.
 HOT_ROWS = 5_000
 ROLL = "demand_observation_count_7d:l units_sold_rolling_mean_7d:d demand_observation_count_28d:l units_sold_rolling_mean_28d:d"
@@ -334,6 +364,8 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
     "snake_case_names": (lambda s, d: enrich.clean(contracted(s, d, "Dim_Date")), "date:t year:l month:l day:l weekday:s quarter:l is_weekend:b season:s"),
     "cast_failure_counts": (_cast_failures, "cast_integer:l cast_decimal:l cast_day:l cast_flag:l"),
     "missing_policy_counters": (_policy_counters, "dropped_rows:l filled_values:l preserved_values:l missing_promotion:l"),
+    "malformed_order_lines": (_ledger, "n:l reasons:s order_key:l customer:l total:d day:t status:s"),
+    "unseen_keys": (_unseen, "event_id:l event_type:s user_id:l hour:l"),
     "features_refreshed": (_refreshed, f"{KEY} {ROLL} {LAGS} abc_revenue_90d:d abc_revenue_share_90d:d abc_class:s xyz_class:s volatility_segment:s"),
     "rolling_hot_key": (_hot_key, f"order_key:l line:l {ROLL} abc_revenue_90d:d xyz_observation_count_90d:l xyz_demand_mean_90d:d"),
     "promotion_many_offers": (_many_offers, f"{KEY} promotion_id:s promotion_name:s start_date:t end_date:t promotion_discount_pct:d"),
