@@ -104,7 +104,7 @@ def build_index(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
         (F.lit(0).cast("long") if tag is None else tag.cast("long")).alias("tag"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
-    return cut(rows.mapInArrow(_index, INDEX))
+    return cut(rows.mapInArrow(tx.lean(_index), INDEX))
 
 
 @dataclass
@@ -263,12 +263,12 @@ def parts_of(benchmark: DataFrame, *, item_id="item_id", text="text", width=WIDT
     """part, windows (a packed ``Windows``) of the benchmark, and the number of parts; a part may have no row."""
     pairs = cut(
         benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-        .mapInArrow(_windows(width), "item_id string, run binary")
+        .mapInArrow(tx.lean(_windows(width)), "item_id string, run binary")
         .distinct()
     )
     parts = -(-pairs.count() // part_windows) or 1
     dealt = pairs.withColumn("part", F.pmod(F.xxhash64("item_id", "run"), F.lit(parts)))
-    return cut(dealt.repartition(parts, "part").sortWithinPartitions("part", "run", "item_id").mapInArrow(_pack(width), "part long, windows binary")), parts
+    return cut(dealt.repartition(parts, "part").sortWithinPartitions("part", "run", "item_id").mapInArrow(tx.lean(_pack(width)), "part long, windows binary")), parts
 
 
 def search(index: DataFrame, benchmark: DataFrame, *, item_id="item_id", text="text", width=WIDTH, slop=26, part_windows=PART_WINDOWS) -> DataFrame:
@@ -282,13 +282,13 @@ def search(index: DataFrame, benchmark: DataFrame, *, item_id="item_id", text="t
         return context.broadcast(pickle.loads(row[0]) if row else nothing)
 
     if parts == 1:
-        found = index.mapInArrow(_search(shared(0), slop, True), FOUND)
+        found = index.mapInArrow(tx.lean(_search(shared(0), slop, True)), FOUND)
     else:
         none = context.broadcast(nothing)
-        found = index.mapInArrow(_search(none, slop, True), FOUND)
+        found = index.mapInArrow(tx.lean(_search(none, slop, True)), FOUND)
         for part in range(parts):
             now = shared(part)
-            found = found.union(cut(index.mapInArrow(_search(now, slop, False), FOUND)))
+            found = found.union(cut(index.mapInArrow(tx.lean(_search(now, slop, False)), FOUND)))
             now.destroy()
         found = found.groupBy("block", "at").agg(
             *[F.max(c).alias(c) for c in ("doc_id", "tag", "n_words")], *[F.flatten(F.collect_list(c)).alias(c) for c in ("spans", "items", "near")]

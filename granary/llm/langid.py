@@ -263,7 +263,7 @@ def _fit(batches):
 
 def train(docs: DataFrame, **options) -> Model | None:
     """The model of the sample, which is small enough for one task."""
-    fitted = sample(docs, **options).repartition(1).mapInArrow(_fit, "model binary").first()
+    fitted = sample(docs, **options).repartition(1).mapInArrow(tx.lean(_fit), "model binary").first()
     return pickle.loads(fitted[0]) if fitted else None
 
 
@@ -304,4 +304,4 @@ def predict(docs: DataFrame, model: Model | None, *, text: str = "text", keep: t
     rows = docs.select(*keep, *([] if text in keep else [F.col(text).alias(name)]))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "__text")
-    return rows.mapInArrow(_label(shared, name), f"{kinds}, lang_pred string, score double")
+    return rows.mapInArrow(tx.lean(_label(shared, name)), f"{kinds}, lang_pred string, score double")

@@ -290,7 +290,7 @@ class ChosenPath:
 
     def documents(self) -> DataFrame:
         """doc_id, tag (hash of the text), n_shingles, label (a number of the component), component_id, kept."""
-        signed = cut(self.docs.mapInArrow(_sign(self.width), "doc_id long, tag long, n_shingles long, lo long, hi long, sig binary"))
+        signed = cut(self.docs.mapInArrow(tx.lean(_sign(self.width)), "doc_id long, tag long, n_shingles long, lo long, hi long, sig binary"))
         # what repeats of a set carry is equal, so any one signature serves; a set without an id is known by its hash
         self.sets = cut(
             signed.where("n_shingles > 0")
@@ -325,7 +325,7 @@ class ChosenPath:
 
     def labels(self) -> DataFrame:
         """node, component of the sets that are linked with one of a smaller number."""
-        rows = self.reps.select("rep", "sig").mapInArrow(_plant(self.trees, self.similarity), "node long, rep long, parent long")
+        rows = self.reps.select("rep", "sig").mapInArrow(tx.lean(_plant(self.trees, self.similarity)), "node long, rep long, parent long")
         none = self.docs.sparkSession.createDataFrame([], "a long, b long")
         self.links = self.tried = none
         members = self.level(rows)
@@ -377,7 +377,7 @@ class ChosenPath:
 
     def branched(self, members: DataFrame) -> DataFrame:
         signed = members.select("node", "rep", "members").join(self.reps.select("rep", "sig"), "rep").select("node", "rep", "members", "sig")
-        return signed.mapInArrow(_grow(self.similarity), "node long, rep long, parent long")
+        return signed.mapInArrow(tx.lean(_grow(self.similarity)), "node long, rep long, parent long")
 
     def mixed(self, members: DataFrame, labels: DataFrame) -> DataFrame:
         """node, rep, members, parent, of (component), odd (not of the node's largest one): members of nodes of several components."""
@@ -427,7 +427,7 @@ class ChosenPath:
         left = placed.where(odd).select("family", "rep", "of", block("across", 0).alias("i"), every("down").alias("salt"), F.lit(0).alias("role"))
         right = placed.select("family", "rep", "of", every("across").alias("i"), block("down", 1).alias("salt"), F.lit(1).alias("role"))
         wants = left.union(right).select("rep", F.xxhash64("family", "i").alias("key"), "salt", "role", "of")
-        return components(self.links.union(cut(self.met(wants).mapInArrow(_family(self.percent), "a long, b long"))))
+        return components(self.links.union(cut(self.met(wants).mapInArrow(tx.lean(_family(self.percent)), "a long, b long"))))
 
     def alike(self, pairs: DataFrame) -> DataFrame:
         """a, b, agree of the pairs whose sizes and signatures allow a link."""
@@ -438,7 +438,7 @@ class ChosenPath:
             .join(side.toDF("b", "size_b", "sig_b"), "b")
             .where(100 * F.least("size", "size_b") >= self.percent * F.greatest("size", "size_b"))
             .select("a", "b", "sig", "sig_b")
-            .mapInArrow(_agree, "a long, b long, agree int")
+            .mapInArrow(tx.lean(_agree), "a long, b long, agree int")
         )
         return cut(near.where(F.col("agree") >= self.least_agreement))
 
@@ -458,7 +458,7 @@ class ChosenPath:
         wants = dealt.select(F.col("b").alias("rep"), F.col("a").alias("key"), "salt", F.lit(1).alias("role"), none.alias("of")).union(
             dealt.select("a", "a", "salt", F.lit(0), none).distinct()
         )
-        return self.met(wants).mapInArrow(_confirm(self.percent), "a long, b long")
+        return self.met(wants).mapInArrow(tx.lean(_confirm(self.percent)), "a long, b long")
 
     def met(self, wants: DataFrame) -> DataFrame:
         """The shingle sets of documents (rep) where they are wanted: by key and salt, role 0 before role 1.
@@ -477,7 +477,7 @@ class ChosenPath:
             without = self.docs.where("doc_id is null").select("tag", "text").join(F.broadcast(same) if few else same, "tag")
             texts = texts.unionByName(without.select("rep", "text", "at", "lo").dropDuplicates(["rep"]))
         sets = texts.select("rep", "at", "lo", "text").mapInArrow(
-            _sets(self.width), "rep long, key long, salt int, role int, of long, shingles binary"
+            tx.lean(_sets(self.width)), "rep long, key long, salt int, role int, of long, shingles binary"
         )
         return sets.repartition(self.n, "key", "salt").sortWithinPartitions("key", "salt", "role")
 
