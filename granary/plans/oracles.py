@@ -255,6 +255,8 @@ ORACLES: dict[str, str] = {
       count(*) filter (where promotion is null and holiday is not null) as filled_values,
       count(*) filter (where promotion is null) + count(*) filter (where holiday is null) as preserved_values,
       count(*) filter (where promotion is null) as missing_promotion from sales_)""",
+    "bucketed_inventory_join": f"""{ctes("sales", "inventory")}, result as (select s.*, i.opening_stock, i.received_stock, i.closing_stock from sales_ s
+      left join inventory_ i on i.date = s.date and i.store_id = s.store_id and i.product_id = s.product_id)""",
     "malformed_order_lines": f"""{ctes("order_lines")}, told as (select o_orderkey as n, o_custkey, o_orderstatus, case o_orderkey % 23 when 3 then 'width' when 5 then 'width' when 15 then 'width'
         when 7 then 'cast.order_key,cast.day' when 9 then 'missing.customer,missing.status' when 11 then 'total.minimum,status.domain' else '' end as reasons from orders),
       result as (select n, reasons, case when reasons = '' then n end as order_key, case when reasons = '' then o_custkey end as customer,

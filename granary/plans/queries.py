@@ -13,7 +13,7 @@ from granary.functions.scalar import blank, matches, snake, strict
 from granary.operators import dedup, enrich, features, history, incremental, missing, quality, scan
 from granary.plans import ingest, refresh
 from granary.plans.fixtures import frame
-from granary.sources import key_index, ledger
+from granary.sources import buckets, key_index, ledger
 from granary.sources.contracts import CONTRACTS, TableSpec, column
 
 #: Types of result columns: text, long, double (rounded to 6 places), boolean, date
@@ -282,6 +282,14 @@ def _unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
     return key_index.without(new, key_index.among(old, maybe, key), key)
 
 
+def _bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales and their inventory, both stored by key."""
+    built: dict[str, DataFrame] = {}
+    key = ["date", "store_id", "product_id"]
+    sales, inventory = (buckets.store(frame(spark, sf_dir, name, built), f"granary_{name}_by_key", key, 16) for name in ("sales", "inventory"))
+    return buckets.joined(sales, inventory, key)
+
+
 #: Rows of a key from which on its history is sliced.
 HOT_ROWS = 5_000
 ROLL = "demand_observation_count_7d:l units_sold_rolling_mean_7d:d demand_observation_count_28d:l units_sold_rolling_mean_28d:d"
@@ -364,6 +372,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
     "snake_case_names": (lambda s, d: enrich.clean(contracted(s, d, "Dim_Date")), "date:t year:l month:l day:l weekday:s quarter:l is_weekend:b season:s"),
     "cast_failure_counts": (_cast_failures, "cast_integer:l cast_decimal:l cast_day:l cast_flag:l"),
     "missing_policy_counters": (_policy_counters, "dropped_rows:l filled_values:l preserved_values:l missing_promotion:l"),
+    "bucketed_inventory_join": (_bucketed, f"{KEY} units_sold:l opening_stock:l received_stock:l closing_stock:l"),
     "malformed_order_lines": (_ledger, "n:l reasons:s order_key:l customer:l total:d day:t status:s"),
     "unseen_keys": (_unseen, "event_id:l event_type:s user_id:l hour:l"),
     "features_refreshed": (_refreshed, f"{KEY} {ROLL} {LAGS} abc_revenue_90d:d abc_revenue_share_90d:d abc_class:s xyz_class:s volatility_segment:s"),

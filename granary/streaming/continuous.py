@@ -46,11 +46,17 @@ def follow(spark: SparkSession, source: str, target: str, spec: TableSpec) -> St
     """Starts the stream; it ends by itself when all present files are read."""
     text = spark.readStream.schema(spec.text_schema()).options(**DIALECT | {"enforceSchema": True}).csv(source)
 
+    by = [spec.watermark] if spec.watermark in spec.key else []
+
     def store(batch: DataFrame, number: int) -> None:
-        # a batch that comes again after a failure replaces its own folder
-        good = unseen(batch.where(~F.col("_bad")).drop("_bad"), joined(target, "rows"), spec, number)
-        for name, part in (("rows", good), ("rejects", batch.where("_bad").drop("_bad"))):
-            part.write.mode("overwrite").parquet(joined(target, name, f"batch={number}"))
+        batch.persist()
+        try:
+            good = unseen(batch.where(~F.col("_bad")).drop("_bad"), joined(target, "rows"), spec, number)
+            # a batch that comes again after a failure replaces its own folder; rows lie by day, so that later batches open their own days only
+            good.write.mode("overwrite").partitionBy(*by).parquet(joined(target, "rows", f"batch={number}"))
+            batch.where("_bad").drop("_bad").write.mode("overwrite").parquet(joined(target, "rejects", f"batch={number}"))
+        finally:
+            batch.unpersist()
 
     return (
         typed(text, spec).writeStream.foreachBatch(store)
@@ -60,6 +66,31 @@ def follow(spark: SparkSession, source: str, target: str, spec: TableSpec) -> St
     )
 
 
+def promoted(sales: DataFrame, offers: DataFrame, delay: str = "2 days", ahead_days: int = 90) -> DataFrame:
+    """A stream of sales with every offer of a stream of offers that was on that day: both sides wait for each other.
+
+    Sales have date and sales_promotion, offers promotion_id, promotion_name, start_date and end_date. An offer must be
+    known by its start and last ``ahead_days`` days at most: then state of both sides ends once the watermark has passed,
+    and rows later than ``delay`` are dropped and counted (``late_rows``). Of offers on one day all come out; which one
+    counts is the batch join's choice.
+    """
+    left = sales.withColumn("_sold", F.col("date").cast("timestamp")).withWatermark("_sold", delay)
+    right = offers.where(F.date_diff("end_date", "start_date").between(0, ahead_days - 1)).withColumn("_starts", F.col("start_date").cast("timestamp")).withWatermark("_starts", delay)
+    on = (
+        (F.col("sales_promotion") == F.col("promotion_name"))
+        & F.col("date").between(F.col("start_date"), F.col("end_date"))
+        # what bounds the state: a sale lies less than ``ahead_days`` behind its offer's start
+        & (F.col("_sold") >= F.col("_starts"))
+        & (F.col("_sold") < F.col("_starts") + F.expr(f"interval {int(ahead_days)} days"))
+    )
+    return left.join(right, on).drop("_sold", "_starts")
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that a query's state operators have dropped for being late, in all progress that Spark still keeps."""
+    return sum(o.numRowsDroppedByWatermark for p in query.recentProgress for o in p.stateOperators)
+
+
 def daily_demand(rows: DataFrame, delay: str = "2 days") -> DataFrame:
     """Units and revenue by day, store and product of a stream of sales (date, store_id, product_id, units_sold, revenue)."""
     timed = rows.withColumn("_time", F.col("date").cast("timestamp")).withWatermark("_time", delay)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from granary.operators import enrich, features, history, scan, sizes, slices
+from granary.sources import buckets
 
 DAY = dt.date(2024, 1, 1)
 day = lambda k: None if k is None else DAY + dt.timedelta(days=k)
@@ -161,3 +162,20 @@ def test_small_tables_run_once_and_large_ones_go_on_as_they_are(spark):
     big = spark.range(200)
     assert sizes.small(big, 100) is big
     assert sizes.small(spark.range(0)).count() == 0
+
+
+def test_facts_by_key_join_without_an_exchange(spark):
+    left = spark.range(3000).select((F.col("id") % 700).alias("a"), F.when(F.col("id") % 9 != 0, F.col("id") % 5).alias("b"), F.col("id").alias("x"))
+    right = spark.range(900).select((F.col("id") % 800).alias("a"), (F.col("id") % 5).alias("b"), F.col("id").alias("y"))
+    one, two = buckets.store(left, "test_left", ["a", "b"], 4), buckets.store(right, "test_right", ["a", "b"], 4)
+    out = buckets.joined(one, two, ["a", "b"])
+    assert "Exchange" not in plan(out) and "SortMergeJoin" in plan(out)
+    assert values(out, "x", "y") == values(left.join(right, ["a", "b"], "left"), "x", "y")
+    assert buckets.store(left.limit(5), "test_left", ["a", "b"], 4).count() == 5
+    for bad in ("1x", "a.b", "a;b"):
+        with pytest.raises(ValueError):
+            buckets.store(left, bad, ["a"])
+    with pytest.raises(ValueError, match="lacks"):
+        buckets.store(left, "test_left", ["z"])
+    spark.sql("drop table test_left")
+    spark.sql("drop table test_right")
