@@ -10,23 +10,29 @@ in its warehouse.
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame
 
+from granary.sources.csv import joined as of_root
+
 #: Files of a bucket are read by one task: some 0.5 GB of the larger fact each.
 BUCKETS = 200
 
 
 def store(df: DataFrame, name: str, key: list[str], buckets: int = BUCKETS) -> DataFrame:
-    """``df`` as the table ``name``, in place of an older one, and read from it.
+    """``df`` as the table ``name``, in place of an older one of this session, and read from it.
 
-    Rows are dealt to the buckets' tasks before the write, so that each bucket is one file.
+    Rows are dealt to the buckets' tasks before the write, so that each bucket is one file. Each version has a folder of
+    its own in the warehouse: plans that still read the older one do so until they are done, so its files stay.
     """
     if not re.fullmatch(r"[A-Za-z_][A-Za-z0-9_]*", name):
         raise ValueError(f"bad table name: {name!r}")
     if missing := [k for k in key if k not in df.columns]:
         raise ValueError(f"{name} lacks columns of its key: {missing}")
-    df.repartition(buckets, *key).write.mode("overwrite").bucketBy(buckets, *key).sortBy(*key).saveAsTable(name)
+    path = of_root(df.sparkSession.conf.get("spark.sql.warehouse.dir"), f"{name}-{uuid.uuid4().hex}")
+    writer = df.repartition(buckets, *key).write.mode("overwrite").option("path", path)
+    writer.bucketBy(buckets, *key).sortBy(*key).saveAsTable(name)
     return df.sparkSession.table(name)
 
 
