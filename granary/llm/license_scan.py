@@ -57,7 +57,21 @@ _GNU_NOTICE = (
     "<<optional>>this <<any 4>> is<</optional>> free software you can redistribute it and or modify it under the terms of the gnu {} as published by the free software foundation "
     "<<optional>>either<</optional>> version <<any 2>> of the license <<optional>>or at your option any later version<</optional>>"
 )
+_GNU_ONE_VERSION = (
+    "<<optional>>this <<any 4>> is<</optional>> free software you can redistribute it and or modify it under the terms of <<optional>>version <<any 2>> of<</optional>> "
+    "the gnu {} <<optional>>version <<any 2>><</optional>> as published by the free software foundation"
+)
 _GNU_SHORT = "<<optional>>this <<any 4>> is<</optional>> licensed under the gnu {} <<optional>>version <<any 1>><</optional>>"
+def _creative_commons(terms: str, short: str) -> tuple[str, ...]:
+    """The names of one Creative Commons licence; a licence of more terms is longer, so it counts where both match."""
+    version = "<<optional>><<any 1>> 0<</optional>> <<optional>>international<</optional>> <<optional>>unported<</optional>>"
+    named = f"<<optional>>this <<any 4>> is<</optional>> licensed under <<optional>>a<</optional>> <<optional>>the<</optional>> creative commons attribution {terms} {version} <<optional>>public<</optional>>"
+    return (
+        f"{named} license" if not terms else f"{named} <<optional>>license<</optional>>",
+        f"<<optional>>this <<any 4>> is<</optional>> licensed under <<optional>>a<</optional>> cc by {short} {version}",
+    )
+
+
 TEMPLATES = {
     "mit": (
         "<<optional>>copyright <<any 12>><</optional>> permission is hereby granted free of charge to any person obtaining a copy of this "
@@ -84,22 +98,30 @@ TEMPLATES = {
         "licensed under the apache license version 2 <<optional>>0<</optional>> <<optional>>the license you may not use <<any 8>> except in "
         "compliance with the license<</optional>>",
     ),
-    "gpl": (_GNU_NOTICE.format("general public license"), _GNU_SHORT.format("general public license")),
+    "gpl": (_GNU_NOTICE.format("general public license"), _GNU_ONE_VERSION.format("general public license"), _GNU_SHORT.format("general public license")),
     "lgpl": (
-        _GNU_NOTICE.format("lesser general public license"), _GNU_NOTICE.format("library general public license"),
+        _GNU_NOTICE.format("lesser general public license"), _GNU_ONE_VERSION.format("lesser general public license"), _GNU_NOTICE.format("library general public license"),
         _GNU_SHORT.format("lesser general public license"),
     ),
-    "agpl": (_GNU_NOTICE.format("affero general public license"), _GNU_SHORT.format("affero general public license")),
+    "agpl": (_GNU_NOTICE.format("affero general public license"), _GNU_ONE_VERSION.format("affero general public license"), _GNU_SHORT.format("affero general public license")),
     "mpl-2": (
         "this source code form is subject to the terms of the mozilla public license v 2 0 <<optional>>if a copy of the mpl was not distributed "
         "with this file you can obtain one at <<any 1>> mozilla org mpl 2 0<</optional>>",
         "licensed under the mozilla public license <<optional>>version<</optional>> 2 0",
     ),
-    "cc-by-nc": ("<<optional>>this <<any 4>> is<</optional>> licensed under <<optional>>a<</optional>> cc by nc <<optional>>4 0<</optional>>",),
-    "cc-by": (
-        "licensed under <<optional>>a<</optional>> creative commons attribution <<optional>>4 0<</optional>> <<optional>>international<</optional>> license",
-    ),
+    "cc-by": _creative_commons("", ""),
+    "cc-by-sa": _creative_commons("sharealike", "sa"),
+    "cc-by-nd": _creative_commons("noderivatives", "nd") + _creative_commons("noderivs", "nd"),
+    "cc-by-nc": _creative_commons("noncommercial", "nc"),
+    "cc-by-nc-sa": _creative_commons("noncommercial sharealike", "nc sa"),
+    "cc-by-nc-nd": _creative_commons("noncommercial noderivatives", "nc nd") + _creative_commons("noncommercial noderivs", "nc nd"),
+}
+#: What follows "SPDX-License-Identifier:" for each label; versions and "or later" stand behind it.
+IDENTIFIERS = {
+    "mit": "mit", "isc": "isc", "bsd-2": "bsd 2 clause", "bsd-3": "bsd 3 clause", "apache-2": "apache 2 0", "gpl": "gpl", "lgpl": "lgpl", "agpl": "agpl", "mpl-2": "mpl 2 0",
+    "cc-by": "cc by", "cc-by-sa": "cc by sa", "cc-by-nd": "cc by nd", "cc-by-nc": "cc by nc", "cc-by-nc-sa": "cc by nc sa", "cc-by-nc-nd": "cc by nc nd",
 }
+TEMPLATES = {label: (*wordings, f"spdx license identifier {IDENTIFIERS[label]}") for label, wordings in TEMPLATES.items()}
 
 
 class Automaton:

@@ -561,6 +561,30 @@ def test_license_scan(spark):
     assert got[5]["score"] == 0 and all(0 <= r["score"] <= 1 for r in got.values())
 
 
+@pytest.mark.parametrize(
+    ("text", "label"),
+    [
+        ("This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation.", "gpl"),
+        ("you may not; free software; you can redistribute it and/or modify it under the terms of version 2.1 of the GNU Lesser General Public License as published by the Free Software Foundation", "lgpl"),
+        ("// SPDX-License-Identifier: MIT", "mit"),
+        ("# SPDX-License-Identifier: GPL-2.0-or-later", "gpl"),
+        ("/* SPDX-License-Identifier: BSD-3-Clause */", "bsd-3"),
+        ("SPDX-License-Identifier: Apache-2.0", "apache-2"),
+        ("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "cc-by-nc"),
+        ("Licensed under the Creative Commons Attribution-ShareAlike 3.0 Unported License", "cc-by-sa"),
+        ("licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License", "cc-by-nc-nd"),
+        ("licensed under a Creative Commons Attribution 4.0 International License", "cc-by"),
+        ("licensed under CC BY-ND 4.0", "cc-by-nd"),
+        ("licensed under a permissive licence of our own", ""),
+        ("the terms of the GNU General Public License version 2", ""),
+    ],
+)
+def test_usual_wordings(text, label):
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1], "text": [text]})
+    found = next(iter(license_scan._scan(license_scan.PHRASES, license_scan.TEMPLATES)([batch]))).to_pylist()[0]
+    assert ",".join(sorted({m["label"] for m in found["matches"]})) == label
+
+
 def test_license_scan_of_awkward_tables(spark):
     """Repeated rows, a long text with many matches, columns with the operator's own names, an empty table."""
     long = "a b c licensed under the gnu general public license version 3. " * 5000
