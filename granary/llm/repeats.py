@@ -33,7 +33,7 @@ from granary.llm.session import cut, partitions
 
 WIDTH = 13
 #: Bytes of text of a block; a longer text stands alone.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 #: Bytes of text for which there is a bucket, about a sixth as many hashes; buckets are counted in whole 64s.
 BUCKET_BYTES = 32 << 20
 #: Bytes of text of a task that cuts, and the most partitions of either shuffle, of which each then holds several buckets or blocks.
@@ -50,6 +50,12 @@ def _rows(columns: dict[str, tuple[list, pa.DataType]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in columns.values()], list(columns))
 
 
+def _each(batch: pa.RecordBatch):
+    """A batch's rows one after another: blocks are large."""
+    for k in range(batch.num_rows):
+        yield {name: column[k].as_py() for name, column in zip(batch.schema.names, batch.columns, strict=True)}
+
+
 def _blocks(most: int):
     """Documents packed into blocks: ids, whether there is one, where texts end, texts end to end."""
 
@@ -157,7 +163,7 @@ def _send(buckets: int, width: int):
 
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _each(batch):
                 b = Block(row, width)
                 parts = list(b.ranges(buckets))
                 yield _rows(
@@ -220,7 +226,7 @@ def _cut(buckets: int, width: int):
             return block.kept(block.covered(earlier, width))
 
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _each(batch):
                 if row["bucket"] < 0:
                     if block is not None:
                         yield done()
@@ -240,13 +246,13 @@ def removed(
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = 64 * max(1, -(-size // (64 * bucket_bytes)))
-    blocks = cut(rows.mapInArrow(_blocks(block_bytes), BLOCKS))
+    blocks = cut(rows.mapInArrow(tx.lean(_blocks(block_bytes)), BLOCKS))
     marks = (
-        blocks.mapInArrow(_send(buckets, width), HASHES)
+        blocks.mapInArrow(tx.lean(_send(buckets, width)), HASHES)
         .repartition(min(buckets, MOST_PARTITIONS), "bucket")
         .sortWithinPartitions("bucket")
-        .mapInArrow(_earlier, MARKS)
+        .mapInArrow(tx.lean(_earlier), MARKS)
     )
     tasks = min(max(partitions(docs.sparkSession), -(-size // task_bytes)), MOST_PARTITIONS)
     both = blocks.withColumn("bucket", F.lit(-1)).withColumn("marks", F.lit(None).cast("binary")).unionByName(marks, allowMissingColumns=True)
-    return both.repartition(tasks, "block").sortWithinPartitions("block", "bucket").mapInArrow(_cut(buckets, width), KEPT)
+    return both.repartition(tasks, "block").sortWithinPartitions("block", "bucket").mapInArrow(tx.lean(_cut(buckets, width)), KEPT)
