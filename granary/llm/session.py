@@ -66,9 +66,9 @@ def stored(df: DataFrame) -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
-    """Lets Spark delete shuffle and checkpoint files of plans that nothing refers to any more.
+    """Lets Spark delete shuffle files of plans that nothing refers to any more.
 
-    It does so only when the driver collects garbage, which long iterative jobs would otherwise do too late.
+    Checkpoint files go with them only where ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set. It does so only when the driver collects garbage, which long iterative jobs would otherwise do too late.
     """
     gc.collect()
     spark.sparkContext._jvm.System.gc()
