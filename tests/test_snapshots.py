@@ -61,6 +61,14 @@ def test_files_are_skipped_by_their_bounds(spark, tmp_path):
     assert d.read(between=(dt.date(2030, 1, 1), dt.date(2030, 1, 2))).count() == 0
 
 
+def test_numbers_are_no_text(spark, tmp_path):
+    for name, kind in (("a", "int"), ("b", "decimal(9,2)"), ("c", "double")):
+        d = Dataset(spark, str(tmp_path / name), bounds="x")
+        made = d.commit(spark.range(-50, 1000).select(F.col("id").cast(kind).alias("x")).repartitionByRange(10, "x"), "r1")
+        assert d.read(between=(9, 100)).count() == 92 and len(d.chosen(made, between=(9, 100))) < 4
+        assert d.read(between=(-7, -7)).count() == 1
+
+
 def test_files_of_a_stated_size(spark, tmp_path):
     df = spark.range(400_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("x")).repartition(40)
     made = Dataset(spark, str(tmp_path / "d")).commit(df, "r1", file_bytes=8 << 20)
