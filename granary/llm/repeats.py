@@ -32,8 +32,12 @@ from granary.llm import text as tx
 from granary.llm.session import cut, partitions
 
 WIDTH = 13
-#: Bytes of text of a block; a longer text stands alone.
-BLOCK_BYTES = 4 << 20
+#: Bytes of text of a block; a longer text stands alone. Packed, a block stays below what a JVM's collector treats as huge.
+BLOCK_BYTES = 1 << 20
+#: Hashes of several blocks that a task sends at once.
+SENT_HASHES = 2 << 20
+#: Bytes of text that are split into words at once.
+STEP_BYTES = 1 << 19
 #: Bytes of text for which there is a bucket, about a sixth as many hashes; buckets are counted in whole 64s.
 BUCKET_BYTES = 32 << 20
 #: Bytes of text of a task that cuts, and the most partitions of either shuffle, of which each then holds several buckets or blocks.
@@ -41,7 +45,7 @@ TASK_BYTES, MOST_PARTITIONS = 32 << 20, 20_000
 _BITS = 24
 
 BLOCKS = "block long, ids binary, known binary, ends binary, texts binary"
-HASHES = "bucket int, block long, hashes binary, least binary"
+HASHES = "bucket int, blocks binary, sizes binary, hashes binary, least binary"
 MARKS = "block long, bucket int, marks binary"
 KEPT = "doc_id long, n_words long, n_removed long, spans array<struct<start: long, end: long>>, kept string"
 
@@ -111,7 +115,7 @@ class Block:
 
     def _words(self) -> tx.Words:
         parts = []
-        for i, j in tx.slices(self.offsets):
+        for i, j in tx.slices(self.offsets, STEP_BYTES):
             lo, hi = self.offsets[i], self.offsets[j]
             w = tx.words(self.data[lo:hi], self.offsets[i : j + 1] - lo, fold=False)
             parts.append((w.hash, w.start + lo, w.end + lo, w.text + i, w.count))
@@ -158,22 +162,36 @@ class Block:
         )
 
 
-def _send(buckets: int, width: int):
-    """The distinct hashes of each block, a row a bucket."""
+def _send(buckets: int, width: int, most: int):
+    """The distinct hashes of some blocks, a row a bucket: each block's in ascending order, one block after another."""
 
     def run(batches):
+        held, size = {}, 0
+
+        def sent():
+            parts = [(bucket, *zip(*found, strict=True)) for bucket, found in sorted(held.items())]
+            binary = lambda values: (values, pa.binary())
+            return _rows(
+                {
+                    "bucket": ([p[0] for p in parts], pa.int32()),
+                    "blocks": binary([tx.planes(np.array(p[1], np.int64)) for p in parts]),
+                    "sizes": binary([tx.planes(np.array([len(x) for x in p[2]], np.int64)) for p in parts]),
+                    "hashes": binary([tx.planes(np.concatenate([np.diff(x, prepend=np.uint64(0)) for x in p[2]])) for p in parts]),
+                    "least": binary([tx.planes(np.concatenate(p[3])) for p in parts]),
+                }
+            )
+
         for batch in batches:
             for row in _each(batch):
                 b = Block(row, width)
-                parts = list(b.ranges(buckets))
-                yield _rows(
-                    {
-                        "bucket": ([k for k, _, _ in parts], pa.int32()),
-                        "block": ([row["block"]] * len(parts), pa.int64()),
-                        "hashes": ([tx.planes(np.diff(b.hashes[i:j], prepend=np.uint64(0))) for _, i, j in parts], pa.binary()),
-                        "least": ([tx.planes(b.least[i:j]) for _, i, j in parts], pa.binary()),
-                    }
-                )
+                for bucket, i, j in b.ranges(buckets):
+                    held.setdefault(bucket, []).append((row["block"], b.hashes[i:j], b.least[i:j]))
+                size += len(b.hashes)
+                if size >= most:
+                    yield sent()
+                    held, size = {}, 0
+        if held:
+            yield sent()
 
     return run
 
@@ -200,14 +218,15 @@ def _earlier(batches):
         return _rows({"block": ([b for b, _ in out], pa.int64()), "bucket": ([bucket] * len(out), pa.int32()), "marks": ([m for _, m in out], pa.binary())})
 
     for batch in batches:
-        columns = (batch.column(c).to_pylist() for c in ("bucket", "block", "hashes", "least"))
-        for b, block, hashes, least in zip(*columns, strict=True):
-            if b != bucket and held:
+        for row in _each(batch):
+            if row["bucket"] != bucket and held:
                 yield told()
                 held = []
-            bucket = b
+            bucket = row["bucket"]
+            ends = np.cumsum(tx.unplanes(row["sizes"], np.int64))[:-1]
             with np.errstate(over="ignore"):
-                held.append((block, np.cumsum(tx.unplanes(hashes, np.uint64)), tx.unplanes(least, np.int64)))
+                hashes = [np.cumsum(x) for x in np.split(tx.unplanes(row["hashes"], np.uint64), ends)]
+            held += zip(tx.unplanes(row["blocks"], np.int64).tolist(), hashes, np.split(tx.unplanes(row["least"], np.int64), ends), strict=True)
     if held:
         yield told()
 
@@ -240,7 +259,7 @@ def _cut(buckets: int, width: int):
 
 
 def removed(
-    docs: DataFrame, *, doc_id="doc_id", text="text", width=WIDTH, block_bytes=BLOCK_BYTES, bucket_bytes=BUCKET_BYTES, task_bytes=TASK_BYTES
+    docs: DataFrame, *, doc_id="doc_id", text="text", width=WIDTH, block_bytes=BLOCK_BYTES, bucket_bytes=BUCKET_BYTES, task_bytes=TASK_BYTES, sent_hashes=SENT_HASHES
 ) -> DataFrame:
     """doc_id, n_words, n_removed, spans (maximal intervals of words that go, from 0) and kept (the text left) of each document."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -248,7 +267,7 @@ def removed(
     buckets = 64 * max(1, -(-size // (64 * bucket_bytes)))
     blocks = cut(rows.mapInArrow(tx.lean(_blocks(block_bytes)), BLOCKS))
     marks = (
-        blocks.mapInArrow(tx.lean(_send(buckets, width)), HASHES)
+        blocks.mapInArrow(tx.lean(_send(buckets, width, sent_hashes)), HASHES)
         .repartition(min(buckets, MOST_PARTITIONS), "bucket")
         .sortWithinPartitions("bucket")
         .mapInArrow(tx.lean(_earlier), MARKS)

@@ -126,8 +126,8 @@ def test_one_seating_sums_to_one():
         assert p.sum() == pytest.approx(1) and (p > 0).all()
 
 
-def test_scores_do_not_depend_on_layout(spark):
-    """Over 120,000 words in one partition and in nine, hot buckets in one and in several replicas; bursts of rare words at places."""
+def test_scores_do_not_depend_on_layout(spark, monkeypatch):
+    """Over 120,000 words in one partition and in nine, hot buckets in one and in several replicas, several buckets in a task; bursts of rare words at places."""
     r = np.random.default_rng(8)
     common = [f"w{k}" for k in range(3000)]
     docs = []
@@ -140,6 +140,9 @@ def test_scores_do_not_depend_on_layout(spark):
     for other in (kept(df.repartition(9)), kept(df.repartition(3), replica_words=300)):
         assert other.keys() == first.keys()
         assert all(other[k] == pytest.approx(first[k], rel=1e-9) for k in first)
+    monkeypatch.setattr(pitman_yor, "MOST_PARTITIONS", 3)
+    few = kept(df.repartition(2))
+    assert few.keys() == first.keys() and all(few[k] == pytest.approx(first[k], rel=1e-9) for k in first)
 
 
 def test_scores_equal_a_seating_by_hand(spark):

@@ -185,7 +185,7 @@ def cut_by_hand(docs, width):
     return sorted(map(str, out))
 
 
-@pytest.mark.parametrize(("width", "options"), [(13, {}), (4, {"block_bytes": 500, "bucket_bytes": 64, "task_bytes": 2000}), (1, {"block_bytes": 1})])
+@pytest.mark.parametrize(("width", "options"), [(13, {}), (4, {"block_bytes": 500, "bucket_bytes": 64, "task_bytes": 2000, "sent_hashes": 300}), (1, {"block_bytes": 1})])
 def test_removed_equals_brute_force(spark, corpus, width, options):
     docs = [(r.doc_id, r.text) for r in corpus.collect()]
     got = rows(repeats.removed(corpus.withColumnRenamed("size", "kept"), width=width, **options))
