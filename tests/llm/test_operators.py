@@ -752,6 +752,6 @@ def test_pipeline_of_an_empty_table(spark, corpus, tmp_path):
 
 def test_all_are_registered():
     names = list(queries.queries())
-    assert [n.split("_")[0] for n in names] == [f"op{k}" for k in range(1, 11)] + ["pipeline"]
+    assert [n.split("_")[0] for n in names] == [f"op{k}" for k in range(1, 14)] + ["pipeline"]
     assert set(queries.oracle_sql()) <= set(names)
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
