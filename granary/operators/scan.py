@@ -75,13 +75,14 @@ def running(
     made = spark.createDataFrame(_inherited(summed.orderBy(*by, "__part").collect(), by, total, last, following), _schema(summed, by, total, last, following))
     names = {c: f"__{c}_" for c in ("__part", *by)}
     side = made.withColumnsRenamed(names | {n: f"__{n}_" for n in (*total, *last, *following)})
-    local = Window.partitionBy("__part", *by).orderBy(*order)
-    up, down = local.rowsBetween(Window.unboundedPreceding, 0), local.rowsBetween(0, Window.unboundedFollowing)
+    local, so_far = Window.partitionBy("__part", *by), (Window.unboundedPreceding, 0)
+    # what follows is what came before in the reverse order: a frame that only grows, where one to the end is computed anew for each row
+    up, down = local.orderBy(*order).rowsBetween(*so_far), local.orderBy(*[F.desc_nulls_last(c) for c in order]).rowsBetween(*so_far)
     own = dealt.select(
         "*",
         *[F.sum(c).over(up).alias(f"__{n}_own") for n, c in total.items()],
         *[F.last(c, ignorenulls=True).over(up).alias(f"__{n}_own") for n, c in last.items()],
-        *[F.first(c, ignorenulls=True).over(down).alias(f"__{n}_own") for n, c in following.items()],
+        *[F.last(c, ignorenulls=True).over(down).alias(f"__{n}_own") for n, c in following.items()],
     )
     joined = own.join(F.broadcast(side), reduce(and_, [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()]), "left")
     added = {n: F.coalesce(F.col(f"__{n}_own") + F.col(f"__{n}_"), F.col(f"__{n}_own"), F.col(f"__{n}_")) for n in total}

@@ -129,6 +129,15 @@ def test_running_has_no_single_task_and_takes_hot_and_empty_orders(spark):
     assert scan.running(df.withColumn("id", F.lit(0)), ["at", "id"], total={"total": "v"}).agg(F.max("total")).first()[0] == last.total
 
 
+@pytest.mark.parametrize("by", [(), ("g",)])
+def test_running_frames_only_grow(spark, by):
+    """A frame from the row to the end of its range is computed anew for each row: the square of a range's rows."""
+    df = spark.range(100).select("id", F.lit(1).alias("g"), F.when(F.col("id") % 3 == 0, F.col("id")).alias("v"))
+    out = scan.running(df, ["id"], by=by, total={"total": "v"}, last={"last": "v"}, following={"next": "v"}, parts=2)
+    assert "unboundedfollowing" not in plan(out).lower()
+    assert [(r["last"], r["next"]) for r in out.orderBy("id").collect()] == [(k - k % 3, k + -k % 3) for k in range(100)]
+
+
 def test_differences_and_states_by_hand(spark):
     kind = "k int, a string, b int"
     old = spark.createDataFrame([(1, "x", 1), (2, "x", None), (3, None, None), (None, "n", 0)], kind)
