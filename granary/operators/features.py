@@ -12,6 +12,8 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -81,21 +83,70 @@ def lag_features(c: FeatureConfig, key: Key = KEY) -> Features:
     return {f"{x}_lag_{n}d": F.when(gap(n) == n, F.lag(x, n).over(_own(key))) for n in c.lags for x in ("units_sold", "revenue")}
 
 
-def _history(prefix: tuple[str, str, str], days: int, key: Key) -> Features:
-    units, past = F.col("units_sold"), _past(days, key)
-    return dict(zip(prefix, (F.count(units).over(past), F.avg(units).over(past), F.stddev_samp(units).over(past)), strict=True))
+class OfRows:
+    """Demand of a window over rows."""
 
+    @staticmethod
+    def units(past: WindowSpec) -> tuple[Column, Column, Column]:
+        """Count, mean and deviation."""
+        units = F.col("units_sold")
+        return F.count(units).over(past), F.avg(units).over(past), F.stddev_samp(units).over(past)
 
-def rolling_features(c: FeatureConfig, key: Key = KEY) -> Features:
+    @staticmethod
+    def revenue(past: WindowSpec) -> Column:
+        return F.sum("revenue").over(past)
+
+
+class OfDays:
+    """The same of a window over one row a key and day (``daily``), whatever the number of rows of a day."""
+
+    @staticmethod
+    def daily(rows: DataFrame, key: Key) -> DataFrame:
+        units = F.col("units_sold")
+        of_day = F.struct(F.count(units).alias("n"), F.avg(units).cast("double").alias("mean"), (F.var_pop(units) * F.count(units)).alias("m2"))
+        return rows.groupBy(*key, "date").agg(F.sum(units).alias("__units"), F.sum("revenue").alias("__revenue"), of_day.alias("__of_day")).withColumn("__n", F.col("__of_day.n"))
+
+    @staticmethod
+    def units(past: WindowSpec) -> tuple[Column, Column, Column]:
+        n = F.coalesce(F.sum("__n").over(past), F.lit(0).cast("long"))
+        return n, F.sum("__units").over(past) / n, _deviation(F.collect_list("__of_day").over(past))
+
+    @staticmethod
+    def revenue(past: WindowSpec) -> Column:
+        return F.sum("__revenue").over(past)
+
+
+def _deviation(days: Column) -> Column:
+    """The sample deviation of days' moments, merged one after another as ``stddev_samp`` takes single values and partial moments:
+    no difference of large sums, and the same digits where days have one row.
+    """
+
+    def merged(a: Column, b: Column) -> Column:
+        n, apart = a["n"] + b["n"], b["mean"] - a["mean"]
+        step = apart / n
+        made = lambda mean, m2: F.struct(n.alias("n"), mean.alias("mean"), m2.alias("m2"))
+        one = made(a["mean"] + step, a["m2"] + apart * (apart - step))
+        both = made(a["mean"] + step * b["n"], a["m2"] + b["m2"] + apart * step * a["n"] * b["n"])
+        return F.when(b["n"] == 0, a).when(b["n"] == 1, one).when(a["n"] == 0, b).otherwise(both)
+
+    none = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
+    return F.aggregate(days, none, merged, lambda x: F.when(x["n"] > 1, F.sqrt(x["m2"] / (x["n"] - 1))))
+
+
+def _history(prefix: tuple[str, str, str], days: int, key: Key, of: type) -> Features:
+    return dict(zip(prefix, of.units(_past(days, key)), strict=True))
+
+
+def rolling_features(c: FeatureConfig, key: Key = KEY, of: type = OfRows) -> Features:
     out: Features = {}
     for w in c.rolling:
-        out |= _history((f"demand_observation_count_{w}d", f"units_sold_rolling_mean_{w}d", f"units_sold_rolling_std_{w}d"), w, key)
+        out |= _history((f"demand_observation_count_{w}d", f"units_sold_rolling_mean_{w}d", f"units_sold_rolling_std_{w}d"), w, key, of)
     return out
 
 
-def lookback_features(c: FeatureConfig, key: Key = KEY) -> Features:
+def lookback_features(c: FeatureConfig, key: Key = KEY, of: type = OfRows) -> Features:
     names = tuple(f"xyz_{x}_{c.xyz_days}d" for x in ("observation_count", "demand_mean", "demand_std"))
-    return {f"abc_revenue_{c.abc_days}d": F.sum("revenue").over(_past(c.abc_days, key))} | _history(names, c.xyz_days, key)
+    return {f"abc_revenue_{c.abc_days}d": of.revenue(_past(c.abc_days, key))} | _history(names, c.xyz_days, key, of)
 
 
 def portfolio_features(c: FeatureConfig) -> Features:
@@ -210,13 +261,32 @@ def history(rows: DataFrame, c: FeatureConfig, *catalogues: Features) -> DataFra
 
 
 def own_history(rows: DataFrame, c: FeatureConfig, *makers: Callable[[FeatureConfig, Key], Features], most_rows: int | None = None) -> DataFrame:
-    """``rows`` with the features that ``makers`` give; with ``most_rows``, keys of more rows are windowed in slices of about as many."""
+    """``rows`` with the features that ``makers`` give.
+
+    With ``most_rows``, keys may have very many rows: features of ranges of days are taken over sums by day, so a window holds no
+    more rows than a key has days, and those that look rows back are windowed in slices of about ``most_rows``.
+    """
     if most_rows is None:
         return history(rows, c, *[make(c, KEY) for make in makers])
-    dealt = slices.deal(rows, KEY, c.reach, small(slices.ranges(rows, KEY, most_rows, c.reach)))
-    return history(dealt, c, *[make(c, (*KEY, "__slice")) for make in makers]).where("__home").drop("__slice", "__home")
-
-
+    sums = [make for make in makers if make in BY_DAY]
+    each = [make for make in makers if make not in BY_DAY]
+    own = rows.withColumn("__day", F.unix_date("date"))
+    if each:
+        dealt = slices.deal(rows, KEY, c.reach, small(slices.ranges(rows, KEY, most_rows, c.reach)))
+        own = history(dealt, c, *[make(c, (*KEY, "__slice")) for make in each]).where("__home").drop("__slice", "__home")
+    if not sums:
+        return own
+    names = {k: f"__{k}" for k in (*KEY, "date")}
+    wanted = [k for make in sums for k in make(c)]
+    kinds = dict(history(rows, c, *[make(c) for make in sums]).dtypes)
+    of_days = history(OfDays.daily(rows, KEY), c, *[make(c, KEY, OfDays) for make in sums])
+    side = of_days.select(*[F.col(k).alias(n) for k, n in names.items()], *[F.col(k).cast(kinds[k]).alias(k) for k in wanted])
+    joined = own.join(side, reduce(and_, [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()]), "left")
+    return joined.select(*rows.columns, "__day", *[k for make in makers for k in make(c)])
+
+
+#: Features of ranges of days, which need no more of a day than its sums.
+BY_DAY = (rolling_features, lookback_features)
 HISTORY = (lag_features, rolling_features, lookback_features)
 
 

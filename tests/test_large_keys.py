@@ -42,6 +42,21 @@ def test_sliced_histories_equal_whole_ones(hot):
     assert whole.columns == sliced.columns and values(rounded(whole), "n") == values(rounded(sliced), "n")
 
 
+def test_windows_of_ranges_hold_days_not_rows(spark):
+    """However many rows a day has, a window has one for it; equal values deviate by 0 and days without values count nothing."""
+    c = features.FeatureConfig()
+    rows = spark.range(6000).select("id", F.date_add(F.lit(DAY), (F.col("id") % 100).cast("int")).alias("date"), F.lit("S").alias("store_id"), F.lit("P").alias("product_id"),
+        F.when(F.col("id") % 100 != 40, F.when(F.col("id") % 100 < 50, 7).otherwise(8)).cast("long").alias("units_sold"), F.lit(0.5).cast("decimal(18, 2)").alias("revenue"))
+    out = features.own_history(rows, c, features.rolling_features, features.lookback_features, most_rows=100)
+    assert out.dtypes == features.own_history(rows, c, features.rolling_features, features.lookback_features).dtypes
+    whole = plan(out)
+    assert "RangeFrame" in whole and whole.index("RangeFrame") < whole.index("HashAggregate") and "__slice" not in whole
+    of = lambda k: out.where(F.col("id") == k).first()
+    assert of(0).units_sold_rolling_mean_7d is None and of(0).demand_observation_count_7d == 0 and of(0).abc_revenue_90d is None
+    assert (of(45).demand_observation_count_7d, of(45).units_sold_rolling_mean_7d, of(45).units_sold_rolling_std_7d, str(of(45).abc_revenue_90d)) == (360, 7.0, 0.0, "1350.00")
+    assert (of(53).units_sold_rolling_mean_7d, round(of(53).units_sold_rolling_std_7d, 9)) == ((4 * 7 + 3 * 8) / 7, round((420 * 12 / 49 / 419) ** 0.5, 9))
+
+
 def test_slices_are_flat_and_rows_at_most_doubled(hot):
     found = slices.ranges(hot, features.KEY, 300, 30)
     dealt = slices.deal(hot, features.KEY, 30, found)
