@@ -38,10 +38,11 @@ def components(links: DataFrame, task_links: int = TASK_LINKS) -> DataFrame:
     """node, component (least node reached) of all nodes of ``links`` (columns a, b, longs) that aren't their component's least.
 
     Links first shrink to a forest in each task, tasks being as many as the links need; the forest of a single task is
-    the result. Otherwise every round hangs nodes onto smaller neighbours; minima are pre-aggregated, so a node with
+    the result. They are read twice and not written again, so whatever they took should be cut (``session.cut``)
+    before; a checkpoint is a file a partition. Otherwise every round hangs nodes onto smaller neighbours; minima are pre-aggregated, so a node with
     very many links costs no task more than its share.
     """
-    pair = cut(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")))
+    pair = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     tasks = max(1, -(-pair.count() // task_links))
     now = cut(pair.coalesce(tasks).mapInArrow(_forest, "u long, v long"))
     seen = None

@@ -300,7 +300,7 @@ class ChosenPath:
         )
         self.reps = self.sets.select("rep", "size", "lo", "sig")
         self.n_sets = self.sets.count()
-        self.nameless = cut(self.sets.where("id is null").select("rep", "tag"))
+        self.nameless = self.sets.where("id is null").select("rep", "tag")
         self.named = self.nameless.isEmpty()
         labels = self.labels()
         classes = self.sets.select("lo", "hi", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
@@ -327,7 +327,7 @@ class ChosenPath:
         """node, component of the sets that are linked with one of a smaller number."""
         rows = self.reps.select("rep", "sig").mapInArrow(tx.lean(_plant(self.trees, self.similarity)), "node long, rep long, parent long")
         none = self.docs.sparkSession.createDataFrame([], "a long, b long")
-        self.links = self.tried = none
+        self.tried = none
         members = self.level(rows)
         stars = self.alike(members.where("rep <> pivot").select("pivot", "rep"))
         labels = self.pivoted(stars, components(none))
@@ -354,8 +354,12 @@ class ChosenPath:
         if new.isEmpty():
             return labels
         self.tried = self.tried.union(new)
-        self.links = self.links.union(cut(self.confirmed(new)))
-        return components(self.links)
+        return components(self.joined(labels, self.confirmed(new)))
+
+    @staticmethod
+    def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+        """Links (a, b) that connect what the labels and new links do: earlier links count by their labels, one for each set."""
+        return labels.toDF("a", "b").union(cut(links))
 
     def pivoted(self, near: DataFrame, labels: DataFrame) -> DataFrame:
         """Labels after each member's most alike pivot, then the most alike pair of every two components."""
@@ -416,7 +420,7 @@ class ChosenPath:
         if mixed.isEmpty():
             return labels
         release(mixed.sparkSession)
-        family = cut(self.families(mixed))
+        family = self.families(mixed)
         odd = F.col("of") != F.col("main")
         sizes = family.groupBy("family").agg(
             F.ceil(F.count_if(odd) / ODD_BLOCK).cast("int").alias("across"), F.ceil(F.count("*") / ALL_BLOCK).cast("int").alias("down")
@@ -427,7 +431,7 @@ class ChosenPath:
         left = placed.where(odd).select("family", "rep", "of", block("across", 0).alias("i"), every("down").alias("salt"), F.lit(0).alias("role"))
         right = placed.select("family", "rep", "of", every("across").alias("i"), block("down", 1).alias("salt"), F.lit(1).alias("role"))
         wants = left.union(right).select("rep", F.xxhash64("family", "i").alias("key"), "salt", "role", "of")
-        return components(self.links.union(cut(self.met(wants).mapInArrow(tx.lean(_family(self.percent)), "a long, b long"))))
+        return components(self.joined(labels, self.met(wants).mapInArrow(tx.lean(_family(self.percent)), "a long, b long")))
 
     def alike(self, pairs: DataFrame) -> DataFrame:
         """a, b, agree of the pairs whose sizes and signatures allow a link."""

@@ -1,12 +1,14 @@
 """Near-duplicates of texts and vectors, and components, against brute force."""
 
 import random
+from pathlib import Path
+from urllib.parse import urlparse
 
 import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from granary.llm import graph, near_text, near_vectors
+from granary.llm import graph, near_text, near_vectors, session
 
 
 class Forest:
@@ -52,6 +54,16 @@ def test_components_of_any_task_size(spark):
     assert graph.components(df.limit(0)).count() == 0
 
 
+def test_components_write_forests_only(spark):
+    """Links that are in the shared folder already aren't written again, a file for each of their partitions."""
+    links = session.cut(spark.range(300).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")).repartition(40))
+    files = lambda: {str(p) for p in Path(urlparse(session.shared_folder(spark)).path).rglob("part-*")}
+    before = files()
+    assert len(before) >= 40
+    assert graph.components(links).agg(F.count("*"), F.max("component")).first() == (300, 0)
+    assert 1 <= len(files() - before) <= 2
+
+
 def test_near_texts_equal_brute_force(spark, corpus):
     expected = classes([(r.doc_id, r.text) for r in corpus.collect()])
     # small nodes and shallow trees as well, so that every way through the recursion is used
